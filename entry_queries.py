@@ -21,7 +21,7 @@ from odsflow.operators import (
     runs,
     schema,
 )
-from odsflow.plans import pipeline, repurchase
+from odsflow.plans import repurchase, sql_jobs
 from odsflow.settings import fresh_dir
 from odsflow.sources import delimited, files, partitions, rdbms
 from odsflow.streaming import intake
@@ -452,7 +452,7 @@ def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         scalars.day_text(F.col("ts")).alias("data_dt"),
         F.col("ts").alias("complete_time"),
     )
-    return audit.batch_complete(reports.limit(0), reports)
+    return audit.batch_complete(reports.where(F.lit(False)), reports)
 
 
 def audited_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -602,7 +602,7 @@ def sql_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("step_user", "SELECT user_id, count(*) AS days, sum(n) AS events FROM step_user_day GROUP BY user_id"),
         ("step_days", "SELECT days, count(*) AS users, sum(events) AS events FROM step_user GROUP BY days"),
     ]
-    done = pipeline.run_steps(spark, steps, {"skip": "error"}, fresh_dir(spark, "steps"))
+    done = sql_jobs.run_steps(spark, steps, {"skip": "error"}, fresh_dir(spark, "steps"))
     return done["step_days"]
 
 
@@ -619,7 +619,7 @@ def sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = fresh_dir(spark, "sql_file")
     spark.range(1).select(F.lit(text)).write.text(folder)
-    return pipeline.run_sql_file(
+    return sql_jobs.run_sql_file(
         spark, folder, {"first_day": "1996-01-01", "source": "file_recent", "skip": "5-LOW"}
     )
 

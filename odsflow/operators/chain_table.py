@@ -27,24 +27,32 @@ class ChainRun:
     replaced: list[str] = field(default_factory=list)
 
 
-def _buckets(spark: SparkSession, table: str) -> tuple[int, list[str]]:
-    count = partitions.table_detail(spark, table, "Num Buckets")
-    names = partitions.table_detail(spark, table, "Bucket Columns")
-    if not count or int(count) <= 0:
-        return 0, []
-    return int(count), [n.strip().strip("`") for n in names.strip("[]").split(",")]
+@dataclass(frozen=True)
+class _Store:
+    location: str
+    buckets: int
+    bucketed_by: list[str]
+
+
+def _store(spark: SparkSession, table: str) -> _Store:
+    known = partitions.table_details(spark, table)
+    buckets = max(0, int(known.get("Num Buckets") or 0))
+    names = known.get("Bucket Columns", "").strip("[]")
+    return _Store(
+        known["Location"], buckets, [n.strip().strip("`") for n in names.split(",")] if buckets else []
+    )
 
 
-def _write_run(spark: SparkSession, table: str, rows: DataFrame, folder: str, by: str) -> None:
+def _write_run(table: str, store: _Store, rows: DataFrame, folder: str, by: str) -> None:
     """Rows into ``folder`` by partition, clustered the way the table is."""
-    count, names = _buckets(spark, table)
     writer = rows.write.format("parquet").partitionBy(by)
-    if not count:
+    if not store.buckets:
         writer.save(folder)
         return
     holder = f"{table}_{uuid.uuid4().hex}"
-    writer.bucketBy(count, *names).sortBy(*names).option("path", folder).saveAsTable(holder)
-    spark.sql(f"DROP TABLE {holder}")
+    clustered = writer.bucketBy(store.buckets, *store.bucketed_by).sortBy(*store.bucketed_by)
+    clustered.option("path", folder).saveAsTable(holder)
+    rows.sparkSession.sql(f"DROP TABLE {holder}")
 
 
 def load_chain_init(df: DataFrame, table: str, day: str, layout: ChainLayout = CHAIN) -> None:
@@ -55,11 +63,15 @@ def load_chain_init(df: DataFrame, table: str, day: str, layout: ChainLayout = C
 
 def load_chain(spark: SparkSession, table: str, history: DataFrame, layout: ChainLayout = CHAIN) -> None:
     """Store a complete chain, such as one built in bulk, as the table's content."""
-    folder = partitions.run_folder(spark, table, "all")
+    store = _store(spark, table)
+    folder = partitions.new_run(store.location, "all")
     rows = partitions.as_stored(history, table)
-    if not _buckets(spark, table)[0]:
-        rows = rows.hint("rebalance", F.col(layout.end))
-    _write_run(spark, table, rows, folder, layout.end)
+    rows = (
+        rows.repartition(store.buckets, *store.bucketed_by)
+        if store.buckets
+        else rows.hint("rebalance", F.col(layout.end))
+    )
+    _write_run(table, store, rows, folder, layout.end)
     mapping = {
         ((layout.end, name.split("=", 1)[1]),): f"{folder}/{name}"
         for name in paths.child_dirs(spark, folder)
@@ -99,22 +111,22 @@ def load_chain_day(
 
     changes = partitions.as_stored(delta, table).drop(*layout.marks)
     small = is_small(changes, broadcast_limit)
-    buckets, _ = _buckets(spark, table)
-    if buckets and not small:
-        changes = changes.repartition(buckets, *keys)
-    folder = partitions.run_folder(spark, table, day)
+    store = _store(spark, table)
+    if store.buckets and not small:
+        changes = changes.repartition(store.buckets, *keys)
+    folder = partitions.new_run(store.location, day)
     touched = chain_day(live, changes, keys, day, layout, small_delta=small)
-    _write_run(spark, table, touched.select(*stored.columns), folder, layout.end)
+    _write_run(table, store, touched.select(*stored.columns), folder, layout.end)
 
     replaced = [
-        partitions.table_detail(spark, table, "Location", spec)
+        partitions.table_details(spark, table, spec).get("Location")
         for spec in partitions.partition_specs(spark, table)
         if spec == open_spec or spec in later
     ]
     written = {n.split("=", 1)[1] for n in paths.child_dirs(spark, folder)}
     if day in written:
         closed = f"{folder}/{layout.end}={day}"
-        if not buckets:
+        if not store.buckets:
             closed = _repacked(spark, closed, f"{folder}/closed")
         partitions.attach_partitions(spark, table, {day_spec: closed})
     if layout.open_end in written:

@@ -51,7 +51,7 @@ def latest_run_per_date(df: DataFrame, date_col: str, run_cols: Sequence[str]) -
     """
     by = [date_col, *run_cols]
     top = newest(df.select(*by), [date_col], run_cols)
-    return df.join(broadcast_if_small(top), by, "left_semi")
+    return df.join(broadcast_if_small(top), by, "left_semi").select(*df.columns)
 
 
 def newest_run_names(runs: DataFrame, date_col: str = "date", run_col: str = "run") -> DataFrame:

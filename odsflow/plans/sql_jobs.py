@@ -2,55 +2,42 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_PIECES = re.compile(r"""'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|--[^\n]*|/\*.*?\*/|;|[^;'"/-]+|.""", re.S)
 
-
-def statements(text: str) -> list[str]:
-    """SQL text cut at semicolons outside quotes; comments are dropped."""
-    out, current = [], []
-    for piece in _PIECES.findall(text):
-        if piece == ";":
-            out.append("".join(current))
-            current = []
-        elif not piece.startswith(("--", "/*")):
-            current.append(piece)
-    out.append("".join(current))
-    return [s.strip() for s in out if s.strip()]
-
-
-def _used(sql: str, params: Mapping[str, object]) -> dict[str, object]:
-    return {k: v for k, v in params.items() if re.search(rf":{re.escape(k)}\b", sql)}
-
-
-def run_sql(spark: SparkSession, text: str, params: Mapping[str, object] | None = None) -> DataFrame | None:
-    """Run the statements in order; the last one's result is returned.
-
-    Values come in as named parameters (``:day``, ``IDENTIFIER(:tab)``) or as
-    ``${hiveconf:day}`` variables; the latter are set for this call only.
-    """
-    given = dict(params or {})
-    before = {k: spark.conf.get(k, None) for k in given}
-    result = None
+@contextmanager
+def _variables(spark: SparkSession, values: Mapping[str, object]):
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
-        for key, value in given.items():
+        for key, value in values.items():
             spark.conf.set(key, str(value))
-        for sql in statements(text):
-            result = spark.sql(sql, args=_used(sql, given))
+        yield
     finally:
         for key, value in before.items():
             if value is None:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
-    return result
 
 
-def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] | None = None) -> DataFrame | None:
+def run_sql(spark: SparkSession, text: str, params: Mapping[str, object] | None = None) -> DataFrame:
+    """Run one or several statements; the last one's result is returned.
+
+    Values come in as named parameters (``:day``, ``IDENTIFIER(:tab)``) or as
+    ``${hiveconf:day}`` variables; the latter are set for this call only. The
+    first failing statement ends the run.
+    """
+    given = dict(params or {})
+    body = text.rstrip()
+    script = f"BEGIN\n{body}{'' if body.endswith(';') else chr(10) + ';'}\nEND"
+    with _variables(spark, given):
+        return spark.sql(script, args=given)
+
+
+def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] | None = None) -> DataFrame:
     text = spark.read.text(path, wholetext=True).first()[0]
     return run_sql(spark, text, params)
 
@@ -67,9 +54,11 @@ def run_steps(
     which keeps lineages short and is what several readers of a step want;
     without it a step is a view. The first failing step ends the job.
     """
+    given = dict(params or {})
     results = {}
     for name, sql in steps:
-        rows = run_sql(spark, sql, params)
+        with _variables(spark, given):
+            rows = spark.sql(sql, args=given)
         if root:
             rows.write.mode("overwrite").parquet(f"{root}/{name}")
             rows = spark.read.parquet(f"{root}/{name}")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.sources import paths
 
+_ADD_AT_ONCE = 1000
+
 Spec = tuple[tuple[str, str], ...]
 
 
@@ -39,19 +41,15 @@ def partition_values(spark: SparkSession, table: str) -> list[str]:
     return sorted({spec[0][1] for spec in partition_specs(spark, table)})
 
 
-def table_detail(spark: SparkSession, table: str, field: str, spec: Spec | None = None) -> str | None:
+def table_details(spark: SparkSession, table: str, spec: Spec | None = None) -> dict[str, str]:
+    """Columns and properties of a table, or of one of its partitions."""
     clause = " " + _clause(spec) if spec else ""
-    rows = (
-        spark.sql(f"DESCRIBE TABLE EXTENDED {table}{clause}")
-        .where(F.col("col_name") == field)
-        .select("data_type")
-        .collect()
-    )
-    return rows[0][0] if rows else None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}{clause}").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    return table_detail(spark, table, "Location").rstrip("/")
+    return table_details(spark, table)["Location"].rstrip("/")
 
 
 def attach_partitions(spark: SparkSession, table: str, mapping: Mapping[Spec, str]) -> None:
@@ -61,8 +59,8 @@ def attach_partitions(spark: SparkSession, table: str, mapping: Mapping[Spec, st
     for spec, path in mapping.items():
         if spec in present:
             spark.sql(f"ALTER TABLE {table} {_clause(spec)} SET LOCATION {_literal(path)}")
-    if added:
-        clauses = " ".join(f"{_clause(s)} LOCATION {_literal(p)}" for s, p in added)
+    for i in range(0, len(added), _ADD_AT_ONCE):
+        clauses = " ".join(f"{_clause(s)} LOCATION {_literal(p)}" for s, p in added[i : i + _ADD_AT_ONCE])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {clauses}")
 
 
@@ -87,13 +85,16 @@ def truncate_table(spark: SparkSession, table: str) -> None:
     if any(c.isPartition for c in spark.catalog.listColumns(table)):
         drop_partitions(spark, table)
     else:
-        swap_table(spark, table, spark.table(table).limit(0))
+        swap_table(spark, table, spark.table(table).where(F.lit(False)))
 
 
 def run_folder(spark: SparkSession, table: str, name: str) -> str:
     """A new folder beside the table for the rows of one run."""
-    home = table_location(spark, table).split("_runs/")[0]
-    return f"{home}_runs/{name}-{uuid.uuid4().hex}"
+    return new_run(table_location(spark, table), name)
+
+
+def new_run(location: str, name: str) -> str:
+    return f"{location.rstrip('/').split('_runs/')[0]}_runs/{name}-{uuid.uuid4().hex}"
 
 
 def as_stored(df: DataFrame, table: str) -> DataFrame:
