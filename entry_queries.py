@@ -101,17 +101,14 @@ def configured(cfg: TableConfig, **changes) -> TableConfig:
 
 def day_states(events: DataFrame) -> DataFrame:
     """Each user's last event type per day: one changed row per key and day."""
-    rows = events.select(
-        "user_id", scalars.day_text(F.col("ts")).alias("etl_dt"), "event_type", "ts", "event_id"
-    )
-    return latest.latest_per_key(rows, ["user_id", "etl_dt"], ["ts", "event_id"]).select(
-        "user_id", "event_type", "etl_dt"
-    )
+    rows = events.select("user_id", F.to_date("ts").alias("day"), "event_type", "ts", "event_id")
+    last = latest.latest_per_key(rows, ["user_id", "day"], ["ts", "event_id"])
+    return last.select("user_id", "event_type", scalars.day_text(F.col("day")).alias("etl_dt"))
 
 
 def last_days(events: DataFrame, n: int) -> list[str]:
-    days = events.select(scalars.day_text(F.col("ts")).alias("d")).distinct()
-    return [r.d for r in days.orderBy(F.desc("d")).limit(n).collect()][::-1]
+    days = events.select(F.to_date("ts").alias("d")).distinct().orderBy(F.desc("d")).limit(n)
+    return [r.d.strftime("%Y%m%d") for r in days.collect()][::-1]
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,7 +110,8 @@ def chain_day(
     when any column does, nulls compared as values.
 
     ``small_delta`` says the delta has been measured to fit a broadcast; then
-    the live rows are not shuffled. Otherwise one full outer join on unique
+    the live rows are not shuffled, and their keys are read a second time to
+    tell which of the delta's keys they hold. Otherwise one full outer join on unique
     keys places both sides, which no key can skew.
     """
     data = layout.data_columns(live)
@@ -141,7 +142,7 @@ def chain_day(
         return emit(old.join(new, keys, "full_outer"))
     after = emit(old.join(F.broadcast(new), keys, "left"))
     known = live.select(*keys).join(F.broadcast(delta.select(*keys)), keys, "left_semi")
-    unseen = new.join(known, keys, "left_anti").select("_new")
+    unseen = delta.join(known, keys, "left_anti").select(F.struct(*data).alias("_new"))
     return after.unionByName(unseen.select(opened.alias("_v")).select("_v.*"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from odsflow.functions.scalars import parse_run, path_value, run_parts
 from odsflow.operators.latest import newest
 from odsflow.sizing import broadcast_if_small
-from odsflow.sources.partitions import mount_partitions
+from odsflow.sources.partitions import attach_partitions, mount_partitions, point_table
 
 OPEN_PARTITION = "20991231"
 
@@ -87,6 +87,25 @@ def mount_runs(spark: SparkSession, table: str, mapping: DataFrame, column: str)
     mount_partitions(spark, table, {((column, r["partition"]),): r["path"] for r in found})
 
 
+def mount_date(spark: SparkSession, table: str, column: str, date: str, path: str) -> None:
+    """Let one date's partition read its newest run; other dates stay as they are."""
+    attach_partitions(spark, table, {((column, date),): path})
+
+
+def mount_current(spark: SparkSession, table: str, listing: DataFrame, date: str) -> str:
+    """Let the current table read the newest run of ``date``; returns its folder.
+
+    ``listing`` has (date, run, path). Names that are not a run time, and runs
+    marked as taken, are left out.
+    """
+    found = listing.where((F.col("date") == date) & parse_run(F.col("run")).isNotNull())
+    top = found.agg(F.max_by("path", "run")).first()[0]
+    if top is None:
+        raise FileNotFoundError(f"no run for {date}")
+    point_table(spark, table, top)
+    return top
+
+
 def readiness(status: DataFrame, cutoff: str, group: Sequence[str] = (), ts_col: str = "ts") -> DataFrame:
     """Per group the newest processed time and whether it is strictly after ``cutoff``."""
     top = status.groupBy(*group).agg(F.max(ts_col).alias("newest"))

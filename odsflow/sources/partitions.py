@@ -105,11 +105,16 @@ def as_stored(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def point_table(spark: SparkSession, table: str, path: str) -> None:
+    """Let an unpartitioned table read the folder ``path``."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
+
+
 def swap_table(spark: SparkSession, table: str, df: DataFrame) -> str:
     """Replace the content of an unpartitioned table in one catalog change."""
     folder = run_folder(spark, table, "all")
     as_stored(df, table).write.parquet(folder)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(folder)}")
+    point_table(spark, table, folder)
     return folder
 
 

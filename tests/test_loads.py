@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from odsflow.config import Column, TableConfig
-from odsflow.operators import audit, layouts, loads
+from odsflow.operators import audit, layouts, loads, runs
 from odsflow.sources import files, partitions
 
 CONFIG = TableConfig(
@@ -118,6 +118,22 @@ def test_two_partition_keys(spark, database, tmp_path):
     assert partitions.partition_specs(spark, table) == []
 
 
+def test_current_and_history_mounts(spark, database, tmp_path):
+    for name, k in (("202401010600", 1), ("202401011200", 2), ("202401011300ed", 3)):
+        data(spark, (k, name)).withColumn("k", F.col("k").cast("long")).write.parquet(f"{tmp_path}/ods/20240101/{name}")
+    listing = runs.list_runs(spark, f"{tmp_path}/ods")
+    current = layouts.create_table(spark, config(database), "replace", table=f"{database}.thing_curr")
+    path = runs.mount_current(spark, current, listing, "20240101")
+    assert rows(spark.table(current)) == [(2, "202401011200")]
+    every = layouts.create_table(spark, config(database), "base", table=f"{database}.thing_all")
+    runs.mount_date(spark, every, "biz_end_date", "20240101", path)
+    runs.mount_date(spark, every, "biz_end_date", "20240102", path)
+    runs.mount_date(spark, every, "biz_end_date", "20240101", path.replace("1200", "0600"))
+    assert rows(spark.table(every)) == [(1, "202401010600", "20240101"), (2, "202401011200", "20240102")]
+    with pytest.raises(FileNotFoundError):
+        runs.mount_current(spark, current, listing, "20240109")
+
+
 def test_layout_columns_and_names(spark):
     cfg = config("ods", overrides={"v": "DECIMAL(10,2)"})
     assert layouts.layout_columns(cfg, "chain") == [
