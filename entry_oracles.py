@@ -212,6 +212,14 @@ SELECT 'shop' AS db_name, 'orders' AS table_name, DATE '2024-01-01' AS data_date
        TIMESTAMP '2024-01-01 06:00:00' AS run_time,
        count(*) AS source_count_1, count(*) AS source_count_2, count(*) AS target_count
 FROM orders""",
+    "daily_runs": """
+WITH runs(layout, day, since) AS (
+  VALUES ('slice', DATE '2024-01-01', TIMESTAMP '1900-01-01'), ('append', DATE '1998-01-01', TIMESTAMP '1998-01-01'),
+         ('replace', DATE '2024-01-01', TIMESTAMP '1900-01-01'), ('chain', DATE '2024-01-01', TIMESTAMP '1900-01-01'),
+         ('chain', DATE '2024-01-02', TIMESTAMP '1900-01-01'))
+SELECT 'orders' AS table_name, day AS data_date, TIMESTAMP '2024-01-01 06:00:00' AS run_time,
+       count(*) AS source_count_1, count(*) AS source_count_2, count(*) AS target_count, layout
+FROM runs JOIN orders ON o_orderdate >= since GROUP BY layout, day""",
     "convert_mysql": """
 SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority

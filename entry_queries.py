@@ -21,7 +21,7 @@ from odsflow.operators import (
     runs,
     schema,
 )
-from odsflow.plans import repurchase, sql_jobs
+from odsflow.plans import daily, repurchase, sql_jobs
 from odsflow.settings import fresh_dir
 from odsflow.sources import delimited, files, partitions, rdbms
 from odsflow.streaming import intake
@@ -465,6 +465,31 @@ def audited_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load-log rows of each strategy's run over all orders, end to end."""
+    database, folder = scratch(spark, "daily_runs")
+    cfg = configured(ORDERS, hive_db=database, url=f"parquet:{sf_dir}", source_root=folder, category_input="stg")
+    recent, moment = "o_orderdate >= to_timestamp_ntz('%s', 'yyyyMMdd')", "20240101 06:00:00"
+    logs = []
+    for layout, run in (
+        ("slice", lambda c: daily.run_slice(spark, c, "20240101", moment)),
+        ("append", lambda c: daily.run_increment(spark, c, recent, "19980101", moment)),
+        ("replace", lambda c: daily.run_replace(spark, c, "20240101", moment)),
+        ("chain", lambda c: daily.run_chain_init(spark, c, "20240101", moment)),
+        ("chain", lambda c: daily.run_chain(spark, c, recent, "20240102", moment)),
+    ):
+        own = configured(cfg, hive_table=f"{layout}_h", path_table=layout)
+        if not spark.catalog.tableExists(f"{database}.{layout}_h"):
+            layouts.create_table(spark, own, layout, f"{folder}/{layout}")
+            if layout == "chain":
+                layouts.create_table(spark, own, "staging", f"{folder}/staging")
+        logs.append(run(own).withColumn("layout", F.lit(layout)))
+    result = logs[0]
+    for log in logs[1:]:
+        result = result.unionByName(log)
+    return result.drop("db_name")
+
+
 # Columns and schemas -----------------------------------------------------------------
 
 
@@ -687,7 +712,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, intake_stream, readiness, row_counts,
-        reconcile_counts, etl_log_upsert, batch_log, audited_load, convert_mysql,
+        reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
         row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,
         export_manifest, sql_steps, sql_file, clean_detail,

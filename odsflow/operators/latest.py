@@ -12,10 +12,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     An aggregate instead of ``row_number() = 1``: every task reduces its own
     rows to one per key before the shuffle, so a key holding a large share of
-    the rows costs no more than any other.
+    the rows costs no more than any other. Equal ``order`` values fall back on
+    the remaining columns, so the choice never depends on row placement.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    picked = F.max(F.struct(*order, *rest)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(
         *[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
     )

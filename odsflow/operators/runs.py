@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.functions.scalars import parse_run, path_value, run_parts
 from odsflow.operators.latest import newest
-from odsflow.sizing import broadcast_if_small
+from odsflow.sizing import broadcast_if_small, settle
 from odsflow.sources.partitions import attach_partitions, mount_partitions, point_table
 
 OPEN_PARTITION = "20991231"
@@ -46,11 +46,12 @@ def latest_run(df: DataFrame, run_col: str) -> DataFrame:
 def latest_run_per_date(df: DataFrame, date_col: str, run_cols: Sequence[str]) -> DataFrame:
     """Rows of the newest run of each date, the run columns kept.
 
-    One row per date is measured before it is broadcast; the rows themselves
-    then stay where they are, however unevenly dates are filled.
+    The newest names, one row per date, are settled first and measured before
+    they are broadcast; the rows themselves then stay where they are, however
+    unevenly dates are filled.
     """
     by = [date_col, *run_cols]
-    top = newest(df.select(*by), [date_col], run_cols)
+    top = settle(newest(df.select(*by), [date_col], run_cols), "newest_runs")
     return df.join(broadcast_if_small(top), by, "left_semi").select(*df.columns)
 
 

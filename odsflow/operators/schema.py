@@ -47,9 +47,17 @@ def stored_columns(cfg: TableConfig, binary_blob: bool = False) -> list[tuple[st
 
 
 def conform(df: DataFrame, cfg: TableConfig, binary_blob: bool = False) -> DataFrame:
-    """Declared order and types, by name; text that does not parse becomes null."""
+    """Declared order and types, by name; text that does not parse becomes null.
+
+    A row id converted to ``g_<name>`` is stored under its declared name.
+    """
+
+    def source(name: str):
+        renamed = name not in df.columns and f"g_{name}" in df.columns
+        return F.col(f"`g_{name}`" if renamed else f"`{name}`")
+
     return df.select(
-        *[F.col(f"`{n}`").try_cast(t).alias(n) for n, t in stored_columns(cfg, binary_blob)]
+        *[source(n).try_cast(t).alias(n) for n, t in stored_columns(cfg, binary_blob)]
     )
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from odsflow.settings import broadcast_limit
+from odsflow.settings import broadcast_limit, fresh_dir
 
 _ROW_OVERHEAD = 32
 _FIXED_WIDTH = 16
@@ -33,6 +33,18 @@ def is_small(df: DataFrame, limit: int | None = None) -> bool:
     return bound > 0 and measured_bytes(df) <= bound
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result that several branches of a plan use: it is computed one time,
+    outlives lost executors and costs next to nothing to measure.
+    """
+    spark = df.sparkSession
+    folder = fresh_dir(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Hint a broadcast after measuring ``df``; beyond the bound Spark shuffles."""
     return F.broadcast(df) if is_small(df, limit) else df

@@ -42,10 +42,16 @@ def partition_values(spark: SparkSession, table: str) -> list[str]:
 
 
 def table_details(spark: SparkSession, table: str, spec: Spec | None = None) -> dict[str, str]:
-    """Columns and properties of a table, or of one of its partitions."""
+    """Properties of a table, or of one of its partitions."""
     clause = " " + _clause(spec) if spec else ""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}{clause}").collect()
-    return {r["col_name"]: r["data_type"] for r in rows}
+    found: dict[str, str] = {}
+    detailed = False
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}{clause}").collect():
+        detailed = detailed or row["col_name"].startswith("# Detailed")
+        if detailed:
+            # A partition's own entries stand before those of its table.
+            found.setdefault(row["col_name"], row["data_type"])
+    return found
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -142,3 +148,20 @@ def swap_partitions(spark: SparkSession, table: str, df: DataFrame, column: str)
         {((column, unquote(n.split("=", 1)[1])),): f"{folder}/{n}" for n in names},
     )
     return names
+
+
+def discard_runs(spark: SparkSession, table: str) -> list[str]:
+    """Delete run folders that neither the table nor a partition reads any more.
+
+    Replaced folders are kept until then, for readers that still use them; call
+    this while no load of the table is under way.
+    """
+    home = table_location(spark, table).split("_runs/")[0]
+    locations = [table_location(spark, table)]
+    for spec in partition_specs(spark, table):
+        locations.append(table_details(spark, table, spec)["Location"])
+    used = {part.split("/")[0] for loc in locations for part in loc.split("_runs/")[1:]}
+    unused = [n for n in paths.child_dirs(spark, f"{home}_runs") if n not in used]
+    for name in unused:
+        paths.delete(spark, f"{home}_runs/{name}")
+    return unused

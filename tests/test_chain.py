@@ -184,6 +184,9 @@ def test_stored_chain_days_and_replay(spark, database, tmp_path, buckets, limit)
         assert run.broadcast == (limit is None)
         fed.append((day, changes))
         assert rows(spark.table(table)) == replayed(fed, START)
+    assert len(run.replaced) == 1 and f"end_dt={OPEN}" in run.replaced[0] and f"_runs/{days[2][0]}" in run.replaced[0]
+    assert len(partitions.discard_runs(spark, table)) >= 5
+    assert rows(spark.table(table)) == replayed(fed, START)
     later = chain_table.load_chain_day(
         spark, table, spark.createDataFrame([], DELTA), KEYS, "20240103", broadcast_limit=limit
     )

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from odsflow.config import Column, TableConfig
 from odsflow.operators import audit, layouts, loads, runs
+from odsflow.plans import daily
 from odsflow.sources import files, partitions
 
 CONFIG = TableConfig(
@@ -146,6 +147,50 @@ def test_layout_columns_and_names(spark):
     assert dict(layouts.layout_columns(blob, "append"))["b"] == "STRING"
 
 
+def test_only_unused_run_folders_are_discarded(spark, database):
+    table = layouts.create_table(spark, config(database), "append")
+    for value in ("a", "b"):
+        loads.load_increment(data(spark, (1, value)), table, "20240101")
+    loads.load_increment(data(spark, (2, "c")), table, "20240102")
+    assert [n[:8] for n in partitions.discard_runs(spark, table)] == ["20240101"]
+    assert rows(spark.table(table)) == [(1, "b", "20240101"), (2, "c", "20240102")]
+    assert partitions.discard_runs(spark, table) == []
+
+
+def test_daily_runs_keep_a_copy_and_rebuild_from_it(spark, database, tmp_path):
+    data(spark, (1, "a\nb"), (2, None)).write.parquet(f"{tmp_path}/src/thing.parquet")
+    cfg = config(
+        database, url=f"parquet:{tmp_path}/src", table="thing", source_root=f"{tmp_path}/ods",
+        category_input="stg", path_db="shop", path_table="thing", schema_version="1",
+    )
+    table = layouts.create_table(spark, cfg, "slice")
+    log = daily.run_slice(spark, cfg, "20240101").first()
+    assert (log.db_name, log.source_count_1, log.target_count) == ("src", 2, 2)
+    loaded = [("20240101", 1, "ab", "20240101"), ("20240101", 2, None, "20240101")]
+    assert rows(spark.table(table)) == loaded
+    assert spark.read.parquet(f"{tmp_path}/ods/stg/shop/thing/1/20240101").count() == 2
+    partitions.drop_partitions(spark, table)
+    daily.reload_slice(spark, cfg, "20240101")
+    assert rows(spark.table(table)) == loaded
+
+
+def test_chain_runs_close_and_open(spark, database, tmp_path):
+    source = f"{tmp_path}/src/thing.parquet"
+    data(spark, (1, "a"), (2, "b")).write.parquet(source)
+    cfg = config(database, url=f"parquet:{tmp_path}/src", table="thing")
+    chain, _ = layouts.create_chain_tables(spark, cfg, f"{tmp_path}/t")
+    daily.run_chain_init(spark, cfg, "20240101")
+    data(spark, (1, "a"), (2, "B"), (3, "c")).write.mode("overwrite").parquet(source)
+    log = daily.run_chain(spark, cfg, "k > 1 and '%s' > ''", "20240102").first()
+    assert (log.source_count_1, log.source_count_2, log.target_count) == (3, 3, 3)
+    assert rows(spark.table(chain)) == sorted(
+        [
+            ("20240101", "19000101", 1, "a", "30001231"), ("20240101", "19000101", 2, "b", "20240102"),
+            ("20240102", "20240102", 2, "B", "30001231"), ("20240102", "20240102", 3, "c", "30001231"),
+        ]
+    )
+
+
 def test_audited_load_meets_in_one_row(spark, database):
     table = layouts.create_table(spark, config(database), "slice")
     source = data(spark, (1, "a"), (2, "b"))
