@@ -175,6 +175,21 @@ WITH halves AS (
   SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date, hour(ts) >= 12 AS half FROM events),
 top AS (SELECT biz_end_date, max(half) AS half FROM halves GROUP BY 1)
 SELECT h.* EXCLUDE (half) FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.half = t.half""",
+    "chain_mount": """
+WITH halves AS (
+  SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date, hour(ts) >= 12 AS half FROM events),
+top AS (SELECT biz_end_date, max(half) AS half FROM halves GROUP BY 1)
+SELECT h.* EXCLUDE (half) FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.half = t.half
+UNION ALL SELECT *, '20991231' FROM events
+UNION ALL SELECT *, 'current' FROM events""",
+    "all_data_refresh": """
+WITH halves AS (
+  SELECT *, strftime(ts, '%Y%m%d')[1:7] || '1' AS biz_end_date, hour(ts) >= 12 AS half FROM events),
+top AS (SELECT biz_end_date, max(half) AS half FROM halves GROUP BY 1),
+newest AS (
+  SELECT h.* EXCLUDE (half) FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.half = t.half)
+SELECT * FROM newest
+UNION ALL SELECT * REPLACE ('current' AS biz_end_date) FROM newest WHERE biz_end_date = (SELECT max(biz_end_date) FROM top)""",
     "intake_stream": """
 SELECT *, strftime(ts, '%Y%m%d') AS date,
        strftime(ts, '%Y%m%d') || CASE WHEN hour(ts) < 12 THEN '0000' ELSE '1200' END AS run

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.config import Column, TableConfig
 from odsflow.functions import cleaning, scalars
@@ -21,9 +21,9 @@ from odsflow.operators import (
     runs,
     schema,
 )
-from odsflow.plans import daily, repurchase, sql_jobs
+from odsflow.plans import daily, mounts, repurchase, sql_jobs
 from odsflow.settings import fresh_dir
-from odsflow.sources import delimited, files, partitions, rdbms
+from odsflow.sources import delimited, files, partitions, paths, rdbms
 from odsflow.streaming import intake
 
 DETAIL_RANGE = ("1995-01-01", "2002-01-01")
@@ -385,8 +385,54 @@ def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     shape = table(spark, sf_dir, "events").schema
     for _ in range(2):
         intake.intake(spark, f"{folder}/staged", f"{folder}/ods", shape, f"{folder}/checkpoint")
-    taken = T.StructType([*shape.fields, T.StructField("date", T.StringType()), T.StructField("run", T.StringType())])
-    return files.read_run(spark, taken, f"{folder}/ods")
+    return intake.read_taken(spark, f"{folder}/ods", shape)
+
+
+def chain_mount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain runs by date with a status file, mounted as history and current table.
+
+    Each day has an early and a late run; the open partition holds all events.
+    """
+    database, folder = scratch(spark, "chain_mount")
+    cfg = configured(EVENTS, hive_db=database, source_root=folder, category_output="out", hive_table="events")
+    root = cfg.run_path(cfg.category_output)
+    events = table(spark, sf_dir, "events")
+    (last,) = last_days(events, 1)
+    half = F.when(F.hour("ts") < 12, "060000_9").otherwise("060000_10")
+    named = events.select(
+        "*", scalars.day_text(F.col("ts")).alias("date"), F.concat(scalars.day_text(F.col("ts")), half).alias("run")
+    )
+    named.hint("rebalance", F.col("date"), F.col("run")).write.partitionBy("date", "run").parquet(f"{folder}/staged")
+    for run in runs.list_runs(spark, f"{folder}/staged").collect():
+        paths.rename(spark, run.path, f"{root}/{run.date}/{run.run}")
+    events.write.parquet(f"{root}/20991231/{last}060000_11")
+    declared = ", ".join(f'{{"name":"{c.name}","type":"{c.type}"}}' for c in cfg.columns)
+    line = f'{last}060000_11\t{{"columns":[{declared}]}}'
+    spark.range(1).select(F.lit(line)).write.text(f"{folder}/lines")
+    for n, part in enumerate(paths.child_files(spark, f"{folder}/lines")):
+        paths.rename(spark, f"{folder}/lines/{part}", f"{root}/success/{last}060000_{n}.txt")
+    current, history = mounts.mount_chain(spark, cfg, "20991231", "2024-01-01 00:00:00", folder)
+    return spark.table(history).unionByName(
+        spark.table(current).withColumn("biz_end_date", F.lit("current"))
+    )
+
+
+def all_data_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events staged as two runs per ten days; each date's newest one becomes its partition."""
+    database, folder = scratch(spark, "all_data")
+    cfg = configured(
+        EVENTS, hive_db=database, source_root=folder, category_input="stg", category_output="out", hive_table="events"
+    )
+    tens = F.concat(F.substring(scalars.day_text(F.col("ts")), 1, 7), F.lit("1"))
+    staged = table(spark, sf_dir, "events").select(
+        "*", tens.alias("date"), F.concat(tens, F.when(F.hour("ts") < 12, "0000").otherwise("1200")).alias("run")
+    )
+    staged.write.partitionBy("date", "run").parquet(cfg.run_path("stg"))
+    for row in staged.select("date").distinct().orderBy("date").collect():
+        current, history = mounts.refresh_all_data(spark, cfg, row.date, f"{folder}/checkpoint", folder)
+    return spark.table(history).unionByName(
+        spark.table(current).withColumn("biz_end_date", F.lit("current"))
+    )
 
 
 def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -711,7 +757,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd2_init_old_layout, scd2_init_stored, cdc_latest, latest_event, snapshot_diff,
         all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, copy_partition, latest_run, latest_run_per_date, newest_run_names,
-        resolve_chain_runs, mount_runs, intake_stream, readiness, row_counts,
+        resolve_chain_runs, mount_runs, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
         reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
         row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,

@@ -2,27 +2,49 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.functions.scalars import parse_run, path_value, run_parts
+from odsflow.functions.scalars import parse_run, run_parts
 from odsflow.operators.latest import newest
 from odsflow.sizing import broadcast_if_small, settle
+from odsflow.sources import paths
 from odsflow.sources.partitions import attach_partitions, mount_partitions, point_table
 
 OPEN_PARTITION = "20991231"
 
 
-def list_runs(spark: SparkSession, root: str) -> DataFrame:
-    """(date, run, path) of the run folders ``<root>/<date>/<run>/...`` with files."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    )
-    folder = F.regexp_replace("path", r"/[^/]*$", "")
-    return files.select(
-        path_value(folder, 2).alias("date"), path_value(folder).alias("run"), folder.alias("path")
-    ).distinct()
+_STATUS_FOLDER = "success"
+
+
+def _bare(name: str) -> str:
+    """``x`` from a folder named ``x`` or ``<column>=x``."""
+    return name.split("=", 1)[-1]
+
+
+def list_runs(spark: SparkSession, root: str, dates: Sequence[str] | None = None) -> DataFrame:
+    """(date, run, path) of the run folders ``<root>/<date>/<run>``.
+
+    Only folder names are listed, one call per date; ``dates`` narrows them.
+    """
+    found = [
+        (_bare(day), _bare(run), f"{root}/{day}/{run}")
+        for day in paths.child_dirs(spark, root)
+        if dates is None or _bare(day) in dates
+        for run in paths.child_dirs(spark, f"{root}/{day}")
+    ]
+    return spark.createDataFrame(found, "date string, run string, path string")
+
+
+def chain_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Status lines of the newest ``<ts>_<id>.<ext>`` file in ``folder``."""
+    named = [re.match(r"([0-9]{14})_([0-9]+)", n) for n in paths.child_files(spark, folder)]
+    runs_found = [(m[1], int(m[2]), m.string) for m in named if m]
+    if not runs_found:
+        raise FileNotFoundError(f"no status file in {folder}")
+    return parse_status(spark.read.text(f"{folder}/{max(runs_found)[2]}"))
 
 
 def parse_status(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -71,7 +93,7 @@ def resolve_chain_runs(status: DataFrame, listing: DataFrame, today: str) -> Dat
     name = F.concat_ws("_", "ts", F.col("id").cast("string"))
     top = newest(status, [], ["ts", "id"]).select(name.alias("run"))
     per_date = newest(
-        listing.where(~F.col("date").isin("success", OPEN_PARTITION)), ["date"], ["ts", "id"]
+        listing.where(~F.col("date").isin(_STATUS_FOLDER, OPEN_PARTITION)), ["date"], ["ts", "id"]
     )
     current = top.scalar()
     chosen = F.when(F.substring(current, 1, 8) == today, current).otherwise(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -40,6 +41,11 @@ def broadcast_limit(spark: SparkSession) -> int:
     return max(0, int(match.group(1)) * _UNITS[match.group(2)])
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="odsflow-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -51,9 +57,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="odsflow-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return _local_dir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from odsflow.functions.scalars import path_value
 
@@ -38,11 +39,13 @@ def intake(
     checkpoint: str,
     max_files: int | None = None,
     archive: str | None = None,
-) -> int:
-    """Copy every staged run not yet taken into ``target``; returns rows taken.
+) -> StreamingQuery:
+    """Copy every staged run not yet taken into ``target``; returns the finished query.
 
     The checkpoint remembers what was taken, so a second call takes only new
-    runs, and a call that was cut off is completed by the next one.
+    runs, and a call that was cut off is completed by the next one. Read
+    ``target`` as a whole: its sink log leaves out files of failed attempts.
+    ``max_files`` bounds a batch where the backlog is large.
     """
     rows = staged_runs(spark, staged, schema, max_files, archive)
     query = (
@@ -54,4 +57,10 @@ def intake(
         .start()
     )
     query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    return query
+
+
+def read_taken(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+    """The rows taken so far, with their date and run."""
+    marks = [T.StructField(c, T.StringType()) for c in ("date", "run")]
+    return spark.read.schema(T.StructType([*schema.fields, *marks])).parquet(target)
