@@ -175,6 +175,13 @@ WITH halves AS (
   SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date, hour(ts) >= 12 AS half FROM events),
 top AS (SELECT biz_end_date, max(half) AS half FROM halves GROUP BY 1)
 SELECT h.* EXCLUDE (half) FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.half = t.half""",
+    "mount_newest": """
+WITH halves AS (
+  SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date,
+         strftime(ts, '%Y%m%d') || CASE WHEN hour(ts) < 12 THEN '0000' ELSE '1200' END AS process_start_datetime
+  FROM events),
+top AS (SELECT biz_end_date, max(process_start_datetime) AS run FROM halves GROUP BY 1)
+SELECT h.* FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.process_start_datetime = t.run""",
     "chain_mount": """
 WITH halves AS (
   SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date, hour(ts) >= 12 AS half FROM events),

@@ -388,6 +388,19 @@ def intake_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.read_taken(spark, f"{folder}/ods", shape)
 
 
+def mount_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs mounted by date and run name."""
+    database, folder = scratch(spark, "mount_newest")
+    _stage_halves(spark, sf_dir, f"{folder}/staged")
+    columns = ", ".join(f"{c} {t}" for c, t in schema.stored_columns(EVENTS))
+    spark.sql(
+        f"CREATE TABLE {database}.t ({columns}, biz_end_date STRING, process_start_datetime STRING) USING parquet"
+        f" PARTITIONED BY (biz_end_date, process_start_datetime) LOCATION '{folder}/t'"
+    )
+    mounts.mount_newest(spark, f"{database}.t", f"{folder}/staged")
+    return spark.table(f"{database}.t")
+
+
 def chain_mount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chain runs by date with a status file, mounted as history and current table.
 
@@ -757,7 +770,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd2_init_old_layout, scd2_init_stored, cdc_latest, latest_event, snapshot_diff,
         all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, copy_partition, latest_run, latest_run_per_date, newest_run_names,
-        resolve_chain_runs, mount_runs, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
+        resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
         reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
         row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,

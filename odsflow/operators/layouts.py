@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, types as T
 
 from odsflow.config import TableConfig
 from odsflow.operators.schema import stored_columns
@@ -47,6 +47,13 @@ def layout_columns(cfg: TableConfig, layout: str) -> list[tuple[str, str]]:
     return names
 
 
+def layout_schema(cfg: TableConfig, layout: str) -> tuple[T.StructType, list[str]]:
+    """The layout's stored columns as a schema, and its partition columns."""
+    ddl = ", ".join(f"`{c}` {t}" for c, t in layout_columns(cfg, layout))
+    part = LAYOUTS[layout].partition
+    return T.StructType.fromDDL(ddl), [part] if part else []
+
+
 def table_name(cfg: TableConfig, layout: str) -> str:
     name = staging_name(cfg.hive_table) if layout == "staging" else cfg.hive_table
     return f"{cfg.hive_db}.{name}{LAYOUTS[layout].suffix}"

@@ -89,3 +89,19 @@ def mount_chain(
     spec = ((DATE_COLUMN, runs.OPEN_PARTITION),)
     partitions.point_table(spark, current, partitions.table_details(spark, history, spec)["Location"])
     return current, history
+
+
+def mount_newest(
+    spark: SparkSession,
+    table: str,
+    root: str,
+    columns: tuple[str, str] = (DATE_COLUMN, "process_start_datetime"),
+) -> None:
+    """Make each date's newest run folder, names compared as text, the table's only partitions.
+
+    The table is partitioned by date and run.
+    """
+    newest = latest_per_key(runs.list_runs(spark, root), ["date"], ["run"]).collect()
+    by_date, by_run = columns
+    mapping = {((by_date, r["date"]), (by_run, r["run"])): r["path"] for r in newest}
+    partitions.mount_partitions(spark, table, mapping)

@@ -47,12 +47,14 @@ def run_steps(
     steps: Sequence[tuple[str, str]],
     params: Mapping[str, object] | None = None,
     root: str | None = None,
+    database: str | None = None,
 ) -> dict[str, DataFrame]:
     """Named queries in order, each visible to the later ones under its name.
 
     With ``root`` every step is written to ``<root>/<name>`` once and read back,
-    which keeps lineages short and is what several readers of a step want;
-    without it a step is a view. The first failing step ends the job.
+    with ``database`` it replaces the table ``<database>.<name>``; both keep
+    lineages short and are what several readers of a step want. Without either
+    a step is a view. The first failing step ends the job.
     """
     given = dict(params or {})
     results = {}
@@ -62,6 +64,10 @@ def run_steps(
         if root:
             rows.write.mode("overwrite").parquet(f"{root}/{name}")
             rows = spark.read.parquet(f"{root}/{name}")
+        elif database:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            rows.write.saveAsTable(f"{database}.{name}")
+            rows = spark.table(f"{database}.{name}")
         rows.createOrReplaceTempView(name)
         results[name] = rows
     return results

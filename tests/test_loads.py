@@ -141,6 +141,8 @@ def test_layout_columns_and_names(spark):
         ("etl_dt", "STRING"), ("start_dt", "STRING"), ("k", "BIGINT"), ("v", "DECIMAL(10,2)"), ("end_dt", "STRING"),
     ]
     assert layouts.table_name(cfg, "staging") == "ods.thing_m"
+    shape, parts = layouts.layout_schema(cfg, "append")
+    assert shape.simpleString() == "struct<k:bigint,v:decimal(10,2),etl_dt:string>" and parts == ["etl_dt"]
     assert layouts.table_name(cfg, "base") == "ods.thing_h_s"
     blob = config("ods", columns=(Column(1, "b", "blob"),))
     assert dict(layouts.layout_columns(blob, "slice"))["b"] == "BINARY"

@@ -151,6 +151,14 @@ def test_repurchase_regroups_counts_per_customer(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_steps_as_tables(spark, database):
+    steps = [("first", "select :n as n"), ("second", f"select n + 1 as n from {database}.first")]
+    for n in (1, 5):
+        done = sql_jobs.run_steps(spark, steps, {"n": n}, database=database)
+        assert done["second"].first().n == n + 1
+    assert spark.catalog.tableExists(f"{database}.second")
+
+
 def test_sql_text(spark, tmp_path):
     spark.range(5).createOrReplaceTempView("sql_numbers")
     out = sql_jobs.run_sql(
