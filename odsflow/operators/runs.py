@@ -59,9 +59,10 @@ def parse_status(lines: DataFrame, value: str = "value") -> DataFrame:
 def latest_run(df: DataFrame, run_col: str) -> DataFrame:
     """Rows of the newest run; names that are not a run time are left out.
 
-    The newest name is one scalar, so no row is moved to find its rows.
+    Each name is parsed once, and the newest is one scalar: no row is moved.
     """
-    top = df.where(parse_run(F.col(run_col)).isNotNull()).agg(F.max(run_col))
+    names = df.select(run_col).distinct()
+    top = names.where(parse_run(F.col(run_col)).isNotNull()).agg(F.max(run_col))
     return df.where(F.col(run_col) == top.scalar())
 
 

@@ -9,7 +9,7 @@ from odsflow.functions.scalars import parse_run
 from odsflow.operators import loads, runs
 from odsflow.operators.latest import latest_per_key
 from odsflow.operators.schema import schema_drift, stored_columns
-from odsflow.sources import partitions
+from odsflow.sources import partitions, paths
 from odsflow.streaming.intake import intake, read_taken
 
 DATE_COLUMN = "biz_end_date"
@@ -48,10 +48,10 @@ def refresh_all_data(
     ddl = ", ".join(f"`{c}` {t}" for c, t in stored_columns(cfg))
     shape = T.StructType.fromDDL(ddl)
     intake(spark, cfg.run_path(cfg.category_input), ods, shape, checkpoint)
-    of_day = read_taken(spark, ods, shape).where(F.col("date") == day)
-    newest = runs.latest_run(of_day, "run").drop("date", "run")
-    if newest.isEmpty():
+    taken = read_taken(spark, ods, shape).where(F.col("date") == day) if paths.exists(spark, ods) else None
+    if taken is None or taken.isEmpty():
         raise FileNotFoundError(f"no run of {day} has been taken")
+    newest = runs.latest_run(taken, "run").drop("date", "run")
     loads.load_replace(newest, current)
     loads.load_increment(newest, history, day, DATE_COLUMN)
     return current, history

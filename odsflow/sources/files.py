@@ -59,8 +59,7 @@ def export_query(
     spark: SparkSession, sql: str, path: str, date: str, system: str, table: str, **options
 ) -> tuple[str, str]:
     """Export a query; ``:date`` in it stands for the date."""
-    rows = spark.sql(sql, args={"date": date} if ":date" in sql else {})
-    return export_file(rows, path, date, system, table, **options)
+    return export_file(spark.sql(sql, args={"date": date}), path, date, system, table, **options)
 
 
 def verify_export(spark: SparkSession, data: str, sums: str) -> DataFrame:
