@@ -15,10 +15,6 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "125000000",
-    # Joins hash a side, instead of sorting both, where its shuffled parts measure small.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "67108864",
-    # A chain run writes two partitions at once; no sort is needed to keep them apart.
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
