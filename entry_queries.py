@@ -20,6 +20,7 @@ from odsflow.operators import (
     loads,
     runs,
     schema,
+    skew,
 )
 from odsflow.plans import daily, mounts, repurchase, sql_jobs
 from odsflow.settings import fresh_dir
@@ -709,10 +710,10 @@ def sql_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    return skew.split_join(line, table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.col("o_orderkey").alias("parent_id"),
-        F.col("l_orderkey").alias("order_id"),
+        F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("cust_id"),
         F.col("l_returnflag").alias("cust_type"),
         F.col("l_linestatus").alias("order_type"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from odsflow.functions.scalars import day_range, platform_class, shop_flag, zero_if_null
+from odsflow.operators.skew import split_join
 
 ALL_DEPARTMENTS = "rbz"
 ALL_SHOPS = "zy+pt"
@@ -15,24 +16,24 @@ ALL_SHOPS = "zy+pt"
 def clean_detail(detail: DataFrame, product: DataFrame, start: str, end: str) -> DataFrame:
     """Distinct order lines of the range with their product's categories.
 
-    Lines whose product has no department are left out, which lets Spark plan
-    the left join as an inner one and split skewed products.
+    Lines whose product has no department are left out, so only products with
+    one are joined; a product with very many lines does not end in one task.
     """
-    lines = detail.where(day_range(F.col("data_date"), start, end)).alias("a")
-    joined = lines.join(product.alias("b"), F.col("a.product_id") == F.col("b.product_id"), "left")
+    lines = detail.where(day_range(F.col("data_date"), start, end))
+    placed = product.where(F.col("bd_id").isNotNull())
     return (
-        joined.where(F.col("b.bd_id").isNotNull())
+        split_join(lines, placed, "product_id")
         .select(
-            "a.parent_id", "a.order_id", "a.cust_id", "a.cust_type", "a.order_type",
-            zero_if_null(F.col("a.allot_quantity")).alias("allot_quantity"),
-            zero_if_null(F.col("a.bargin_price")).alias("bargin_price"),
-            "a.receiver_country_id", "a.receiver_province_id", "a.receiver_city_id",
-            shop_flag(F.col("a.shop_id")).alias("shop_id"),
-            "a.order_source",
-            platform_class(F.col("a.from_platform")).alias("from_platform"),
-            "a.product_id", "b.category_path", "b.category_path2", "b.path2_name",
-            "b.category_path3", "b.path3_name", "a.order_status",
-            "a.order_creation_date", "a.send_date", "b.bd_id",
+            "parent_id", "order_id", "cust_id", "cust_type", "order_type",
+            zero_if_null(F.col("allot_quantity")).alias("allot_quantity"),
+            zero_if_null(F.col("bargin_price")).alias("bargin_price"),
+            "receiver_country_id", "receiver_province_id", "receiver_city_id",
+            shop_flag(F.col("shop_id")).alias("shop_id"),
+            "order_source",
+            platform_class(F.col("from_platform")).alias("from_platform"),
+            "product_id", "category_path", "category_path2", "path2_name",
+            "category_path3", "path3_name", "order_status",
+            "order_creation_date", "send_date", "bd_id",
         )
         .distinct()
     )

@@ -28,9 +28,15 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """True when ``df`` fits the session's broadcast threshold (or ``limit``)."""
+    """True when ``df`` fits the session's broadcast threshold (or ``limit``).
+
+    Rows are counted first, which on stored tables reads footers only: a large
+    table is refused without reading its columns.
+    """
     bound = broadcast_limit(df.sparkSession) if limit is None else limit
-    return bound > 0 and measured_bytes(df) <= bound
+    if bound <= 0 or df.count() * _ROW_OVERHEAD > bound:
+        return False
+    return measured_bytes(df) <= bound
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

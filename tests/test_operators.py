@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from odsflow.functions.scalars import day_bounds
-from odsflow.operators import audit, cdc, diff, latest, runs
+from odsflow.operators import audit, cdc, diff, latest, runs, skew
 from odsflow.plans import repurchase, sql_jobs
 
 
@@ -39,6 +39,54 @@ def test_cdc_keeps_deleted_keys_and_composite_keys(spark):
     ]
 
 
+def test_split_join_equals_a_plain_join(spark):
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 != 1, F.col("id") % 900).alias("k"), "id"
+    )
+    right = spark.range(0, 1000, 2).selectExpr("id as k", "id * 2 as v").unionAll(
+        spark.sql("select 7L k, 1L v union all select 7L, 2L union all select null, 3L")
+    )
+    assert skew.hot_keys(left, "k", fraction=1) == [7]
+    assert skew.hot_keys(left.where("false"), "k", fraction=1) == []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    expected = rows(left.join(right, "k"))
+    try:
+        for limit, few in ((before, 1), ("4000", 1), ("-1", 0)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            joined = skew.split_join(left, right, "k", fraction=1)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastHashJoin") == few
+            assert rows(joined) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_products_are_not_gathered_for_the_distinct(spark):
+    names = (
+        "parent_id order_id cust_id cust_type order_type allot_quantity bargin_price receiver_country_id"
+        " receiver_province_id receiver_city_id shop_id order_source from_platform order_status"
+        " order_creation_date send_date"
+    ).split()
+    detail = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 97).alias("product_id"),
+        F.lit("2024-01-01").alias("data_date"),
+        *[(F.col("id") % 50).cast("int").alias(n) for n in names],
+    )
+    product = spark.range(97).select(
+        F.col("id").alias("product_id"), (F.col("id") % 5).cast("int").alias("bd_id"),
+        *[F.lit(n).alias(n) for n in ("category_path", "category_path2", "path2_name", "category_path3", "path3_name")],
+    )
+    small = repurchase.clean_detail(detail, product, "2024-01-01", "2024-02-01")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
+        split = repurchase.clean_detail(detail, product, "2024-01-01", "2024-02-01")
+        plan = split._jdf.queryExecution().executedPlan().toString()
+        assert "Union" in plan and rows(split) == rows(small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_day_bounds_reach_the_scan(spark, tmp_path):
     spark.sql("select timestamp_ntz'2024-01-01 10:00:00' ts, 1 k").write.parquet(f"{tmp_path}/x")
     df = spark.read.parquet(f"{tmp_path}/x")
