@@ -6,6 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+# Platform ids of the second class, bounds excluded.
+LOW_PLATFORMS = (0, 21)
+HIGH_PLATFORM = 120
+
 RECORDED_SCHEMA = T.StructType(
     [
         T.StructField(
@@ -30,9 +34,10 @@ def shop_flag(column: Column) -> Column:
 
 
 def platform_class(column: Column) -> Column:
-    """2 for platform ids 1..20 and above 120, else 1."""
+    """2 for platform ids between 0 and 21 and above 120, else 1."""
     p = zero_if_null(column)
-    return F.when(((p > 0) & (p < 21)) | (p > 120), 2).otherwise(1)
+    low = (p > LOW_PLATFORMS[0]) & (p < LOW_PLATFORMS[1])
+    return F.when(low | (p > HIGH_PLATFORM), 2).otherwise(1)
 
 
 def day_text(ts: Column) -> Column:

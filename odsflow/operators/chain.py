@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 @dataclass(frozen=True)
 class ChainLayout:
-    """Names of the bookkeeping columns and the two fixed days."""
+    """Names of the bookkeeping columns, and the fixed days that stand for always and never."""
 
     etl: str | None = "etl_dt"
     start: str = "start_dt"

@@ -98,6 +98,8 @@ def load_chain_day(
     exchanged. A driver lost in between leaves versions both closed and open;
     the next run of the day reads one of each and so completes the work.
     """
+    if not layout.first < day < layout.open_end:
+        raise ValueError(f"{day} is not between {layout.first} and {layout.open_end}")
     open_spec = ((layout.end, layout.open_end),)
     day_spec = ((layout.end, day),)
     later = {
@@ -109,7 +111,7 @@ def load_chain_day(
     if later:
         live = live.dropDuplicates(list(keys))
 
-    changes = partitions.as_stored(delta, table).drop(*layout.marks)
+    changes = partitions.as_stored(delta, table, layout.marks)
     small = is_small(changes, broadcast_limit)
     store = _store(spark, table)
     if store.buckets and not small:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from odsflow.config import Column, TableConfig
 from odsflow.functions.scalars import schema_of, second_text
 
+# Config types a source conversion treats specially.
 _TIME_TYPES = {"datetime", "timestamp", "date"}
 _LARGE_TYPES = {"clob", "blob", "raw"}
 

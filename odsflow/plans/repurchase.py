@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from odsflow.functions.scalars import day_range, platform_class, shop_flag, zero_if_null
 from odsflow.operators.skew import split_join
 
+# Labels of rows that cover every department or shop kind.
 ALL_DEPARTMENTS = "rbz"
 ALL_SHOPS = "zy+pt"
 

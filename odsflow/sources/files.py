@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from odsflow.sources import delimited, partitions
 
 ROWS_PER_FILE = 1_000_000
+PART_BYTES = 2**30
 
 
 def read_run(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -28,21 +29,29 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def safe_rows_per_file(df: DataFrame) -> int:
+    """Rows that stay below ``PART_BYTES`` even if all were as wide as the widest."""
+    widest = delimited.to_lines(df).agg(F.max(F.octet_length("value") + 1)).first()[0] or 1
+    return max(1, min(ROWS_PER_FILE, PART_BYTES // widest))
+
+
 def export_file(
     df: DataFrame,
     path: str,
     date: str,
     system: str,
     table: str,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     single: bool = False,
 ) -> tuple[str, str]:
     """Rows as delimited text under a dated name, with an MD5 list beside them.
 
     ``<table>_<date>.dat`` is a folder of parts of bounded size, each hashed by
-    itself into ``<table>_<date>.md5``. ``single`` asks for one part and is
-    refused when the rows would not fit one file.
+    itself into ``<table>_<date>.md5``. Without ``rows_per_file`` the widest row
+    is looked up first, so that no part is too large to hash. ``single`` asks
+    for one part and is refused when the rows would not fit one file.
     """
+    rows_per_file = rows_per_file or safe_rows_per_file(df)
     spark = df.sparkSession
     data = export_folder(path, date, system, table, "dat")
     sums = export_folder(path, date, system, table, "md5")

@@ -8,7 +8,7 @@ the table as it was, and nothing is copied a second time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -103,11 +103,11 @@ def new_run(location: str, name: str) -> str:
     return f"{location.rstrip('/').split('_runs/')[0]}_runs/{name}-{uuid.uuid4().hex}"
 
 
-def as_stored(df: DataFrame, table: str) -> DataFrame:
-    """The table's columns that ``df`` has, in table order and of the table's types."""
+def as_stored(df: DataFrame, table: str, without: Collection[str] = ()) -> DataFrame:
+    """``df`` in the table's column order and types; a missing column is an error."""
     fields = df.sparkSession.table(table).schema.fields
     return df.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields if f.name in df.columns]
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields if f.name not in without]
     )
 
 
@@ -127,7 +127,7 @@ def swap_table(spark: SparkSession, table: str, df: DataFrame) -> str:
 def swap_partition(spark: SparkSession, table: str, df: DataFrame, spec: Spec) -> str:
     """Replace one partition; an empty ``df`` leaves it present and empty."""
     folder = run_folder(spark, table, "-".join(v for _, v in spec))
-    as_stored(df, table).drop(*[c for c, _ in spec]).write.parquet(folder)
+    as_stored(df, table, dict(spec)).write.parquet(folder)
     attach_partitions(spark, table, {spec: folder})
     return folder
 

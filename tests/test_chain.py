@@ -194,6 +194,13 @@ def test_stored_chain_days_and_replay(spark, database, tmp_path, buckets, limit)
     assert later.dropped
 
 
+def test_days_outside_the_chain_are_refused(spark, database, tmp_path):
+    table = make_chain(spark, database, tmp_path)
+    for day in ("19000101", OPEN):
+        with pytest.raises(ValueError):
+            chain_table.load_chain_day(spark, table, spark.createDataFrame([], DELTA), KEYS, day)
+
+
 def test_driver_lost_between_the_two_switches(spark, database, tmp_path, monkeypatch):
     table = make_chain(spark, database, tmp_path)
     delta = spark.createDataFrame([(1, "a", "n"), (3, "a", None), (8, "a", "new")], DELTA)

@@ -149,6 +149,8 @@ def test_export_in_parts_and_single(spark, tmp_path):
     assert spark.read.text(data).count() == 1000
     spark.range(1).select(F.lit("extra")).write.mode("append").text(data)
     assert sum(not r.intact for r in files.verify_export(spark, data, sums).collect()) == 1
+    wide = df.withColumn("v", F.repeat(F.lit("w"), 2**20))
+    assert files.safe_rows_per_file(wide) == 1023 and files.safe_rows_per_file(df) == files.ROWS_PER_FILE
     one, _ = files.export_file(df, f"{tmp_path}/one", "20240101", "shop", "t", single=True)
     assert files.manifest(spark, one).count() == 1
     with pytest.raises(ValueError):

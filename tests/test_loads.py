@@ -47,6 +47,12 @@ def test_failed_load_leaves_the_partition_as_it_was(spark, database):
     assert rows(spark.table(table)) == [("20240101", 1, "a", "20240101")]
 
 
+def test_a_missing_column_is_refused(spark, database):
+    table = layouts.create_table(spark, config(database), "append")
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        loads.load_increment(data(spark, (1, "a")).drop("v"), table, "20240101")
+
+
 def test_a_load_may_read_its_own_table(spark, database):
     table = layouts.create_table(spark, config(database), "replace")
     loads.load_replace(data(spark, (1, "a"), (2, "b")), table)
