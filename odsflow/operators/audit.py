@@ -71,9 +71,12 @@ def upsert(
     the rest; an unknown key is added. Of several rows with one key the last
     by ``order`` counts. A single aggregate, reduced before its shuffle.
     """
-    rank = F.struct(F.lit(1).alias("_side"), *[F.col(c) for c in order])
-    base_rank = F.struct(F.lit(0).alias("_side"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order])
-    old = log.select(*log.columns, base_rank.alias("_rank"))
+    def ranked(side: int, values: Sequence[Column]) -> list[Column]:
+        mark = F.lit(side)
+        return [mark.alias("_side"), (F.struct(mark.alias("_side"), *values) if order else mark).alias("_rank")]
+
+    unset = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
+    old = log.select(*log.columns, *ranked(0, unset))
     new = rows.select(
         *[
             F.col(f.name).cast(f.dataType).alias(f.name)
@@ -81,14 +84,14 @@ def upsert(
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in log.schema.fields
         ],
-        rank.alias("_rank"),
+        *ranked(1, [F.col(c) for c in order]),
     )
-    is_new = F.max(F.col("_rank._side")) == 1
+    is_new = F.max("_side") == 1
     values = []
     for c in log.columns:
-        kept = F.max_by(c, F.when(F.col("_rank._side") == 0, 1))
         if c in keys:
             continue
+        kept = F.max_by(c, F.when(F.col("_side") == 0, 1))
         if c in update:
             value = F.max_by(c, "_rank")
         elif c in reset:

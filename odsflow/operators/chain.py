@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def live_before(history: DataFrame, day: str, layout: ChainLayout = CHAIN) -> Da
     return history.where(valid).withColumn(layout.end, F.lit(layout.open_end))
 
 
-def _one_per_key(delta: DataFrame, keys: Sequence[str], row: Column) -> DataFrame:
+def _one_per_key(delta: DataFrame, keys: Sequence[str], data: Sequence[str]) -> DataFrame:
     """Delta rows packed beside their keys; a repeated key fails the job.
 
     The window sorts by the join keys, so the following join reuses both its
@@ -89,10 +89,9 @@ def _one_per_key(delta: DataFrame, keys: Sequence[str], row: Column) -> DataFram
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     repeated = F.raise_error(
         F.concat(F.lit("key repeated in delta: "), F.to_json(F.struct(*keys)))
-    ).cast(delta.select(row.alias("r")).schema["r"].dataType)
-    return delta.select(
-        *keys, row.alias("_row"), rank.alias("_rank")
-    ).select(*keys, F.when(F.col("_rank") == 1, F.col("_row")).otherwise(repeated).alias("_new"))
+    ).cast(T.StructType([delta.schema[c] for c in data]))
+    ranked = delta.select(*keys, F.struct(*data).alias("_row"), rank.alias("_rank"))
+    return ranked.select(*keys, F.when(F.col("_rank") == 1, F.col("_row")).otherwise(repeated).alias("_new"))
 
 
 def chain_day(
@@ -119,7 +118,7 @@ def chain_day(
     start = F.col(f"_old.{layout.start}")
     old_row = F.struct(*[c for c in layout.ordered(data) if c != layout.end])
     old = live.select(*keys, old_row.alias("_old"))
-    new = _one_per_key(delta, keys, F.struct(*data))
+    new = _one_per_key(delta, keys, data)
 
     old_data = [F.col(f"_old.`{c}`") for c in data]
     new_data = [F.col(f"_new.`{c}`") for c in data]

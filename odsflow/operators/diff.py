@@ -13,7 +13,7 @@ def _single(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     packed = df.select(*keys, F.struct(*df.columns).alias("_row"), rank.alias("_rank"))
     repeated = F.raise_error(
         F.concat(F.lit(f"key repeated in {name} snapshot: "), F.to_json(F.struct(*keys)))
-    ).cast(packed.schema["_row"].dataType)
+    ).cast(df.schema)
     return packed.select(
         *keys, F.when(F.col("_rank") == 1, F.col("_row")).otherwise(repeated).alias(f"_{name}")
     )
