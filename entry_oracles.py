@@ -84,6 +84,15 @@ GROUP BY GROUPING SETS ((bd_id, shop_id, ck_parent_id), (bd_id, ck_parent_id), (
 """
 
 
+_MOVED = """
+SELECT '20240101' AS etl_dt, '19000101' AS start_dt, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN c_acctbal > 0 AND c_mktsegment <> 'MACHINERY' THEN '20240102' ELSE '30001231' END AS end_dt
+FROM customer
+UNION ALL
+SELECT '20240102', '20240102', c_custkey, c_name, c_nationkey, c_acctbal, 'MACHINERY', '30001231'
+FROM customer WHERE c_acctbal > 0 AND c_mktsegment <> 'MACHINERY'
+"""
+
 _LAYOUTS = {
     "base": ("c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment,biz_end_date", "biz_end_date"),
     "slice": ("etl_dt,c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment,data_dt", "data_dt"),
@@ -104,13 +113,8 @@ ORACLES: dict[str, str] = {
 SELECT '20240101' AS etl_dt, '19000101' AS start_dt, *, '30001231' AS end_dt FROM customer""",
     "scd2_init_old_layout": """
 SELECT *, '19000000' AS s_dt, '30001231' AS e_dt FROM customer""",
-    "scd2_init_stored": """
-SELECT '20240101' AS etl_dt, '19000101' AS start_dt, c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
-       CASE WHEN c_acctbal > 0 AND c_mktsegment <> 'MACHINERY' THEN '20240102' ELSE '30001231' END AS end_dt
-FROM customer
-UNION ALL
-SELECT '20240102', '20240102', c_custkey, c_name, c_nationkey, c_acctbal, 'MACHINERY', '30001231'
-FROM customer WHERE c_acctbal > 0 AND c_mktsegment <> 'MACHINERY'""",
+    "scd2_init_stored": _MOVED,
+    "scd2_bucketed": _MOVED,
     "cdc_latest": """
 WITH last AS (
   SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
@@ -151,6 +155,9 @@ FROM orders CROSS JOIN (VALUES ('20240101'), ('20240102')) days(day)""",
         f"SELECT '{name}' AS layout, '{cols}' AS columns, '{part}' AS partition, count(*) AS n_rows FROM customer"
         for name, (cols, part) in _LAYOUTS.items()
     ),
+    "drop_partitions": """
+SELECT *, strftime(ts, '%Y%m%d') AS etl_dt FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+    "read_run": "SELECT * FROM events",
     "copy_partition": """
 SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y%m%d')[1:7] AS etl_dt FROM events""",
     "latest_run": f"WITH {_RUNS} SELECT * FROM runs WHERE run = (SELECT max(run) FROM runs)",

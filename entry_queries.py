@@ -157,18 +157,27 @@ def scd2_init_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.chain_init(table(spark, sf_dir, "customer"), "20240101", chain.OLD_CHAIN)
 
 
-def scd2_init_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _moved_customers(spark: SparkSession, sf_dir: str, buckets: int | None, limit: int | None) -> DataFrame:
     """Customers as a stored chain, then the solvent ones' new segment as a day's change."""
-    database, folder = scratch(spark, "scd2_init")
+    database, folder = scratch(spark, "customers")
     cfg = configured(CUSTOMER, hive_db=database)
-    stored, _ = layouts.create_chain_tables(spark, cfg, folder)
+    stored, _ = layouts.create_chain_tables(spark, cfg, folder, buckets=buckets)
     customer = table(spark, sf_dir, "customer")
     chain_table.load_chain_init(customer, stored, "20240101")
     moved = customer.where(F.col("c_acctbal") > 0).withColumn("c_mktsegment", F.lit("MACHINERY"))
-    chain_table.load_chain_day(spark, stored, moved, ["c_custkey"], "20240102")
+    chain_table.load_chain_day(spark, stored, moved, ["c_custkey"], "20240102", broadcast_limit=limit)
     return spark.table(stored)
 
 
+def scd2_init_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _moved_customers(spark, sf_dir, None, None)
+
+
+def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a chain clustered by key, joined without a broadcast."""
+    return _moved_customers(spark, sf_dir, 8, 0)
+
+
 # Change logs, newest rows, comparison ----------------------------------------
 
 
@@ -303,6 +312,29 @@ def layout_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+def drop_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days loaded, those before the 16th dropped again; a second copy emptied altogether."""
+    database, folder = scratch(spark, "drop_partitions")
+    cfg = configured(EVENTS, hive_db=database)
+    kept, emptied = (
+        layouts.create_table(spark, cfg, "append", f"{folder}/{n}", table=f"{database}.{n}") for n in ("kept", "emptied")
+    )
+    events = table(spark, sf_dir, "events").withColumn("etl_dt", scalars.day_text(F.col("ts")))
+    for name in (kept, emptied):
+        loads.load_increments(events, name)
+    partitions.drop_partitions(spark, kept, lambda s: s["etl_dt"] < "20240116")
+    partitions.truncate_table(spark, emptied)
+    return spark.table(kept).unionByName(spark.table(emptied))
+
+
+def read_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run folder read under the declared schema of its table."""
+    folder = f"{fresh_dir(spark, 'read_run')}/20240131/202401312359"
+    table(spark, sf_dir, "events").write.parquet(folder)
+    declared, _ = layouts.layout_schema(EVENTS, "replace")
+    return files.read_run(spark, declared, folder)
+
+
 def copy_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All partitions of one table copied into another, one after the other."""
     database, folder = scratch(spark, "copy_partition")
@@ -768,9 +800,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         scd2_history, scd2_merge, scd2_daily, scd2_as_of, scd2_current, scd2_init,
-        scd2_init_old_layout, scd2_init_stored, cdc_latest, latest_event, snapshot_diff,
+        scd2_init_old_layout, scd2_init_stored, scd2_bucketed, cdc_latest, latest_event, snapshot_diff,
         all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
-        layout_tables, copy_partition, latest_run, latest_run_per_date, newest_run_names,
+        layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
         reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
