@@ -15,3 +15,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+_HELD = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+cut AS (
+  SELECT side, id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+  FROM texts WHERE text IS NOT NULL),
+shingles AS (
+  SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM cut WHERE len(w) >= 5),
+sizes AS (SELECT id AS item_id, count(*) AS n_item FROM shingles WHERE side = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
+       count(*) / any_value(n_item) AS containment
+FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' JOIN sizes ON item_id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n_item)
+"""
+ORACLES["op9_benchmark_items"] = _HELD

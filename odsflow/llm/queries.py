@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import line_dedup, packing, quality, sharding
+from odsflow.llm import decontaminate, line_dedup, near_dedup, packing, quality, sharding
 from odsflow.llm.store import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(documents(spark, sf_dir))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary())
 
@@ -43,6 +47,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.found_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op3_best_fit_packing, op4_differencing_shards, op5_quality_votes, op8_line_dedup)
+    q.__name__: q for q in (op2_near_duplicates, op3_best_fit_packing, op4_differencing_shards, op5_quality_votes, op8_line_dedup, op9_benchmark_items)
 }
