@@ -32,3 +32,26 @@ FROM shingles d JOIN shingles i ON d.s = i.s AND d.side = 'd' AND i.side = 'i' J
 GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(n_item)
 """
 ORACLES["op9_benchmark_items"] = _HELD
+
+ORACLES["op6_passage_dedup"] = r"""
+WITH cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 11)) AS pos,
+         unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS s
+  FROM cut WHERE len(w) >= 13),
+firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS pos
+  FROM windows JOIN firsts USING (s) WHERE doc_id > first),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM cut),
+judged AS (SELECT p.*, g.pos IS NULL AS stays FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.pos = p.pos),
+sums AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (NOT stays) AS n_removed,
+         string_agg(word, ' ' ORDER BY pos) FILTER (stays) AS left_text
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(left_text, '')) AS kept_sha256
+FROM documents d LEFT JOIN sums USING (doc_id)
+"""

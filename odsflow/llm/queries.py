@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import decontaminate, line_dedup, near_dedup, packing, quality, sharding
+from odsflow.llm import decontaminate, line_dedup, near_dedup, packing, quality, repeats, sharding
 from odsflow.llm.store import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -42,6 +42,11 @@ def op5_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "p_good")
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.dedup_passages(documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.dedup_lines(documents(spark, sf_dir))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,5 +57,5 @@ def op9_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_near_duplicates, op3_best_fit_packing, op4_differencing_shards, op5_quality_votes, op8_line_dedup, op9_benchmark_items)
+    q.__name__: q for q in (op2_near_duplicates, op3_best_fit_packing, op4_differencing_shards, op5_quality_votes, op6_passage_dedup, op8_line_dedup, op9_benchmark_items)
 }
