@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import decontaminate, line_dedup, near_dedup, packing, quality, repeats, sharding
+from odsflow.llm import decontaminate, language, licenses, line_dedup, near_dedup, packing, quality, repeats, scoring, sharding
 from odsflow.llm.store import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_masked_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(documents(spark, sf_dir))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(documents(spark, sf_dir))
 
@@ -47,6 +51,10 @@ def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_licence_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licences(documents(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_dedup.dedup_lines(documents(spark, sf_dir))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -56,6 +64,25 @@ def op9_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.found_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs)
+    held_out = ~language.learning(F.col("doc_id"))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_near_duplicates, op3_best_fit_packing, op4_differencing_shards, op5_quality_votes, op6_passage_dedup, op8_line_dedup, op9_benchmark_items)
+    q.__name__: q
+    for q in (
+        op1_masked_scores,
+        op2_near_duplicates,
+        op3_best_fit_packing,
+        op4_differencing_shards,
+        op5_quality_votes,
+        op6_passage_dedup,
+        op7_licence_texts,
+        op8_line_dedup,
+        op9_benchmark_items,
+        op10_language,
+    )
 }

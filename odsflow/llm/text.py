@@ -63,7 +63,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows, and the rows' bounds in them; a null is empty."""
     if array.null_count:
-        array = pc.fill_null(array, "")
+        array = pc.fill_null(array, b"" if pa.types.is_binary(array.type) else "")
     width = np.int64 if pa.types.is_large_string(array.type) else np.int32
     _, places, data = array.buffers()
     bounds = np.frombuffer(places, width)[array.offset : array.offset + len(array) + 1].astype(np.int64)
