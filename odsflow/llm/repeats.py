@@ -11,12 +11,15 @@ two documents share a passage, all symbols whose span lies inside it are equal.
 A window of ``size`` words is judged by one of the high-level symbols whose
 spans it holds (its anchor, the one of the least key; a key names the words of
 the span), or, where it holds none, by its own name. Equal windows have equal
-anchors. So the rounds in Spark are: keys found in two documents or more; the
-windows that have such a key, named by 128 bits; for each, the least document
-that has it. A word is removed where a window of a smaller doc_id covers it.
+anchors. So the windows are shuffled by their key; keys of one document go; and
+of each window, named by 96 bits (64 of its key, 32 of all its words by another
+hash), the least document is found. A word is removed where a window of a
+smaller doc_id covers it.
 
-A key in many documents is reduced within each slice of rows before it is
-shuffled, so a passage of a third of all documents sends one row per slice.
+A passage that many documents share is reduced within each slice of rows before
+it is shuffled: only its least document of the slice sends it. A key in very many
+documents with different words around it is not used; its windows are judged by
+their own names, which spread.
 
 Defined cases: a null text has no words; documents below ``size`` words lose
 none; rows that share a doc_id are judged as one document of several texts; a
@@ -41,6 +44,7 @@ SIZE = 13
 ROUNDS = 3
 IDS_BROADCAST = 16 << 20
 SLICE = 4 << 20
+HOT_SHARE, SAMPLE_OF = 0.002, 32
 
 _FAR = 1 << 40
 _NONE = np.uint64(2**64 - 1)
@@ -128,110 +132,109 @@ class Named:
             np.minimum.at(picked, self.low[on] - back, key[on])
         return picked
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """(document, key) of the windows, without repeats in a row."""
-        new = np.ones(len(self.window_key), bool)
-        new[1:] = (self.window_key[1:] != self.window_key[:-1]) | (self.window_doc[1:] != self.window_doc[:-1])
-        return self.window_doc[new], self.window_key[new]
+    def hot(self, keys: np.ndarray) -> None:
+        """Windows judged by one of ``keys`` (sorted) are judged by their own name instead."""
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, self.window_key), len(keys) - 1)
+            own = keys[at] == self.window_key
+            self.window_key[own] = mix(self.window_name[own] + np.uint64(1))
 
-    def candidates(self, rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The windows (places in ``windows``) whose key is among those of their document."""
-        tagged = self.window_key ^ mix(self.window_doc.astype(np.uint64))
-        return np.flatnonzero(np.isin(tagged, keys ^ mix(rows.astype(np.uint64))))
-
-    def second_name(self, at: np.ndarray) -> np.ndarray:
-        """Another 64 bits for the windows at ``at``."""
+    def second_name(self) -> np.ndarray:
+        """32 more bits for each window, of another hash of its words."""
         other = span_hash(self.data, self.starts, self.ends, table=1)
-        rolled = np.zeros(len(at), np.uint64)
+        rolled = np.zeros(len(self.windows), np.uint64)
         for i in range(self.size):
-            rolled = rolled * np.uint64(0xD1342543DE82EF95) + other[at + i]
-        return mix(rolled)
+            rolled = rolled * np.uint64(0xD1342543DE82EF95) + other[self.windows + i]
+        return (mix(rolled) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
-def _found_keys(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, known): 0 once in its slice; 1 in several documents of its
-    slice; 2 the same, for the one row that tells other slices."""
+def hot_keys(docs: DataFrame, share: float = HOT_SHARE) -> np.ndarray:
+    """Keys of more than ``share`` of a sample's documents; the sample only chooses how rows are dealt.
+
+    A document has a bounded number of keys a word, so this list is bounded too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
-            doc, key = Named(part.column("text")).keys()
-            ids = part.column("doc_id").to_numpy()[doc]
-            order = np.lexsort((ids, key))
-            key, ids = key[order], ids[order]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])
-            key, ids = key[new], ids[new]
-            leads = np.ones(len(key), bool)
-            leads[1:] = key[1:] != key[:-1]
-            many = np.zeros(len(key), bool)
-            many[:-1] = ~leads[1:]
-            known = np.where(leads, np.where(many, 2, 0), 1).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([_longs(key), pa.array(ids), pa.array(known)], names=["key", "doc_id", "known"])
+            named = Named(part.column("text"))
+            pairs = np.unique(np.stack([named.window_key, named.window_doc.astype(np.uint64)]), axis=1)
+            key, n = np.unique(pairs[0], return_counts=True)
+            many = n > share * part.num_rows
+            yield pa.RecordBatch.from_arrays([_longs(key[many]), pa.array(n[many].astype(np.int64))], names=["key", "n"])
 
-    return docs.mapInArrow(run, "key long, doc_id long, known byte")
+    sample = docs.where(F.xxhash64("doc_id") % SAMPLE_OF == 0)
+    least = max(20, int(share * sample.count()))
+    found = sample.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r["key"] for r in found.where(F.col("n") >= least).collect()], np.int64).view(np.uint64))
 
 
-def _shared_windows(docs: DataFrame) -> DataFrame:
-    """(h1, h2, doc_id, at, known) of the windows whose keys are shared; ``docs`` has ``keys``.
+def _windows(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+    """(key, doc_id, at, names): the windows in a row that one key judges.
 
-    known: a smaller document of the same slice has the window.
+    A window that a smaller document of the same slice has is settled there: its
+    row has ``at`` below 0 (-1 - at) and a key of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=SLICE):
             named = Named(part.column("text"))
-            lists = part.column("keys")
-            rows = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-            found = named.candidates(rows, lists.flatten().to_numpy().view(np.uint64))
-            at, doc = named.windows[found], named.window_doc[found]
-            ids = part.column("doc_id").to_numpy()[doc]
-            h1, h2 = named.window_name[found], named.second_name(at)
-            place = at - named.first[doc]
-            order = np.lexsort((ids, h2, h1))
-            h1, h2, ids, place = h1[order], h2[order], ids[order], place[order]
-            group = np.ones(len(h1), bool)
-            group[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            least = ids[np.flatnonzero(group)][np.cumsum(group) - 1] if len(ids) else ids
+            named.hot(hot)
+            ids = part.column("doc_id").to_numpy()[named.window_doc]
+            place = named.windows - named.first[named.window_doc]
+            key, name = named.window_key, named.second_name()
+            order = np.lexsort((ids, name, key))
+            group = np.ones(len(key), bool)
+            group[1:] = (key[order][1:] != key[order][:-1]) | (name[order][1:] != name[order][:-1])
+            least = np.empty(len(key), np.int64)
+            least[order] = ids[order][np.flatnonzero(group)][np.cumsum(group) - 1]
+            known = ids > least
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (named.window_doc[1:] != named.window_doc[:-1]) | (known[1:] != known[:-1])
+            begin = np.flatnonzero(new)
+            far = known[begin]
+            spread = mix(ids[begin].astype(np.uint64) + _salted(place[begin].astype(np.uint64), 1))
             yield pa.RecordBatch.from_arrays(
-                [_longs(h1), _longs(h2), pa.array(ids), pa.array(place), pa.array(ids > least)],
-                names=["h1", "h2", "doc_id", "at", "known"],
+                [
+                    _longs(np.where(far, spread, key[begin])),
+                    pa.array(ids[begin]),
+                    pa.array(np.where(far, -1 - place[begin], place[begin]).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)).astype(np.int32)), pa.array(name)),
+                ],
+                names=["key", "doc_id", "at", "names"],
             )
 
-    return docs.mapInArrow(run, "h1 long, h2 long, doc_id long, at long, known boolean")
+    return docs.mapInArrow(run, "key long, doc_id long, at int, names array<int>")
 
 
-def _with_array(docs: DataFrame, rows: DataFrame, name: str, both: bool) -> DataFrame:
-    """``docs`` with the array ``name`` of ``rows`` (doc_id, name); all documents, or only those that have one."""
+def _with_starts(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """All of ``docs`` with the array ``starts`` of ``rows``, empty where there is none."""
     rows = rows.withColumnRenamed("doc_id", "_id")
     ids = broadcast_if_small(rows.select("_id"), IDS_BROADCAST)
     on = F.col("doc_id") == F.col("_id")
-    with_rows = docs.join(ids, on, "left_semi").join(rows, on).drop("_id")
-    if not both:
-        return with_rows
-    rest = docs.join(ids, on, "left_anti")
-    return with_rows.unionByName(rest.withColumn(name, F.array().cast("array<long>")))
+    # Documents that lose nothing need not be shuffled.
+    some = docs.join(ids, on, "left_semi").join(rows, on).drop("_id")
+    rest = docs.join(ids, on, "left_anti").withColumn("starts", F.array().cast("array<long>"))
+    return some.unionByName(rest)
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, starts): the windows of each document that a smaller doc_id has."""
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    found = settle(_found_keys(docs), "keys")
     by_key = Window.partitionBy("key")
-    asked = found.where("known <> 1").withColumns(
-        {"_n": F.count("*").over(by_key), "_told": F.max("known").over(by_key)}
-    )
-    shared = asked.where("known = 0 and (_n > 1 or _told = 2)").select("doc_id", "key")
-    shared = shared.union(found.where("known > 0").select("doc_id", "key"))
-    keys = settle(shared.groupBy("doc_id").agg(F.collect_list("key").alias("keys")), "shared")
-    windows = settle(_shared_windows(_with_array(docs, keys, "keys", False)), "windows")
-    same = Window.partitionBy("h1", "h2")
-    late = windows.where("not known").withColumn("_least", F.min("doc_id").over(same)).where("doc_id > _least")
-    gone = late.select("doc_id", "at").union(windows.where("known").select("doc_id", "at"))
-    return settle(gone.groupBy("doc_id").agg(F.collect_set("at").alias("starts")), "gone")
+    rows = _windows(docs, hot_keys(docs))
+    rows = rows.withColumns({"_low": F.min("doc_id").over(by_key), "_high": F.max("doc_id").over(by_key)})
+    rows = rows.where("at < 0 or _low < _high")
+    each = rows.select("key", "doc_id", "at", F.posexplode("names").alias("_i", "name"))
+    # Placed by key already, the windows need no further shuffle.
+    each = each.withColumn("_least", F.min("doc_id").over(Window.partitionBy("key", "name")))
+    late = each.where("at < 0 or doc_id > _least")
+    place = F.when(F.col("at") < 0, -1 - F.col("at")).otherwise(F.col("at")) + F.col("_i")
+    late = late.select("doc_id", place.cast("long").alias("at"))
+    return settle(late.groupBy("doc_id").agg(F.collect_set("at").alias("starts")), "gone")
 
 
 def dedup_passages(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -263,5 +266,4 @@ def dedup_passages(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 names=["doc_id", "n_words", "n_removed", "text"],
             )
 
-    with_starts = _with_array(docs, removals(docs), "starts", True)
-    return with_starts.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    return _with_starts(docs, removals(docs)).mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
