@@ -12,8 +12,11 @@ few that it does not.
 
 Equal texts are one node from the start. Signatures are cut into bands; nodes
 with an equal band share a bucket. Every node is tested against the least node
-of its buckets; a node that is not connected to it afterwards is tested against
-all nodes of the bucket outside its own component. A sketch of the signature
+of its buckets; a node that is not connected to it afterwards is tested, in each
+of its buckets, against a few others there, chosen by a hash that differs from
+bucket to bucket and round to round, for ``ROUNDS`` rounds or until one finds no link.
+So no bucket emits all its pairs: two similar nodes meet through any of their
+buckets, and their components through any of their members. A sketch of the signature
 (250 bits) drops pairs far below the threshold, and what remains is verified by
 the exact overlap of the two multisets. The classes are the connected
 components of the verified links.
@@ -47,6 +50,10 @@ FAR_BITS = 25 + 28
 #: Bytes of ids that may be broadcast to pick the rows of a few documents.
 IDS_BROADCAST = 16 << 20
 
+#: Nodes apart, and nodes of any kind, that a node apart meets in one bucket and round.
+MET = 3
+ROUNDS = 4
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -226,19 +233,28 @@ def near_classes(docs: DataFrame) -> DataFrame:
     tested = settle(stars.where(unequal <= FAR_BITS).select(F.col("head").alias("a"), F.col("node").alias("b")), "stars")
     links = settle(verified(tested, docs), "verified")
 
-    # In a bucket, whoever is not in the head's component meets all that are not in its own.
     labels = components(links)
-    label = {c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in ("node", "head")}
-    known = members.join(label["node"], "node", "left").join(label["head"], "head", "left")
-    known = known.select("bucket", "node", "head", F.coalesce("node_label", "node").alias("label"), F.coalesce("head_label", "head").alias("head_label"))
-    open_buckets = settle(known.where("label <> head_label").join(sketch["x"], "node"), "open")
-    near = known.join(open_buckets.select("bucket").distinct(), "bucket", "left_semi").join(sketch["y"], "node")
-    near = near.select("bucket", F.col("node").alias("other"), F.col("label").alias("other_label"), "y0", "y1", "y2", "y3")
-    met = open_buckets.join(near, (open_buckets.bucket == near.bucket) & (F.col("label") != F.col("other_label")) & (unequal <= FAR_BITS))
-    more = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    more = settle(more.join(tested, ["a", "b"], "left_anti"), "more")
-    if more.limit(1).count():
-        links = settle(links.union(verified(more, docs)), "verified")
+    for rounds in range(1, ROUNDS + 1):
+        # Whoever is not in the head's component meets some of each other component of the bucket.
+        label = {c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in ("node", "head")}
+        known = members.join(label["node"], "node", "left").join(label["head"], "head", "left")
+        known = known.select("bucket", "node", F.coalesce("node_label", "node").alias("label"), F.coalesce("head_label", "head").alias("head_label"))
+        apart = settle(known.where("label <> head_label").select("bucket", "node", "label"), "apart")
+        # A few of the nodes apart and a few of all nodes of the bucket, others in each bucket and round.
+        picks = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds * MET + i)), "node", "label")).alias(f"n{i}") for i in range(MET)]
+        split = known.join(apart.select("bucket").distinct(), "bucket", "left_semi")
+        met = apart.groupBy("bucket").agg(*picks).unionByName(split.groupBy("bucket").agg(*picks))
+        met = met.select("bucket", F.explode(F.array(*[f"n{i}" for i in range(MET)])).alias("pick"))
+        met = met.select("bucket", F.col("pick.node").alias("other"), F.col("pick.label").alias("other_label")).distinct()
+        pairs = apart.join(met, "bucket").where("label <> other_label")
+        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        near = pairs.join(sketch["x"].withColumnRenamed("node", "a"), "a").join(sketch["y"].withColumnRenamed("node", "b"), "b")
+        more = settle(near.where(unequal <= FAR_BITS).select("a", "b"), "more")
+        found = settle(verified(more, docs), "verified")
+        if not found.limit(1).count():
+            break
+        links, tested = links.union(found), tested.union(more)
         labels = components(links)
 
     classes = owners.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("_class"))
