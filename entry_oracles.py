@@ -137,10 +137,10 @@ FROM customer a FULL JOIN later b ON a.c_custkey = b.c_custkey""",
     "all_columns_diff": f"""
 WITH {_NEXT_CUSTOMERS},
 sides AS (
-  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 1 AS o, 0 AS n FROM customer
-  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 0, 1 FROM later),
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 1 AS o, 0 AS n FROM customer
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 0, 1 FROM later),
 counted AS (
-  SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
          CAST(sum(o) AS BIGINT) AS n_old, CAST(sum(n) AS BIGINT) AS n_new
   FROM sides GROUP BY ALL)
 SELECT *, CASE WHEN n_old = 0 THEN 'inserted' WHEN n_new = 0 THEN 'deleted' ELSE 'same' END AS outcome
@@ -159,7 +159,7 @@ FROM orders CROSS JOIN (VALUES ('20240101'), ('20240102')) days(day)""",
 SELECT *, strftime(ts, '%Y%m%d') AS etl_dt FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
     "read_run": "SELECT * FROM events",
     "copy_partition": """
-SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y%m%d')[1:7] AS etl_dt FROM events""",
+SELECT *, strftime(ts, '%Y%m%d') AS etl_dt FROM events""",
     "latest_run": f"WITH {_RUNS} SELECT * FROM runs WHERE run = (SELECT max(run) FROM runs)",
     "latest_run_per_date": f"""
 WITH {_RUNS}, top AS (SELECT biz_end_date, max(run) AS run FROM runs GROUP BY 1)

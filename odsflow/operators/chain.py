@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -80,18 +81,22 @@ def live_before(history: DataFrame, day: str, layout: ChainLayout = CHAIN) -> Da
     return history.where(valid).withColumn(layout.end, F.lit(layout.open_end))
 
 
+def _known(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def _one_per_key(delta: DataFrame, keys: Sequence[str], data: Sequence[str]) -> DataFrame:
-    """Delta rows packed beside their keys; a repeated key fails the job.
+    """Delta rows packed beside their keys; a repeated or null key fails the job.
 
     The window sorts by the join keys, so the following join reuses both its
     shuffle and its sort.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     repeated = F.raise_error(
-        F.concat(F.lit("key repeated in delta: "), F.to_json(F.struct(*keys)))
+        F.concat(F.lit("key repeated in delta, or null: "), F.to_json(F.struct(*keys)))
     ).cast(T.StructType([delta.schema[c] for c in data]))
     ranked = delta.select(*keys, F.struct(*data).alias("_row"), rank.alias("_rank"))
-    return ranked.select(*keys, F.when(F.col("_rank") == 1, F.col("_row")).otherwise(repeated).alias("_new"))
+    return ranked.select(*keys, F.when((F.col("_rank") == 1) & _known(keys), F.col("_row")).otherwise(repeated).alias("_new"))
 
 
 def chain_day(
@@ -171,13 +176,17 @@ def chain_build(
     """The chain that results from merging every day of ``changes`` in order.
 
     ``changes`` holds at most one row per key and day, so a key's group is
-    bounded by the number of days. One shuffle by key replaces one merge per
+    bounded by the number of days; a second one, or a null key, fails the job.
+    One shuffle by key replaces one merge per
     day when a history is loaded in bulk.
     """
     data = [c for c in changes.columns if c != day_col]
     in_order = Window.partitionBy(*keys).orderBy(day_col)
     before = F.lag(F.struct(*data)).over(in_order)
-    marked = changes.withColumn("_same", F.struct(*data).eqNullSafe(before))
+    again = F.col(day_col).eqNullSafe(F.lag(day_col).over(in_order))
+    wrong = F.raise_error(F.concat(F.lit("key and day repeated, or key null: "), F.to_json(F.struct(*keys, day_col))))
+    same = F.when(again | ~_known(keys), wrong.cast("boolean")).otherwise(F.struct(*data).eqNullSafe(before))
+    marked = changes.withColumn("_same", same)
     versions = marked.where(~F.col("_same")).withColumn(
         "_end", F.lead(day_col, 1, layout.open_end).over(in_order)
     )

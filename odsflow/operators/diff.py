@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 
 def _single(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Keys beside the packed row; a repeated key fails instead of pairing up."""
+    """Keys beside the packed row; a repeated or null key fails instead of pairing up or not."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     packed = df.select(*keys, F.struct(*df.columns).alias("_row"), rank.alias("_rank"))
     repeated = F.raise_error(
-        F.concat(F.lit(f"key repeated in {name} snapshot: "), F.to_json(F.struct(*keys)))
+        F.concat(F.lit(f"key repeated in {name} snapshot, or null: "), F.to_json(F.struct(*keys)))
     ).cast(df.schema)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return packed.select(
-        *keys, F.when(F.col("_rank") == 1, F.col("_row")).otherwise(repeated).alias(f"_{name}")
+        *keys, F.when((F.col("_rank") == 1) & known, F.col("_row")).otherwise(repeated).alias(f"_{name}")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
@@ -23,23 +24,48 @@ def _variables(spark: SparkSession, values: Mapping[str, object]):
                 spark.conf.set(key, value)
 
 
+# Comments, quoted text, a statement's end, and whatever lies between.
+_TOKENS = re.compile(
+    r"""(?P<comment>--[^\n]*|/\*.*?\*/)|(?P<quoted>'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`)|(?P<end>;)|(?P<other>.)""",
+    re.DOTALL,
+)
+
+
+def statements(text: str) -> list[str]:
+    """The statements of a script, without comments; ``;`` in quotes ends none."""
+    found, own = [], []
+    for token in _TOKENS.finditer(text):
+        if token.lastgroup == "end":
+            found.append("".join(own))
+            own = []
+        else:
+            own.append(" " if token.lastgroup == "comment" else token.group())
+    return [s.strip() for s in [*found, "".join(own)] if s.strip()]
+
+
 def run_sql(spark: SparkSession, text: str, params: Mapping[str, object] | None = None) -> DataFrame:
-    """Run one or several statements; the last one's result is returned.
+    """Run one or several statements; the last one's result is returned, not yet computed.
 
     Values come in as named parameters (``:day``, ``IDENTIFIER(:tab)``) or as
     ``${hiveconf:day}`` variables; the latter are set for this call only. The
     first failing statement ends the run.
     """
     given = dict(params or {})
-    body = text.rstrip()
-    script = f"BEGIN\n{body}{'' if body.endswith(';') else chr(10) + ';'}\nEND"
+    result = None
     with _variables(spark, given):
-        return spark.sql(script, args=given)
+        for statement in statements(text):
+            result = spark.sql(statement, args=given)
+    if result is None:
+        raise ValueError("no statement to run")
+    return result
 
 
 def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] | None = None) -> DataFrame:
-    text = spark.read.text(path, wholetext=True).first()[0]
-    return run_sql(spark, text, params)
+    """Run the SQL file at ``path``: one file, or a folder that holds one."""
+    texts = spark.read.text(path, wholetext=True).take(2)
+    if len(texts) != 1:
+        raise ValueError(f"{path} must hold one SQL file, and no more")
+    return run_sql(spark, texts[0][0], params)
 
 
 def run_steps(

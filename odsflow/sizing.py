@@ -22,21 +22,15 @@ def _width(field: T.StructField) -> Column:
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Approximate in-memory size of ``df``; one distributed sum, one row back."""
+    """Approximate in-memory size of ``df``; one distributed sum, one row back, one run of ``df``."""
     total = reduce(lambda a, b: a + b, [_width(f) for f in df.schema.fields], F.lit(_ROW_OVERHEAD))
     return df.agg(F.sum(total)).first()[0] or 0
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    """True when ``df`` fits the session's broadcast threshold (or ``limit``).
-
-    Rows are counted first, which on stored tables reads footers only: a large
-    table is refused without reading its columns.
-    """
+    """True when ``df`` fits the session's broadcast threshold (or ``limit``)."""
     bound = broadcast_limit(df.sparkSession) if limit is None else limit
-    if bound <= 0 or df.count() * _ROW_OVERHEAD > bound:
-        return False
-    return measured_bytes(df) <= bound
+    return bound > 0 and measured_bytes(df) <= bound
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

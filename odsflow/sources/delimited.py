@@ -17,7 +17,9 @@ NULL_MARKER = "\\N"
 
 def _as_text(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
-    text = F.base64(column) if isinstance(field.dataType, T.BinaryType) else column.cast("string")
+    # base64 breaks its lines; a break inside a field would end the row.
+    binary = isinstance(field.dataType, T.BinaryType)
+    text = F.translate(F.base64(column), "\r\n", "") if binary else column.cast("string")
     return F.coalesce(text, F.lit(NULL_MARKER))
 
 

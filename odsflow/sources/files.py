@@ -42,23 +42,17 @@ def export_file(
     system: str,
     table: str,
     rows_per_file: int | None = None,
-    single: bool = False,
 ) -> tuple[str, str]:
     """Rows as delimited text under a dated name, with an MD5 list beside them.
 
     ``<table>_<date>.dat`` is a folder of parts of bounded size, each hashed by
     itself into ``<table>_<date>.md5``. Without ``rows_per_file`` the widest row
-    is looked up first, so that no part is too large to hash. ``single`` asks
-    for one part and is refused when the rows would not fit one file.
+    is looked up first, so that no part is too large to hash.
     """
     rows_per_file = rows_per_file or safe_rows_per_file(df)
     spark = df.sparkSession
     data = export_folder(path, date, system, table, "dat")
     sums = export_folder(path, date, system, table, "md5")
-    if single:
-        if df.limit(rows_per_file + 1).count() > rows_per_file:
-            raise ValueError(f"more than {rows_per_file} rows do not go into a single file")
-        df = df.coalesce(1)
     delimited.write_delimited(df, data, rows_per_file=rows_per_file)
     manifest(spark, data).select(F.concat_ws("  ", "md5", "file").alias("value")).write.text(sums)
     return data, sums

@@ -20,7 +20,8 @@ def staged_runs(
     ``archive`` names a folder that taken files are moved to, which keeps the
     listing of the staging area short.
     """
-    reader = spark.readStream.schema(schema).option("maxFileAge", "3650d")
+    # The source leaves out files of an age; this one no file reaches.
+    reader = spark.readStream.schema(schema).option("maxFileAge", "36500000d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive:

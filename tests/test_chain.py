@@ -243,3 +243,13 @@ def test_bucketed_chain_does_not_shuffle_its_open_rows(spark, database, tmp_path
     plan = plan_of(chain.chain_day(live, delta, KEYS, "20240105"))
     assert plan.count("Exchange") == 1
     assert "Bucketed: true" in plan
+
+
+@pytest.mark.parametrize("rows", [[(1, "20240101", "a"), (1, "20240101", "b")], [(None, "20240101", "a")]])
+def test_repeated_or_null_keys_fail(spark, rows):
+    changes = spark.createDataFrame(rows, "k long, day string, v string")
+    with pytest.raises(Exception, match="null"):
+        chain.chain_build(changes, ["k"], "day").collect()
+    history = chain.chain_init(changes.drop("day").where("false"), "20231231")
+    with pytest.raises(Exception, match="null"):
+        chain.chain_merge(history, changes.drop("day"), ["k"], "20240101").collect()

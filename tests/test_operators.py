@@ -217,6 +217,12 @@ def test_sql_text(spark, tmp_path):
     )
     assert [r.id for r in out.collect()] == [3, 4]
     assert spark.conf.get("low", None) is None
+    assert "LocalTableScan" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sql_jobs.statements("a ';' b; -- c;\n/* ; */ d;;") == ["a ';' b", "d"]
+    for name in ("one", "two"):
+        spark.range(1).select(F.lit("select 1")).coalesce(1).write.mode("append").text(f"{tmp_path}/sql")
+    with pytest.raises(ValueError):
+        sql_jobs.run_sql_file(spark, f"{tmp_path}/sql")
     with pytest.raises(Exception):
         sql_jobs.run_steps(spark, [("sql_one", "select 1 a"), ("sql_two", "select nope from sql_one"), ("sql_three", "select 1")])
     assert spark.catalog.tableExists("sql_one") and not spark.catalog.tableExists("sql_three")
