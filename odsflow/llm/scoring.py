@@ -74,6 +74,7 @@ class Vocabulary:
         self.classes = np.empty(TOKENS, np.int64)
         self.classes[order] = np.minimum(((mass - counts[order] / counts.sum() / 2) * CLASSES).astype(np.int64), CLASSES - 1)
         in_class = np.bincount(self.classes, counts, CLASSES)
+        self.unused = np.flatnonzero(in_class == 0)
         self.log_share = np.log(counts / in_class[self.classes]).astype(np.float32)
 
     def look_up(self, names: np.ndarray) -> np.ndarray:
@@ -236,6 +237,7 @@ def log_probabilities(p: Parameters, vocabulary: Vocabulary, own: np.ndarray, co
     for at in range(0, len(own), SCORED_AT_ONCE):
         part = slice(at, at + SCORED_AT_ONCE)
         _, _, logits = _forward(p, context[part])
+        logits[:, vocabulary.unused] = -np.inf
         picked = logits[np.arange(len(logits)), vocabulary.classes[own[part]]]
         np.exp(logits, out=logits)
         out[part] = picked - np.log(logits.sum(axis=1)) + vocabulary.log_share[own[part]]
