@@ -14,7 +14,7 @@ Equal texts are one node from the start. Signatures are cut into bands; nodes
 with an equal band share a bucket. Every node is tested against the least node
 of its buckets; a node that is not connected to it afterwards is tested, in each
 of its buckets, against a few others there, chosen by a hash that differs from
-bucket to bucket and round to round, for ``ROUNDS`` rounds or until one finds no link.
+bucket to bucket and round to round, until a round finds no link.
 So no bucket emits all its pairs: two similar nodes meet through any of their
 buckets, and their components through any of their members. A sketch of the signature
 (250 bits) drops pairs far below the threshold, and what remains is verified by
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm.links import components
 from odsflow.llm.store import settle
@@ -52,7 +52,6 @@ IDS_BROADCAST = 16 << 20
 
 #: Nodes apart, and nodes of any kind, that a node apart meets in one bucket and round.
 MET = 3
-ROUNDS = 4
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,21 +197,51 @@ def _overlap(a: pa.Array, b: pa.Array) -> np.ndarray:
     return (both * LEAST[1] >= either * LEAST[0]) & (either > 0)
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b: doc_ids) whose texts are similar enough."""
-    ids = settle(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), "ids")
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(broadcast_if_small(ids, IDS_BROADCAST), "id", "left_semi")
-    texts = settle(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b: ids, and other columns) whose ``texts`` (id, text) are similar enough."""
+    kept = pairs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(iter([batch]), "text_a", 2 << 20):
                 good = _overlap(part.column("text_a"), part.column("text_b"))
-                yield part.select(["a", "b"]).filter(pa.array(good))
+                yield part.select(kept).filter(pa.array(good))
 
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select(*kept, "text_a", "text_b").mapInArrow(run, pairs.schema)
+
+
+def _unequal(x: str, y: str) -> Column:
+    """Bits in which two sketches differ."""
+    bits = [F.bit_count(F.col(f"{x}.s{i}").bitwiseXOR(F.col(f"{y}.s{i}"))) for i in range(4)]
+    return bits[0] + bits[1] + bits[2] + bits[3]
+
+
+def _relabelled(df: DataFrame, column: str, moved: DataFrame) -> DataFrame:
+    """``df`` with ``column`` replaced by its label in ``moved`` (node, label), where it has one."""
+    moved = moved.select(F.col("node").alias(column), F.col("label").alias("_to"))
+    rest = [c if c != column else F.coalesce("_to", column).alias(column) for c in df.columns]
+    return df.join(moved, column, "left").select(*rest)
+
+
+def _joined_labels(labels: DataFrame, moved: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after ``moved`` (node, label), which may name nodes without a label yet."""
+    known = _relabelled(labels, "label", moved)
+    return known.unionByName(moved.join(labels.select("node"), "node", "left_anti"))
+
+
+def _met(state: DataFrame, rounds: int) -> DataFrame:
+    """Per bucket a few of the nodes apart and a few of all but the head, others in each bucket and round."""
+    picks = []
+    for i in range(MET):
+        order = F.xxhash64("node", "bucket", F.lit(rounds * MET + i))
+        pick = F.struct(order.alias("order"), "node", "label", "sketch")
+        picks += [F.min(F.when(F.col("label") != F.col("head_label"), pick)), F.min(F.when(F.col("node") != F.col("head"), pick))]
+    some = state.groupBy("bucket").agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)])
+    some = some.select("bucket", F.filter(F.array(*[f"p{i}" for i in range(len(picks))]), lambda p: p.isNotNull()).alias("some"))
+    bare = F.transform("some", lambda p: F.struct(p["node"].alias("other"), p["label"].alias("other_label"), p["sketch"].alias("other_sketch")))
+    return some.select("bucket", F.inline(F.array_distinct(bare)))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -221,41 +250,49 @@ def near_classes(docs: DataFrame) -> DataFrame:
     owners = settle(signed.groupBy("key").agg(F.min("doc_id").alias("node")), "owners")
     nodes = signed.join(owners.select(F.col("node").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi")
     nodes = nodes.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "node")
-    sketches = settle(nodes.select("node", "bands", "s0", "s1", "s2", "s3"), "nodes")
+    sketches = settle(nodes.select("node", "bands", F.struct("s0", "s1", "s2", "s3").alias("sketch")), "nodes")
     banded = sketches.select("node", F.explode("bands").alias("bucket"))
     heads = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1")
     members = settle(banded.join(heads.select("bucket", "head"), "bucket"), "members")
-    sketch = {c: sketches.select("node", *[F.col(f"s{i}").alias(f"{c}{i}") for i in range(4)]) for c in "xy"}
-    unequal = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(4)), F.lit(0))
+    shared = settle(members.select(F.col("node").alias("id")).distinct(), "shared")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
+    texts = texts.join(broadcast_if_small(shared, IDS_BROADCAST), "id", "left_semi")
+    texts = settle(texts.groupBy("id").agg(F.min("text").alias("text")), "texts")
+    sketch = sketches.select("node", "sketch")
 
     stars = members.where("node <> head").select("node", "head").distinct()
-    stars = stars.join(sketch["x"], "node").join(sketch["y"].withColumnRenamed("node", "head"), "head")
-    tested = settle(stars.where(unequal <= FAR_BITS).select(F.col("head").alias("a"), F.col("node").alias("b")), "stars")
-    links = settle(verified(tested, docs), "verified")
-
-    labels = components(links)
-    for rounds in range(1, ROUNDS + 1):
-        # Whoever is not in the head's component meets some of each other component of the bucket.
-        label = {c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in ("node", "head")}
-        known = members.join(label["node"], "node", "left").join(label["head"], "head", "left")
-        known = known.select("bucket", "node", F.coalesce("node_label", "node").alias("label"), F.coalesce("head_label", "head").alias("head_label"))
-        apart = settle(known.where("label <> head_label").select("bucket", "node", "label"), "apart")
-        # A few of the nodes apart and a few of all nodes of the bucket, others in each bucket and round.
-        picks = [F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds * MET + i)), "node", "label")).alias(f"n{i}") for i in range(MET)]
-        split = known.join(apart.select("bucket").distinct(), "bucket", "left_semi")
-        met = apart.groupBy("bucket").agg(*picks).unionByName(split.groupBy("bucket").agg(*picks))
-        met = met.select("bucket", F.explode(F.array(*[f"n{i}" for i in range(MET)])).alias("pick"))
-        met = met.select("bucket", F.col("pick.node").alias("other"), F.col("pick.label").alias("other_label")).distinct()
-        pairs = apart.join(met, "bucket").where("label <> other_label")
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        near = pairs.join(sketch["x"].withColumnRenamed("node", "a"), "a").join(sketch["y"].withColumnRenamed("node", "b"), "b")
-        more = settle(near.where(unequal <= FAR_BITS).select("a", "b"), "more")
-        found = settle(verified(more, docs), "verified")
+    stars = stars.join(sketch, "node").join(sketch.select(F.col("node").alias("head"), F.col("sketch").alias("other")), "head")
+    stars = settle(stars.where(_unequal("sketch", "other") <= FAR_BITS).select(F.col("head").alias("a"), F.col("node").alias("b")), "stars")
+    labels = components(settle(verified(stars, texts), "verified"))
+
+    # Whoever is not in the head's component meets some of the others of its buckets.
+    state = members.withColumn("label", F.col("node")).withColumn("head_label", F.col("head"))
+    moved = broadcast_if_small(labels, IDS_BROADCAST)
+    state = settle(_relabelled(_relabelled(state, "label", moved), "head_label", moved), "state")
+    split = settle(state.where("label <> head_label").select("bucket").distinct(), "split")
+    state = state.join(broadcast_if_small(split, IDS_BROADCAST), "bucket", "left_semi")
+    state = settle(state.join(sketch, "node"), "state")
+    rounds = 0
+    while state.where("label <> head_label").limit(1).count():
+        met = broadcast_if_small(settle(_met(state, rounds), "met"), IDS_BROADCAST)
+        pairs = state.where("label <> head_label").join(met, "bucket")
+        pairs = pairs.where(F.col("label") != F.col("other_label")).where(_unequal("sketch", "other_sketch") <= FAR_BITS)
+        first = F.col("node") < F.col("other")
+        pairs = pairs.select(
+            F.least("node", "other").alias("a"),
+            F.greatest("node", "other").alias("b"),
+            F.when(first, F.col("label")).otherwise(F.col("other_label")).alias("label_a"),
+            F.when(first, F.col("other_label")).otherwise(F.col("label")).alias("label_b"),
+        )
+        pairs = settle(pairs.dropDuplicates(["a", "b"]), "pairs")
+        found = settle(verified(pairs, texts).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), "verified")
         if not found.limit(1).count():
             break
-        links, tested = links.union(found), tested.union(more)
-        labels = components(links)
+        # The links join whole components, so only their labels are connected anew.
+        moved = broadcast_if_small(components(found), IDS_BROADCAST)
+        state = settle(_relabelled(_relabelled(state, "label", moved), "head_label", moved), "state")
+        labels = settle(_joined_labels(labels, moved), "labels")
+        rounds += 1
 
     classes = owners.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("_class"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("key"))
