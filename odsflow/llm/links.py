@@ -20,9 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     measure small let both joins of a round broadcast; its one aggregate is then
     the only shuffle.
     """
-    both = settle(
-        links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "links"
-    )
+    # A link given twice does no harm: only least labels are taken.
+    both = settle(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b"), "links")
     placed = F.broadcast if is_small(both, LINKS_BROADCAST) else (lambda df: df)
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
     labels = settle(labels.select("node", F.least("node", "b").alias("label")), "labels")
