@@ -198,7 +198,7 @@ UNION ALL SELECT *, '20991231' FROM events
 UNION ALL SELECT *, 'current' FROM events""",
     "all_data_refresh": """
 WITH halves AS (
-  SELECT *, strftime(ts, '%Y%m%d')[1:7] || '1' AS biz_end_date, hour(ts) >= 12 AS half FROM events),
+  SELECT *, strftime(ts, '%Y%m%d') AS biz_end_date, hour(ts) >= 12 AS half FROM events),
 top AS (SELECT biz_end_date, max(half) AS half FROM halves GROUP BY 1),
 newest AS (
   SELECT h.* EXCLUDE (half) FROM halves h JOIN top t ON h.biz_end_date = t.biz_end_date AND h.half = t.half)
@@ -242,13 +242,26 @@ SELECT 'shop' AS db_name, 'orders' AS table_name, DATE '2024-01-01' AS data_date
        count(*) AS source_count_1, count(*) AS source_count_2, count(*) AS target_count
 FROM orders""",
     "daily_runs": """
-WITH runs(layout, day, since) AS (
-  VALUES ('slice', DATE '2024-01-01', TIMESTAMP '1900-01-01'), ('append', DATE '1998-01-01', TIMESTAMP '1998-01-01'),
-         ('replace', DATE '2024-01-01', TIMESTAMP '1900-01-01'), ('chain', DATE '2024-01-01', TIMESTAMP '1900-01-01'),
-         ('chain', DATE '2024-01-02', TIMESTAMP '1900-01-01'))
+WITH runs(layout, day, since, early) AS (
+  VALUES ('slice', DATE '2024-01-01', TIMESTAMP '1900-01-01', false), ('append', DATE '1998-01-01', TIMESTAMP '1998-01-01', false),
+         ('replace', DATE '2024-01-01', TIMESTAMP '1900-01-01', false), ('chain', DATE '2000-12-31', TIMESTAMP '1900-01-01', true),
+         ('chain', DATE '2001-01-01', TIMESTAMP '1900-01-01', false))
 SELECT 'orders' AS table_name, day AS data_date, TIMESTAMP '2024-01-01 06:00:00' AS run_time,
        count(*) AS source_count_1, count(*) AS source_count_2, count(*) AS target_count, layout
-FROM runs JOIN orders ON o_orderdate >= since GROUP BY layout, day""",
+FROM runs JOIN orders ON o_orderdate >= since
+  AND NOT (early AND o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderpriority = '1-URGENT')
+GROUP BY layout, day""",
+    "daily_chain": """
+WITH sorted AS (
+  SELECT *, o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderpriority = '1-URGENT' AS fresh,
+         o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderpriority = '2-HIGH' AS moved
+  FROM orders)
+SELECT o_orderkey, o_custkey, CASE WHEN moved THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, '19000101' AS start_dt, CASE WHEN moved THEN '20010101' ELSE '30001231' END AS end_dt
+FROM sorted WHERE NOT fresh
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, '20010101', '30001231'
+FROM sorted WHERE fresh OR moved""",
     "convert_mysql": """
 SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority
@@ -299,11 +312,7 @@ WHERE s.run IS NULL OR w.type <> 'double'""",
 SELECT doc_id, translate(text, chr(10) || chr(13) || chr(1), '') AS text,
        CASE WHEN lang <> 'en' THEN lang END AS lang, source, n_chars
 FROM documents""",
-    "export_manifest": """
-SELECT CAST(sum(strlen(o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|' || o_orderpriority) + 1) AS BIGINT)
-         AS n_bytes,
-       CAST(0 AS BIGINT) AS broken
-FROM orders WHERE o_orderdate < TIMESTAMP '2002-01-01'""",
+    "export_manifest": f"SELECT {_ORDER_COLUMNS} FROM orders WHERE o_orderdate < TIMESTAMP '2002-01-01'",
     "sql_steps": """
 WITH user_day AS (
   SELECT user_id, strftime(ts, '%Y%m%d') AS day, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1, 2),

@@ -464,18 +464,15 @@ def chain_mount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_data_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events staged as two runs per ten days; each date's newest one becomes its partition."""
+    """All events staged as two runs a day; each date's newest one becomes its partition."""
     database, folder = scratch(spark, "all_data")
     cfg = configured(
         EVENTS, hive_db=database, source_root=folder, category_input="stg", category_output="out", hive_table="events"
     )
-    tens = F.concat(F.substring(scalars.day_text(F.col("ts")), 1, 7), F.lit("1"))
-    staged = table(spark, sf_dir, "events").select(
-        "*", tens.alias("date"), F.concat(tens, F.when(F.hour("ts") < 12, "0000").otherwise("1200")).alias("run")
-    )
-    staged.write.partitionBy("date", "run").parquet(cfg.run_path("stg"))
-    for row in staged.select("date").distinct().orderBy("date").collect():
-        current, history = mounts.refresh_all_data(spark, cfg, row.date, f"{folder}/checkpoint", folder)
+    _stage_halves(spark, sf_dir, cfg.run_path("stg"))
+    days = table(spark, sf_dir, "events").select(scalars.day_text(F.col("ts")).alias("day")).distinct()
+    days = [row.day for row in days.collect()]
+    current, history = mounts.refresh_all_data(spark, cfg, days, f"{folder}/checkpoint", folder)
     return spark.table(history).unionByName(
         spark.table(current).withColumn("biz_end_date", F.lit("current"))
     )
@@ -559,28 +556,57 @@ def audited_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _earlier_orders(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """A source as it was before 2001-01-01's changes: urgent orders since then are
+    not there yet, and high ones have another status."""
+    late = F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
+    orders = table(spark, sf_dir, "orders").where(~(late & (F.col("o_orderpriority") == "1-URGENT")))
+    moved = late & (F.col("o_orderpriority") == "2-HIGH")
+    earlier = orders.withColumn("o_orderstatus", F.when(moved, "X").otherwise(F.col("o_orderstatus")))
+    earlier.write.parquet(f"{folder}/before/orders.parquet")
+    return f"parquet:{folder}/before"
+
+
+_RECENT, _MOMENT = "o_orderdate >= to_timestamp_ntz('%s', 'yyyyMMdd')", "20240101 06:00:00"
+
+
+def _chain_runs(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, list[DataFrame]]:
+    """A chain made from the earlier source, then the day's run on the present one."""
+    database, folder = scratch(spark, name)
+    cfg = configured(
+        ORDERS, hive_db=database, hive_table="chain_h", path_table="chain", url=f"parquet:{sf_dir}",
+        source_root=folder, category_input="stg",
+    )
+    chain_name = layouts.create_table(spark, cfg, "chain", f"{folder}/chain")
+    layouts.create_table(spark, cfg, "staging", f"{folder}/staging")
+    before = configured(cfg, url=_earlier_orders(spark, sf_dir, folder))
+    first = daily.run_chain_init(spark, before, "20001231", _MOMENT)
+    return chain_name, [first, daily.run_chain(spark, cfg, _RECENT, "20010101", _MOMENT)]
+
+
+def daily_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain after a day's run that finds new, changed and unchanged orders."""
+    name, _ = _chain_runs(spark, sf_dir, "daily_chain")
+    return spark.table(name).drop("etl_dt")
+
+
 def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load-log rows of each strategy's run over all orders, end to end."""
     database, folder = scratch(spark, "daily_runs")
     cfg = configured(ORDERS, hive_db=database, url=f"parquet:{sf_dir}", source_root=folder, category_input="stg")
-    recent, moment = "o_orderdate >= to_timestamp_ntz('%s', 'yyyyMMdd')", "20240101 06:00:00"
-    logs = []
+    result = None
     for layout, run in (
-        ("slice", lambda c: daily.run_slice(spark, c, "20240101", moment)),
-        ("append", lambda c: daily.run_increment(spark, c, recent, "19980101", moment)),
-        ("replace", lambda c: daily.run_replace(spark, c, "20240101", moment)),
-        ("chain", lambda c: daily.run_chain_init(spark, c, "20240101", moment)),
-        ("chain", lambda c: daily.run_chain(spark, c, recent, "20240102", moment)),
+        ("slice", lambda c: [daily.run_slice(spark, c, "20240101", _MOMENT)]),
+        ("append", lambda c: [daily.run_increment(spark, c, _RECENT, "19980101", _MOMENT)]),
+        ("replace", lambda c: [daily.run_replace(spark, c, "20240101", _MOMENT)]),
+        ("chain", lambda _: _chain_runs(spark, sf_dir, "daily_runs_chain")[1]),
     ):
         own = configured(cfg, hive_table=f"{layout}_h", path_table=layout)
-        if not spark.catalog.tableExists(f"{database}.{layout}_h"):
+        if layout != "chain":
             layouts.create_table(spark, own, layout, f"{folder}/{layout}")
-            if layout == "chain":
-                layouts.create_table(spark, own, "staging", f"{folder}/staging")
-        logs.append(run(own).withColumn("layout", F.lit(layout)))
-    result = logs[0]
-    for log in logs[1:]:
-        result = result.unionByName(log)
+        for log in run(own):
+            log = log.withColumn("layout", F.lit(layout))
+            result = log if result is None else result.unionByName(log)
     return result.drop("db_name")
 
 
@@ -692,18 +718,17 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders exported by a query of a date: total size, and parts that lost their checksum."""
+    """Orders exported by a query of a date, read back once every part has its checksum."""
     folder = fresh_dir(spark, "export")
     table(spark, sf_dir, "orders").createOrReplaceTempView("export_orders")
     data, sums = files.export_query(
         spark,
-        "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM export_orders"
-        " WHERE o_orderdate < to_timestamp_ntz(:date, 'yyyyMMdd')",
+        "SELECT * FROM export_orders WHERE o_orderdate < to_timestamp_ntz(:date, 'yyyyMMdd')",
         folder, "20020101", "shop", "orders", rows_per_file=50_000,
     )
-    return files.verify_export(spark, data, sums).agg(
-        F.sum("n_bytes").alias("n_bytes"), F.count_if(~F.col("intact")).alias("broken")
-    )
+    if not files.verify_export(spark, data, sums).where(~F.col("intact")).isEmpty():
+        raise ValueError("a part lost its checksum")
+    return delimited.read_delimited(spark, data, spark.table("export_orders").schema)
 
 
 # SQL jobs -------------------------------------------------------------------------------
@@ -806,7 +831,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
-        reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, convert_mysql,
+        reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, daily_chain, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
         row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,
         export_manifest, sql_steps, sql_file, clean_detail,

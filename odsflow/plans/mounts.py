@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from odsflow.config import TableConfig
@@ -39,21 +41,26 @@ def mount_tables(spark: SparkSession, cfg: TableConfig, history_suffix: str, loc
 
 
 def refresh_all_data(
-    spark: SparkSession, cfg: TableConfig, day: str, checkpoint: str, location: str | None = None
+    spark: SparkSession, cfg: TableConfig, day: str | Sequence[str], checkpoint: str, location: str | None = None
 ) -> tuple[str, str]:
-    """Take in staged runs; the newest of ``day`` becomes the current table and
-    that day's partition of the history, other days stay."""
+    """Take in staged runs; the newest of each day in ``day`` becomes that day's
+    partition of the history, and that of the last day the current table. Other
+    days stay. Several days are written in one job."""
+    days = [day] if isinstance(day, str) else sorted(set(day))
     current, history = mount_tables(spark, cfg, "_all", location)
     ods = cfg.run_path(cfg.category_output)
     ddl = ", ".join(f"`{c}` {t}" for c, t in stored_columns(cfg))
     shape = T.StructType.fromDDL(ddl)
     intake(spark, cfg.run_path(cfg.category_input), ods, shape, checkpoint)
-    taken = read_taken(spark, ods, shape).where(F.col("date") == day) if paths.exists(spark, ods) else None
-    if taken is None or taken.isEmpty():
-        raise FileNotFoundError(f"no run of {day} has been taken")
-    newest = runs.latest_run(taken, "run").drop("date", "run")
-    loads.load_replace(newest, current)
-    loads.load_increment(newest, history, day, DATE_COLUMN)
+    if not days or not paths.exists(spark, ods):
+        raise FileNotFoundError(f"no run of {days} has been taken")
+    taken = read_taken(spark, ods, shape).where(F.col("date").isin(days) & parse_run(F.col("run")).isNotNull())
+    missing = set(days) - {r["date"] for r in taken.select("date").distinct().collect()}
+    if missing:
+        raise FileNotFoundError(f"no run of {sorted(missing)} has been taken")
+    newest = runs.latest_run_per_date(taken, "date", ["run"]).drop("run")
+    loads.load_increments(newest.withColumnRenamed("date", DATE_COLUMN), history, DATE_COLUMN)
+    loads.load_replace(spark.table(history).where(F.col(DATE_COLUMN) == days[-1]).drop(DATE_COLUMN), current)
     return current, history
 
 
