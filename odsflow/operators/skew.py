@@ -2,46 +2,49 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
-from odsflow.sizing import broadcast_if_small, is_small
+from odsflow.sizing import broadcast_if_small, is_small, settle
 
-SHARE = 0.01
+#: Rows of one key that a task may hold; a key with more is dealt to several.
+TASK_ROWS = 4_000_000
 FRACTION = 0.001
+#: Bytes of hot keys that may be broadcast; there are at most rows / TASK_ROWS of them.
+HOT_BROADCAST = 64 << 20
 
 
-def hot_keys(df: DataFrame, key: str, share: float = SHARE, fraction: float = FRACTION) -> list:
-    """Values of ``key`` that hold more than ``share`` of the rows, by a sampled count.
+def hot_keys(df: DataFrame, key: str, rows: int | None = None, fraction: float | None = None) -> DataFrame:
+    """(_key, _slices) of the values of ``key`` with more than ``rows`` rows, by a sampled count.
 
-    At most ``1 / share`` values come back, whatever the number of keys. The
-    sample only steers how a join is planned, never what it returns.
+    The sample only steers how a join is planned, never what it returns.
     """
-    sampled = df.select(F.col(key).alias("_key"))
+    rows, fraction = rows or TASK_ROWS, fraction or FRACTION
+    sampled = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
     if fraction < 1:
         sampled = sampled.sample(fraction, seed=7)
-    counted = sampled.rollup("_key").agg(F.count("*").alias("n"), F.grouping("_key").alias("all"))
-    top = counted.orderBy(F.desc("all"), F.desc("n")).limit(math.ceil(1 / share) + 1).collect()
-    total = top[0]["n"] if top else 0
-    return [r["_key"] for r in top if not r["all"] and r["_key"] is not None and r["n"] > share * total]
+    slices = F.ceil(F.count("*") / F.lit(fraction * rows)).cast("int")
+    return sampled.groupBy("_key").agg(slices.alias("_slices")).where("_slices > 1")
 
 
 def split_join(
-    left: DataFrame, right: DataFrame, key: str, share: float = SHARE, fraction: float = FRACTION
+    left: DataFrame, right: DataFrame, key: str, rows: int | None = None, fraction: float | None = None
 ) -> DataFrame:
     """Inner join on ``key``, kept even when some keys are hot on the left.
 
-    A right side that measures small is broadcast. Otherwise rows with hot keys
-    join the few right rows of those keys, which are measured and broadcast, so
-    they stay spread as they are; all other rows are placed by key. An
-    aggregate above the join can therefore reuse that placement safely.
+    A right side that measures small is broadcast. Otherwise a hot key's rows on
+    the left are dealt to slices by a hash of the whole row, and its rows on the
+    right are given to every slice; both sides are read once and joined once. An
+    aggregate above cannot reuse that placement, so it does not gather a hot key.
     """
     if is_small(right):
         return left.join(F.broadcast(right), key)
-    hot = hot_keys(left, key, share, fraction)
-    if not hot:
+    hot = settle(hot_keys(left, key, rows, fraction), "hot_keys")
+    if hot.isEmpty():
         return left.join(right, key)
-    is_hot = F.col(key).isin(hot)
-    few = broadcast_if_small(right.where(is_hot))
-    return left.where(is_hot).join(few, key).unionByName(left.where(~is_hot).join(right.where(~is_hot), key))
+    hot = broadcast_if_small(hot.withColumnRenamed("_key", key), HOT_BROADCAST)
+    slices = F.coalesce("_slices", F.lit(1))
+    dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), slices).cast("int")
+    each = F.explode(F.sequence(F.lit(0), slices - 1))
+    lefts = left.join(hot, key, "left").withColumn("_slice", dealt).drop("_slices")
+    rights = right.join(hot, key, "left").withColumn("_slice", each).drop("_slices")
+    return lefts.join(rights, [key, "_slice"]).drop("_slice")

@@ -46,22 +46,25 @@ def test_split_join_equals_a_plain_join(spark):
     right = spark.range(0, 1000, 2).selectExpr("id as k", "id * 2 as v").unionAll(
         spark.sql("select 7L k, 1L v union all select 7L, 2L union all select null, 3L")
     )
-    assert skew.hot_keys(left, "k", fraction=1) == [7]
-    assert skew.hot_keys(left.where("false"), "k", fraction=1) == []
+    assert rows(skew.hot_keys(left, "k", rows=300, fraction=1)) == [(7, 4)]
+    assert rows(skew.hot_keys(left.where("false"), "k", rows=300, fraction=1)) == []
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     expected = rows(left.join(right, "k"))
     try:
-        for limit, few in ((before, 1), ("4000", 1), ("-1", 0)):
+        for limit, salted in ((before, False), ("4000", True), ("-1", True)):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-            joined = skew.split_join(left, right, "k", fraction=1)
+            joined = skew.split_join(left, right, "k", rows=300, fraction=1)
             plan = joined._jdf.queryExecution().executedPlan().toString()
-            assert plan.count("BroadcastHashJoin") == few
+            assert ("_slice" in plan) == salted
+            assert plan.count("Range (0, 3000") == 1
             assert rows(joined) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_hot_products_are_not_gathered_for_the_distinct(spark):
+def test_hot_products_are_not_gathered_for_the_distinct(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 500)
+    monkeypatch.setattr(skew, "FRACTION", 1)
     names = (
         "parent_id order_id cust_id cust_type order_type allot_quantity bargin_price receiver_country_id"
         " receiver_province_id receiver_city_id shop_id order_source from_platform order_status"
@@ -82,7 +85,7 @@ def test_hot_products_are_not_gathered_for_the_distinct(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "3000")
         split = repurchase.clean_detail(detail, product, "2024-01-01", "2024-02-01")
         plan = split._jdf.queryExecution().executedPlan().toString()
-        assert "Union" in plan and rows(split) == rows(small)
+        assert "_slice" in plan and plan.count("Range (0, 4000") == 1 and rows(split) == rows(small)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
