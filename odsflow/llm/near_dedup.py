@@ -12,14 +12,14 @@ few that it does not.
 
 Equal texts are one node from the start. Signatures are cut into bands; nodes
 with an equal band share a bucket. Every node is tested against the least node
-of its buckets; a node that is not connected to it afterwards is tested, in each
-of its buckets, against a few others there, chosen by a hash that differs from
-bucket to bucket and round to round, until a round finds no link.
-So no bucket emits all its pairs: two similar nodes meet through any of their
-buckets, and their components through any of their members. A sketch of the signature
-(250 bits) drops pairs far below the threshold, and what remains is verified by
-the exact overlap of the two multisets. The classes are the connected
-components of the verified links.
+of its buckets. Then an exact pass tests all other pairs: in each bucket, every
+node that is not connected to the least one meets every node of another
+component there. A large bucket is cut into blocks, and each two blocks are a
+group of rows of their own, so no pair is a row and no bucket is one task's. A
+pair is tested in the first bucket that it shares, by a sketch of the signatures
+(250 bits), which drops pairs far below the threshold, and then by the exact
+overlap of the two multisets; a task leaves out what its own links have already
+joined. The classes are the connected components of the verified links.
 
 Defined cases: a text of one to four words has one shingle, all its words; a
 text without words, and a null text, is like none but its equals (nulls: like
@@ -34,11 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm.links import components
 from odsflow.llm.store import settle
-from odsflow.llm.text import mix, shingles, slices, span_hash, text_bytes, words
+from odsflow.llm.text import mix, ragged, shingles, slices, span_hash, text_bytes, words
 from odsflow.sizing import broadcast_if_small
 
 SIZE = 5
@@ -50,8 +51,9 @@ FAR_BITS = 25 + 28
 #: Bytes of ids that may be broadcast to pick the rows of a few documents.
 IDS_BROADCAST = 16 << 20
 
-#: Nodes apart, and nodes of any kind, that a node apart meets in one bucket and round.
-MET = 3
+#: Nodes of a block; pairs enumerated, and pairs verified, at once in a task.
+BLOCK = 512
+ENUMERATED, VERIFIED = 1 << 18, 1 << 13
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -231,17 +233,145 @@ def _joined_labels(labels: DataFrame, moved: DataFrame) -> DataFrame:
     return known.unionByName(moved.join(labels.select("node"), "node", "left_anti"))
 
 
-def _met(state: DataFrame, rounds: int) -> DataFrame:
-    """Per bucket a few of the nodes apart and a few of all but the head, others in each bucket and round."""
-    picks = []
-    for i in range(MET):
-        order = F.xxhash64("node", "bucket", F.lit(rounds * MET + i))
-        pick = F.struct(order.alias("order"), "node", "label", "sketch")
-        picks += [F.min(F.when(F.col("label") != F.col("head_label"), pick)), F.min(F.when(F.col("node") != F.col("head"), pick))]
-    some = state.groupBy("bucket").agg(*[p.alias(f"p{i}") for i, p in enumerate(picks)])
-    some = some.select("bucket", F.filter(F.array(*[f"p{i}" for i in range(len(picks))]), lambda p: p.isNotNull()).alias("some"))
-    bare = F.transform("some", lambda p: F.struct(p["node"].alias("other"), p["label"].alias("other_label"), p["sketch"].alias("other_sketch")))
-    return some.select("bucket", F.inline(F.array_distinct(bare)))
+def _dealt(state: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """``state`` dealt to groups (bucket, i, j): block i of a bucket's nodes apart (``right`` false), block j of all its nodes."""
+    sized = state.join(sizes, "bucket").withColumns({"_i": F.ceil(F.col("n_apart") / block), "_j": F.ceil(F.col("n") / block)})
+    place = F.xxhash64("node")
+    lefts = sized.where("apart").withColumns({"right": F.lit(False), "i": F.pmod(place, "_i"), "j": F.explode(F.sequence(F.lit(0).cast("long"), F.col("_j") - 1))})
+    rights = sized.withColumns({"right": F.lit(True), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.col("_i") - 1)), "j": F.pmod(place, "_j")})
+    return lefts.select(*state.columns, "right", "i", "j").unionByName(rights.select(*state.columns, "right", "i", "j"))
+
+
+def _together(df: DataFrame) -> DataFrame:
+    """``df`` with the rows of each group in a row, its left ones first."""
+    return df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "right")
+
+
+def _group_starts(part: pa.RecordBatch) -> np.ndarray:
+    new = np.ones(part.num_rows, bool)
+    keys = [part.column(c).to_numpy() for c in ("bucket", "i", "j")]
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.flatnonzero(new)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], column: str | None = None, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut between groups, into parts of about ``limit`` bytes of ``column``."""
+    left = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        whole = batch if left is None else pa.concat_batches([left, batch])
+        starts = _group_starts(whole)
+        sizes = pc.binary_length(whole.column(column)).to_numpy().astype(np.int64) if column else np.zeros(whole.num_rows, np.int64)
+        before = np.concatenate([[0], np.cumsum(sizes)])[starts] // limit
+        edges = [0, *starts[1:][np.diff(before) > 0].tolist(), int(starts[-1])]
+        for low, high in zip(edges, edges[1:]):
+            if high > low:
+                yield whole.slice(low, high - low)
+        left = whole.slice(int(starts[-1]))
+    if left is not None:
+        yield left
+
+
+def _candidates(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(left rows, right rows, unequal bits) of the pairs of whole groups that are of different labels, near by their
+    sketches, and in no earlier bucket together."""
+    starts = _group_starts(part)
+    ends = np.append(starts[1:], part.num_rows)
+    right, apart = (part.column(c).to_numpy(zero_copy_only=False) for c in ("right", "apart"))
+    bucket, node, label = (part.column(c).to_numpy() for c in ("bucket", "node", "label"))
+    bands = part.column("bands").flatten().to_numpy().reshape(-1, BANDS)
+    sketch = np.stack([part.column(f"s{k}").to_numpy() for k in range(4)], axis=1)
+    group = np.repeat(np.arange(len(starts)), ends - starts)
+    middle = ends - np.bincount(group, right, len(starts)).astype(np.int64)
+    lefts = np.flatnonzero(~right)
+    counts = (ends - middle)[group[lefts]]
+    cuts = np.flatnonzero(np.diff(np.cumsum(counts) // ENUMERATED)) + 1
+    for some, n in zip(np.split(lefts, cuts), np.split(counts, cuts)):
+        a, b = np.repeat(some, n), ragged(middle[group[some]], n)
+        # Two nodes apart stand on both sides; they meet once.
+        on = (label[a] != label[b]) & (~apart[b] | (node[a] < node[b]))
+        a, b = a[on], b[on]
+        bits = np.zeros(len(a), np.int64)
+        for k in range(4):
+            bits += np.bitwise_count((sketch[a, k] ^ sketch[b, k]).view(np.uint64))
+        on = bits <= FAR_BITS
+        a, b, bits = a[on], b[on], bits[on]
+        same = bands[a] == bands[b]
+        first = same.argmax(axis=1) if len(a) else np.zeros(0, np.int64)
+        on = bands[a, first] == bucket[a]
+        if on.any():
+            yield a[on], b[on], bits[on]
+
+
+class _Bags:
+    """Exact similarity of pairs of the texts of one part."""
+
+    def __init__(self, texts: pa.Array):
+        found, at = doc_shingles(texts)
+        row, found, self.weight = bags(found, at)
+        self.total = np.diff(at)
+        kinds, self.kind = np.unique(found, return_inverse=True)
+        self.span = max(1, len(kinds))
+        by = np.lexsort((self.kind, row))
+        row, self.kind, self.weight = row[by], self.kind[by], self.weight[by]
+        self.keys = row * self.span + self.kind
+        self.first = np.searchsorted(row, np.arange(len(at)))
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        least, most = np.minimum(self.total[a], self.total[b]), np.maximum(self.total[a], self.total[b])
+        good = (least * LEAST[1] >= most * LEAST[0]) & (most > 0)
+        a, b = a[good], b[good]
+        distinct = np.diff(self.first)
+        a, b = np.where(distinct[a] > distinct[b], b, a), np.where(distinct[a] > distinct[b], a, b)
+        mine = ragged(self.first[a], distinct[a])
+        pair = np.repeat(np.arange(len(a)), distinct[a])
+        asked = b[pair] * self.span + self.kind[mine]
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        both = np.bincount(pair, np.where(self.keys[at] == asked, np.minimum(self.weight[mine], self.weight[at]), 0), len(a)) if len(a) else np.zeros(0)
+        either = self.total[a] + self.total[b] - both
+        good[good] = both * LEAST[1] >= either * LEAST[0]
+        return good
+
+
+def _near_groups(dealt: DataFrame) -> DataFrame:
+    """The rows of ``dealt`` that have a candidate in their group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _groups(batches):
+            wanted = np.zeros(part.num_rows, bool)
+            for a, b, _ in _candidates(part):
+                wanted[a] = wanted[b] = True
+            yield part.filter(pa.array(wanted))
+
+    return _together(dealt).mapInArrow(run, dealt.schema)
+
+
+def _group_links(groups: DataFrame) -> DataFrame:
+    """(a, b): labels that a verified pair of ``groups`` (with text) joins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _groups(batches, "text"):
+            own = _Bags(part.column("text"))
+            names, label = np.unique(part.column("label").to_numpy(), return_inverse=True)
+            root = np.arange(len(names))
+            links = []
+            for left, right, bits in _candidates(part):
+                by = np.argsort(bits, kind="stable")
+                for at in range(0, len(by), VERIFIED):
+                    a, b = left[by[at : at + VERIFIED]], right[by[at : at + VERIFIED]]
+                    on = root[label[a]] != root[label[b]]
+                    a, b = a[on], b[on]
+                    good = own.near(a, b)
+                    for x, y in np.unique(np.stack([label[a[good]], label[b[good]]]), axis=1).T.tolist():
+                        x, y = int(root[x]), int(root[y])
+                        if x != y:
+                            root[root == max(x, y)] = min(x, y)
+                            links.append((x, y))
+            pairs = names[np.array(links, np.int64).reshape(-1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return _together(groups).mapInArrow(run, "a long, b long")
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -265,34 +395,18 @@ def near_classes(docs: DataFrame) -> DataFrame:
     stars = settle(stars.where(_unequal("sketch", "other") <= FAR_BITS).select(F.col("head").alias("a"), F.col("node").alias("b")), "stars")
     labels = components(settle(verified(stars, texts), "verified"))
 
-    # Whoever is not in the head's component meets some of the others of its buckets.
+    # Whoever is not in the head's component meets all others of its buckets that are not in its own.
     state = members.withColumn("label", F.col("node")).withColumn("head_label", F.col("head"))
     moved = broadcast_if_small(labels, IDS_BROADCAST)
-    state = settle(_relabelled(_relabelled(state, "label", moved), "head_label", moved), "state")
-    split = settle(state.where("label <> head_label").select("bucket").distinct(), "split")
-    state = state.join(broadcast_if_small(split, IDS_BROADCAST), "bucket", "left_semi")
-    state = settle(state.join(sketch, "node"), "state")
-    rounds = 0
-    while state.where("label <> head_label").limit(1).count():
-        met = broadcast_if_small(settle(_met(state, rounds), "met"), IDS_BROADCAST)
-        pairs = state.where("label <> head_label").join(met, "bucket")
-        pairs = pairs.where(F.col("label") != F.col("other_label")).where(_unequal("sketch", "other_sketch") <= FAR_BITS)
-        first = F.col("node") < F.col("other")
-        pairs = pairs.select(
-            F.least("node", "other").alias("a"),
-            F.greatest("node", "other").alias("b"),
-            F.when(first, F.col("label")).otherwise(F.col("other_label")).alias("label_a"),
-            F.when(first, F.col("other_label")).otherwise(F.col("label")).alias("label_b"),
-        )
-        pairs = settle(pairs.dropDuplicates(["a", "b"]), "pairs")
-        found = settle(verified(pairs, texts).select(F.col("label_a").alias("a"), F.col("label_b").alias("b")), "verified")
-        if not found.limit(1).count():
-            break
-        # The links join whole components, so only their labels are connected anew.
-        moved = broadcast_if_small(components(found), IDS_BROADCAST)
-        state = settle(_relabelled(_relabelled(state, "label", moved), "head_label", moved), "state")
-        labels = settle(_joined_labels(labels, moved), "labels")
-        rounds += 1
+    state = _relabelled(_relabelled(state, "label", moved), "head_label", moved)
+    state = settle(state.select("bucket", "node", "label", (F.col("label") != F.col("head_label")).alias("apart")), "state")
+    sizes = state.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if("apart").alias("n_apart")).where("n_apart > 0")
+    sizes = broadcast_if_small(settle(sizes, "sizes"), IDS_BROADCAST)
+    dealt = _dealt(state, sizes, BLOCK).join(sketches.select("node", "bands", "sketch.*"), "node")
+    groups = settle(_near_groups(dealt), "groups")
+    found = settle(_group_links(groups.join(texts.withColumnRenamed("id", "node"), "node")), "found")
+    # The links join whole components, so only their labels are connected anew.
+    labels = _joined_labels(labels, components(found))
 
     classes = owners.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("_class"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("key"))

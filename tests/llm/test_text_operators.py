@@ -231,6 +231,39 @@ def test_near_classes(documents):
     assert found == classes_by_force(rows)
 
 
+def crowded_rows(n=600, twins=6, seed=1):
+    """Texts of 196 words less 28 each, so that all of them share buckets; only the ``twins``, each missing eleven words
+    that an earlier one misses, are near (151 of 185 words), all others at most 149 of 187."""
+    rng = np.random.default_rng(seed)
+    missing = np.zeros((0, 196), np.int64)
+    while len(missing) < n + twins:
+        one = np.zeros((1, 196), np.int64)
+        twin = len(missing) - n
+        if twin < 0:
+            one[0, rng.choice(196, 28, replace=False)] = 1
+        else:
+            of = n // 2 + 40 * twin
+            one[0, rng.choice(np.flatnonzero(missing[of]), 11, replace=False)] = 1
+            one[0, rng.choice(np.flatnonzero(missing[of] == 0), 17, replace=False)] = 1
+        shared = missing @ one[0]
+        if twin >= 0:
+            shared[of] = 0
+        if not len(shared) or shared.max() < 10:
+            missing = np.concatenate([missing, one])
+    # Four x between any two words: a shingle holds one word, so it is there or not with its word.
+    texts = ["x x x x " + " x x x x ".join(f"w{k}" for k in np.flatnonzero(row == 0)) + " x x x x" for row in missing]
+    classes = {i: i for i in range(n)} | {n + t: n // 2 + 40 * t for t in range(twins)}
+    return list(enumerate(texts)), classes
+
+
+def test_near_classes_of_crowded_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 64, raising=False)
+    rows, wanted = crowded_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(docs).collect()}
+    assert {i: c for i, c in found.items() if c != wanted[i]} == {}
+
+
 def test_near_classes_defined_cases(odd, empty):
     found = defaultdict(set)
     for r in near_dedup.near_classes(clashing(odd)).collect():
