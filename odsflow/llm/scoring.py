@@ -8,8 +8,9 @@ is the sum of the conditional log-probabilities of all its tokens.
 Tokens are the frequent words of the corpus; a rarer word is one of a number of
 buckets by its hash. Counts, classes and shares come from all rows. Training is
 data parallel: in each round every task starts from the common parameters, takes
-numpy gradient steps over its own slice (each round another fixed share of the
-places of every document, ``ROUNDS`` in ``STRIDE``) and returns its parameters;
+numpy gradient steps over its own slice (each round one of ``STRIDE`` shares of
+the places of every document; the rounds together take every place) and returns
+its parameters;
 their mean, weighted by places and summed in two levels of groups, starts the
 next round. The parameters' size is fixed by the vocabulary.
 
@@ -32,7 +33,8 @@ from odsflow.llm.text import slices, span_hash, text_bytes, words
 
 FREQUENT, BUCKETS, CLASSES = 8192, 1024, 128
 SIDE, WIDTH, HIDDEN = 2, 16, 32
-ROUNDS, STRIDE = 2, 8
+#: Every place is trained on: the rounds are a multiple of the stride.
+ROUNDS, STRIDE = 2, 2
 BATCH, RATE = 2048, 0.004
 SCORED_AT_ONCE = 1 << 15
 PARTS = 8

@@ -424,6 +424,15 @@ def test_scores_prefer_the_corpus_order(spark):
     assert abs(total - 1) < 1e-3
 
 
+def test_scores_learn_from_every_place(spark):
+    assert {number % scoring.STRIDE for number in range(scoring.ROUNDS)} == set(range(scoring.STRIDE))
+    for ids in ((2, 3, 4), (5, 6, 7)):  # the only place of a document is its first
+        docs = spark.createDataFrame([(i, "alpha") for i in ids], "doc_id long, text string")
+        vocabulary = scoring.learn_vocabulary(docs)
+        learnt = scoring.train(scoring.tokens_of(docs, vocabulary), vocabulary)
+        assert learnt["out_bias"].argmax() == vocabulary.classes[0] and learnt["out_bias"].max() > 0
+
+
 def test_scores_defined_cases(odd, empty):
     rows = scoring.score(clashing(odd)).collect()
     by = {r["doc_id"]: r for r in rows}
