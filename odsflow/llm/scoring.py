@@ -6,7 +6,8 @@ tokens; a token's share of its class is its relative count. A document's score
 is the sum of the conditional log-probabilities of all its tokens.
 
 Tokens are the frequent words of the corpus; a rarer word is one of a number of
-buckets by its hash. Counts, classes and shares come from all rows. Training is
+buckets by its hash, and has its own exact share of its bucket's count, by a
+join with the counts. Counts, classes and shares come from all rows. Training is
 data parallel: in each round every task starts from the common parameters, takes
 numpy gradient steps over its own slice (each round one of ``STRIDE`` shares of
 the places of every document; the rounds together take every place) and returns
@@ -69,8 +70,10 @@ class Vocabulary:
         self.names, self.ids = names[by], by
         counts = np.ones(TOKENS)
         counts[: len(frequent)] += [c for _, c in frequent]
+        self.log_bucket = np.zeros(TOKENS)
         for bucket, count in buckets.items():
             counts[FREQUENT + bucket] += count
+            self.log_bucket[FREQUENT + bucket] = np.log(max(count, 1))
         order = np.argsort(-counts, kind="stable")
         mass = np.cumsum(counts[order]) / counts.sum()
         self.classes = np.empty(TOKENS, np.int64)
@@ -89,7 +92,10 @@ class Vocabulary:
 
 
 def learn_vocabulary(docs: DataFrame) -> Vocabulary:
-    counts = settle(count_words(docs), "words")
+    return vocabulary_of(settle(count_words(docs), "words"))
+
+
+def vocabulary_of(counts: DataFrame) -> Vocabulary:
     top = counts.orderBy(F.desc("n"), "name").limit(FREQUENT)
     frequent = [(r["name"], r["n"]) for r in top.collect()]
     # pmod of the signed hash equals the remainder of the unsigned one, as BUCKETS is a power of two.
@@ -101,18 +107,48 @@ def learn_vocabulary(docs: DataFrame) -> Vocabulary:
 
 
 def tokens_of(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, tokens: 16-bit ids) of every row."""
+    """(doc_id, tokens: 16-bit ids, rare: names of the words in buckets) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             names, first = _names(part.column("text"))
             ids = shared.value.look_up(names).astype("<u2")
-            offsets = pa.py_buffer((first * 2).astype(np.int32))
-            blobs = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(ids.tobytes())])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), blobs], names=["doc_id", "tokens"])
+            rare = ids >= FREQUENT
+            before = np.concatenate([[0], np.cumsum(rare)])[first]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), _blobs(ids, first), _blobs(names[rare], before)], names=["doc_id", "tokens", "rare"]
+            )
+
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, tokens binary, rare binary")
+
+
+def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    offsets = pa.py_buffer((bounds * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(values.tobytes())])
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, tokens binary")
+
+def rare_logs(tokens: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row, logs): the sum of log n(word) over the words in buckets, of each row of ``tokens`` that has some."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "rare"):
+            data, bounds = text_bytes(part.column("rare").cast(pa.binary()))
+            names = np.frombuffer(data.tobytes(), np.int64)
+            row = np.repeat(part.column("row").to_numpy(), np.diff(bounds // 8))
+            by = np.lexsort((names, row))
+            names, row = names[by], row[by]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (names[1:] != names[:-1])
+            start = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[start]), pa.array(names[start]), pa.array(np.diff(np.append(start, len(row))))], names=["row", "name", "times"]
+            )
+
+    found = tokens.select("row", "rare").mapInArrow(run, "row long, name long, times long").join(counts, "name")
+    # In whole units of 2**-32, so that equal texts have equal sums in whatever order.
+    units = F.sum(F.col("times") * F.round(F.log("n") * 2.0**32).cast("long"))
+    return found.groupBy("row").agg((units / 2.0**32).alias("logs"))
 
 
 def _windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,6 +228,7 @@ def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, strid
     """Parameters after ``rounds`` rounds of data-parallel training over ``tokens``."""
     spark = tokens.sparkSession
     parameters = initial()
+    tokens = tokens.select("doc_id", "tokens")
     classes = spark.sparkContext.broadcast(vocabulary.classes)
     for number in range(rounds):
         start = spark.sparkContext.broadcast(parameters)
@@ -249,19 +286,24 @@ def log_probabilities(p: Parameters, vocabulary: Vocabulary, own: np.ndarray, co
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, score and mean_score of every row of ``docs``, by a model of these rows."""
     sc = docs.sparkSession.sparkContext
-    vocabulary = learn_vocabulary(docs)
-    tokens = settle(tokens_of(docs, vocabulary), "tokens")
+    counts = settle(count_words(docs), "words")
+    vocabulary = vocabulary_of(counts)
+    tokens = settle(tokens_of(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "tokens")
     shared = sc.broadcast((train(tokens, vocabulary), vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parameters, words_known = shared.value
         for part in slices(batches, "tokens", 1 << 20):
             own, context, row = _windows(part)
-            total = np.bincount(row, log_probabilities(parameters, words_known, own, context), part.num_rows)
+            logs = log_probabilities(parameters, words_known, own, context) - words_known.log_bucket[own]
+            total = np.bincount(row, logs, part.num_rows)
             n = np.bincount(row, minlength=part.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0)],
-                names=["doc_id", "n_tokens", "score", "mean_score"],
+                [part.column("row"), part.column("doc_id"), pa.array(n), pa.array(total)], names=["row", "doc_id", "n_tokens", "_of_tokens"]
             )
 
-    return tokens.mapInArrow(run, "doc_id long, n_tokens long, score double, mean_score double")
+    scored = tokens.select("row", "doc_id", "tokens").mapInArrow(run, "row long, doc_id long, n_tokens long, _of_tokens double")
+    scored = scored.join(rare_logs(tokens, counts), "row", "left")
+    score = F.col("_of_tokens") + F.coalesce("logs", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens"))
+    return scored.select("doc_id", "n_tokens", score.alias("score")).withColumn("mean_score", mean)

@@ -433,6 +433,20 @@ def test_scores_learn_from_every_place(spark):
         assert learnt["out_bias"].argmax() == vocabulary.classes[0] and learnt["out_bias"].max() > 0
 
 
+def test_scores_give_rare_words_their_own_share(spark):
+    frequent = " ".join(f"f{i}" for i in range(scoring.FREQUENT))
+    rare = [f"r{i}" for i in range(2000)]
+    names, _ = scoring._names(pa.array(rare))
+    mates = defaultdict(list)
+    for word, name in zip(rare, names.tolist()):
+        mates[name % scoring.BUCKETS].append(word)
+    twice, once = next(words for words in mates.values() if len(words) >= 2)[:2]
+    docs = spark.createDataFrame([(0, " ".join([frequent] * 3)), (1, twice), (2, twice), (3, once)], "doc_id long, text string")
+    by = {r["doc_id"]: r["score"] for r in scoring.score(docs).collect()}
+    # Alone in a document, words of one bucket differ by their shares of it only.
+    assert by[1] == by[2] and abs(by[1] - by[3] - np.log(2)) < 1e-4
+
+
 def test_scores_defined_cases(odd, empty):
     rows = scoring.score(clashing(odd)).collect()
     by = {r["doc_id"]: r for r in rows}
