@@ -6,16 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from odsflow.llm import decontaminate, language, licenses, line_dedup, near_dedup, packing, quality, repeats, scoring, sharding
-from odsflow.llm.store import table
-
-VOCABULARY = "word_bpe_49k.json"
-
-
-def vocabulary() -> str:
+from odsflow.llm import (
+    align,
+    decontaminate,
+    language,
+    licenses,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    repeats,
+    scoring,
+    sharding,
+    tiers,
+)
+from odsflow.llm.store import settle, table
+
+VOCABULARY, BYTE_VOCABULARY, PIECE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +84,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_cross_tokenizer_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_VOCABULARY)
+    found = align.align(documents(spark, sf_dir), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    stored = settle(found.withColumn("groups", digest).withColumnRenamed("groups", "groups_sha256"), "aligned")
+    rated = align.rate_links(stored, *align.vocabulary_sizes(a, b))
+    return rated.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = tiers.pack_tiers(documents(spark, sf_dir), vocabulary(BYTE_VOCABULARY))
+    crc = F.crc32("ids").alias("ids_crc32")
+    return placed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset", "tier", "step")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -84,5 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_benchmark_items,
         op10_language,
+        op11_cross_tokenizer_links,
+        op12_tier_packing,
     )
 }
