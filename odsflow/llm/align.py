@@ -36,7 +36,9 @@ from odsflow.llm.text import slices, text_bytes
 from odsflow.llm.units import byte_units, piece_units, tokenize, unit_starts
 
 #: A tokens of a lane, about; a lane ends with a unit.
-LANE = 512
+LANE = 128
+#: Bytes of text whose lanes advance together.
+BATCH_BYTES = 1 << 20
 BLOCK_LINKS = 4_000_000
 #: Links that a task counts together before they are shuffled.
 COUNTED_AT_ONCE = 8_000_000
@@ -103,12 +105,12 @@ def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def _aligned(part: pa.RecordBatch, path_a: str, path_b: str) -> pa.RecordBatch:
-    known_a, known_b = byte_units(path_a, False), piece_units(path_b)
+    known_a, known_b = byte_units(path_a), piece_units(path_b)
     texts, rows = part.column("text"), part.num_rows
     empty = pc.equal(pc.fill_null(pc.binary_length(texts), 0), 0)
     data, bounds = text_bytes(pc.if_else(empty, "", pc.binary_join_element_wise(" ", texts, "")))
     starts = unit_starts(data, bounds)
-    (ids_a, count_a, whole_a), (ids_b, count_b, whole_b) = tokenize(data, bounds, starts, [known_a, known_b])
+    (ids_a, count_a, whole_a), (ids_b, count_b, whole_b) = tokenize(data, starts, [known_a, known_b])
     # Documents with a unit whose tokens' bytes are not its own have no tokens.
     row = np.searchsorted(bounds, starts, side="right") - 1
     bad = np.zeros(rows, bool)
@@ -147,7 +149,7 @@ def _aligned(part: pa.RecordBatch, path_a: str, path_b: str) -> pa.RecordBatch:
 
 
 def vocabulary_sizes(path_a: str, path_b: str) -> tuple[int, int]:
-    return len(byte_units(path_a, False).lengths), len(piece_units(path_b).lengths)
+    return len(byte_units(path_a).lengths), len(piece_units(path_b).lengths)
 
 
 def link_type(n_a: int, n_b: int) -> str:
@@ -163,7 +165,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, limit=BATCH_BYTES):
             yield _aligned(part, path_a, path_b)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ALIGNED)

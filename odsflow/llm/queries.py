@@ -18,6 +18,7 @@ from odsflow.llm import (
     repeats,
     scoring,
     sharding,
+    spelling,
     tiers,
 )
 from odsflow.llm.store import settle, table
@@ -99,6 +100,10 @@ def op12_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset", "tier", "step")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -114,5 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language,
         op11_cross_tokenizer_links,
         op12_tier_packing,
+        op13_spelling_variants,
     )
 }

@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 
 from odsflow.llm.store import settle
 from odsflow.llm.text import slices, text_bytes
-from odsflow.llm.units import byte_units, tokenize, unit_starts
+from odsflow.llm.units import byte_units, byte_vocabulary, tokenize, unit_starts
 
 TIERS = (256, 512, 1024, 2048)
 END_ID = 1
@@ -51,21 +51,19 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 def _whole_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All rows' ids and the rows' bounds among them."""
-    cache = byte_units(path, True)
+    vocabulary = byte_vocabulary(path)
     data, bounds = text_bytes(texts)
     starts = unit_starts(data, bounds)
-    (ids, count, _), = tokenize(data, bounds, starts, [cache])
+    (ids, count, _), = tokenize(data, starts, [byte_units(path)])
     places = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(starts, bounds)]
-    marks = [m.encode() for m in cache.vocabulary.specials]
-    raw = data.tobytes()
+    marks, raw = [m.encode() for m in vocabulary.specials], data.tobytes()
     if not any(m in raw for m in marks):
         return ids, places
-    # The string of a special token is one token and cuts its text otherwise than white space does.
-    rows = []
-    for i in range(len(bounds) - 1):
-        own = raw[bounds[i] : bounds[i + 1]]
-        direct = any(m in own for m in marks)
-        rows.append(np.array(cache.vocabulary.encode([own])[0], np.uint32) if direct else ids[places[i] : places[i + 1]])
+    # The string of a special token is one token, and parts its text otherwise than white space does.
+    rows = [ids[low:high] for low, high in zip(places, places[1:])]
+    for i, (low, high) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
+        if any(m in raw[low:high] for m in marks):
+            rows[i] = np.array(vocabulary.encode(raw[low:high].decode("utf-8", "replace")), np.uint32)
     return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
 

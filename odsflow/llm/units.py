@@ -12,7 +12,7 @@ is tokenized once per worker.
 from __future__ import annotations
 
 import functools
-import os
+import json
 
 import numpy as np
 
@@ -20,6 +20,9 @@ from odsflow.llm.text import ragged, span_hash
 
 KNOWN_UNITS = 1_000_000
 
+#: Fixed value: how the byte-level vocabulary splits a text before it merges.
+PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: Characters before which a text may be cut.
 CUTS = b" \t\n"
 _IS_CUT = np.zeros(256, bool)
@@ -30,17 +33,22 @@ _TAIL = np.zeros(256, bool)
 _TAIL[0x80:0xC0] = True
 
 
+def _visible_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Is the character that ends before each place surely not white space?"""
+    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    # Characters of two bytes under C2, and of three under E1 to E3, may be white space.
+    pair = (two >= 0xC3) & (two < 0xE0)
+    longer = _TAIL[two] & (_TAIL[three] | (three >= 0xE4) | (three == 0xE0))
+    return _VISIBLE[one] | (_TAIL[one] & (pair | longer))
+
+
 def unit_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Where the units of the texts begin; none spans two texts."""
     if not len(data):
         return np.zeros(0, np.int64)
     opens = np.zeros(len(data), bool)
     at = np.flatnonzero(_IS_CUT[data])
-    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
-    # Characters of two bytes under C2, and of three under E1 to E3, may be white space.
-    pair = (two >= 0xC3) & (two < 0xE0)
-    longer = _TAIL[two] & (_TAIL[three] | (three >= 0xE4) | (three == 0xE0))
-    opens[at] = _VISIBLE[one] | (_TAIL[one] & (pair | longer))
+    opens[at] = _visible_before(data, at)
     opens[bounds[:-1][np.diff(bounds) > 0]] = True
     return np.flatnonzero(opens)
 
@@ -54,30 +62,36 @@ def _cut_safe(pieces: list[str]) -> None:
 
 
 class ByteLevel:
-    """The byte-level vocabulary; ``special`` says whether strings of special tokens are such tokens."""
+    """The byte-level vocabulary; ``special`` says whether strings of special tokens are such tokens.
+
+    Its merges are numbered like its tokens, so their ranks are the ids.
+    """
 
     def __init__(self, path: str, special: bool):
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in plain]
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes = [b""] * (max(self.tokenizer.get_vocab().values()) + 1)
-        for token, i in vocabulary.items():
-            self.bytes[i] = bytes(byte[c] for c in token)
+        specials = {t["content"]: t["id"] for t in made["added_tokens"]}
+        ranks = {bytes(byte[c] for c in t): i for t, i in made["model"]["vocab"].items() if t not in specials}
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in made["model"]["merges"])
+        if [ranks[bytes(byte[c] for c in a + b)] for a, b in pairs] != list(range(256, len(ranks))):
+            raise ValueError("the vocabulary does not number its tokens by their merges")
+        self.specials = specials if special else {}
+        self.model = tiktoken.Encoding("bytes", pat_str=PARTS, mergeable_ranks=ranks, special_tokens=self.specials)
+        self.bytes = [b""] * (max([*ranks.values(), *specials.values()]) + 1)
+        for token, i in ranks.items():
+            self.bytes[i] = token
 
-    def encode(self, units: list[bytes]) -> list[list[int]]:
-        texts = [u.decode("utf-8", "replace") for u in units]
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def encode(self, text: str) -> list[int]:
+        return self.model.encode(text, allowed_special="all") if self.specials else self.model.encode_ordinary(text)
 
 
 class Pieces:
-    """The piece vocabulary, which puts a blank before each text."""
+    """The piece vocabulary; a blank stands before the text already."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -89,12 +103,11 @@ class Pieces:
         _cut_safe([n for n, b in zip(names, byte) if not b])
         self.bytes = [bytes([int(n[3:5], 16)]) if b else n.replace("▁", " ").encode() for n, b in zip(names, byte)]
 
-    def encode(self, units: list[bytes]) -> list[list[int]]:
-        blank = [u[:1] == b" " for u in units]
-        texts = [u[b:].decode("utf-8", "replace") for u, b in zip(units, blank)]
-        # The model's own blank is the unit's first, or goes again; an empty text gets none.
-        found = zip(self.model.encode(texts, num_threads=1), blank)
-        return [(ids or [self.blank]) if b else ids[1:] for ids, b in found]
+    def encode(self, text: str) -> list[int]:
+        if text[:1] != " ":
+            return self.model.encode(text, num_threads=1)[1:]
+        # The model puts a blank before a text, but none before an empty one.
+        return self.model.encode(text[1:], num_threads=1) if len(text) > 1 else [self.blank]
 
 
 class Units:
@@ -103,6 +116,8 @@ class Units:
     def __init__(self, vocabulary):
         self.vocabulary = vocabulary
         self.lengths = np.array([len(b) for b in vocabulary.bytes], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.frombuffer(b"".join(vocabulary.bytes), np.uint8)
         self._clear()
 
     def _clear(self) -> None:
@@ -111,8 +126,47 @@ class Units:
         self.whole = np.zeros(0, bool)
         self.ids = np.zeros(0, np.uint32)
 
-    def look_up(self, names: np.ndarray, unit_of) -> np.ndarray:
-        """Places of ``names`` (sorted, distinct); ``unit_of(i)`` gives the bytes of a new one."""
+    def token_bytes(self, ids: np.ndarray) -> np.ndarray:
+        return self.flat[ragged(self.starts[ids], self.lengths[ids])]
+
+    def _together(self, joined: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids, tokens of each unit) of units that part where texts may be cut; None where that does not come out."""
+        try:
+            ids = np.array(self.vocabulary.encode(joined.decode("utf-8")), np.uint32)
+        except UnicodeDecodeError:
+            return None
+        upto = np.cumsum(self.lengths[ids])
+        if not np.array_equal(self.token_bytes(ids), np.frombuffer(joined, np.uint8)):
+            return None
+        behind = np.searchsorted(upto, ends) + 1
+        return (ids, np.diff(behind, prepend=0)) if np.array_equal(upto[behind - 1], ends) else None
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """(ids, tokens of each unit, whether their bytes are the unit's); each unit is tokenized by itself or among units
+        that it may follow."""
+        size = ends - starts
+        safe = _IS_CUT[data[starts]] & _visible_before(data, ends) & (size > 2)
+        count, whole = np.zeros(len(starts), np.int64), np.ones(len(starts), bool)
+        own = np.flatnonzero(safe)
+        together = self._together(data[ragged(starts[own], size[own])].tobytes(), np.cumsum(size[own])) if len(own) else None
+        if together is None:
+            own, together = own[:0], (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        count[own] = together[1]
+        alone = np.setdiff1d(np.arange(len(starts)), own)
+        found = []
+        for i in alone.tolist():
+            unit = data[starts[i] : ends[i]].tobytes()
+            ids = np.array(self.vocabulary.encode(unit.decode("utf-8", "replace")), np.uint32)
+            count[i], whole[i] = len(ids), self.token_bytes(ids).tobytes() == unit
+            found.append(ids)
+        ids = np.concatenate([together[0], *found]).astype(np.uint32)
+        at = np.empty(len(starts), np.int64)
+        order = np.concatenate([own, alone])
+        at[order] = np.cumsum(count[order]) - count[order]
+        return ids, at, count, whole
+
+    def look_up(self, names: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places of ``names`` (sorted, distinct), the hashes of these spans of ``data``."""
         at = np.searchsorted(self.names, names)
         known = np.zeros(len(names), bool)
         inside = at < len(self.names)
@@ -122,26 +176,25 @@ class Units:
             return at
         if len(self.names) and len(self.names) + len(new) > KNOWN_UNITS:
             self._clear()
-            return self.look_up(names, unit_of)
-        units = [unit_of(i) for i in new.tolist()]
-        found = self.vocabulary.encode(units)
-        table = self.vocabulary.bytes
-        whole = [b"".join([table[i] for i in ids]) == unit for ids, unit in zip(found, units)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint32, int(count.sum()))
-        start = np.cumsum(count) - count + len(self.ids)
-        self.ids = np.concatenate([self.ids, ids])
+            return self.look_up(names, data, starts, ends)
+        ids, start, count, whole = self._learn(data, starts[new], ends[new])
         places = at[new]
-        self.start = np.insert(self.start, places, start)
+        self.start = np.insert(self.start, places, start + len(self.ids))
+        self.ids = np.concatenate([self.ids, ids])
         self.count = np.insert(self.count, places, count)
-        self.whole = np.insert(self.whole, places, np.array(whole, bool))
+        self.whole = np.insert(self.whole, places, whole)
         self.names = np.insert(self.names, places, names[new])
         return np.searchsorted(self.names, names)
 
 
 @functools.cache
-def byte_units(path: str, special: bool) -> Units:
-    return Units(ByteLevel(path, special))
+def byte_units(path: str) -> Units:
+    return Units(ByteLevel(path, False))
+
+
+@functools.cache
+def byte_vocabulary(path: str) -> ByteLevel:
+    return ByteLevel(path, True)
 
 
 @functools.cache
@@ -149,21 +202,16 @@ def piece_units(path: str) -> Units:
     return Units(Pieces(path))
 
 
-def tokenize(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray, caches: list[Units]):
+def tokenize(data: np.ndarray, starts: np.ndarray, caches: list[Units]):
     """For each cache (ids, tokens of each unit, whether its bytes are the unit's), over the units at ``starts``."""
     if not len(starts):
         return [(np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in caches]
     ends = np.append(starts[1:], len(data))
     names = span_hash(data, starts, ends)
     distinct, example, inverse = np.unique(names, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-
-    def unit_of(i: int) -> bytes:
-        return raw[starts[example[i]] : ends[example[i]]]
-
     out = []
     for cache in caches:
-        at = cache.look_up(distinct, unit_of)[inverse]
+        at = cache.look_up(distinct, data, starts[example], ends[example])[inverse]
         count = cache.count[at]
         out.append((cache.ids[ragged(cache.start[at], count)], count, cache.whole[at]))
     return out

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from odsflow.llm import align, queries, tiers
 from odsflow.llm.store import settle
 from odsflow.llm.text import text_bytes
-from odsflow.llm.units import byte_units, piece_units, tokenize, unit_starts
+from odsflow.llm.units import byte_units, byte_vocabulary, piece_units, tokenize, unit_starts
 
 SCHEMA = "doc_id long, text string, source string"
 A, B = queries.vocabulary(queries.BYTE_VOCABULARY), queries.vocabulary(queries.PIECE_VOCABULARY)
@@ -70,15 +70,17 @@ def piece_model():
     return sentencepiece.SentencePieceProcessor(model_file=B)
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=ODD, min_size=1, max_size=40), min_size=1, max_size=4))
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet=ODD, min_size=1, max_size=40), st.text(min_size=1, max_size=20), st.just("a<|endoftext|>\n b")), min_size=1, max_size=4))
 def test_units_tokenize_as_whole_texts(texts):
     texts = [" " + t for t in texts]
     data, bounds = text_bytes(pa.array(texts, pa.string()))
     starts = unit_starts(data, bounds)
     first = np.searchsorted(starts, bounds)
-    found = tokenize(data, bounds, starts, [byte_units(A, False), piece_units(B)])
-    own, pieces = byte_tokenizer(False), piece_model()
+    found = tokenize(data, starts, [byte_units(A), piece_units(B)])
+    own, special, pieces = byte_tokenizer(False), byte_tokenizer(True), piece_model()
+    for text in texts:
+        assert byte_vocabulary(A).encode(text) == special.encode(text, add_special_tokens=False).ids
     for (ids, count, _), encode in zip(found, (lambda t: own.encode(t, add_special_tokens=False).ids, lambda t: pieces.encode(t[1:]))):
         places = np.concatenate([[0], np.cumsum(count)])[first]
         for i, text in enumerate(texts):
@@ -93,7 +95,7 @@ def plain_alignment(text, own, pieces):
     """(n_a, n_b, groups, links) by one pointer pair."""
     if not text:
         return 0, 0, [], []
-    table_a, table_b = byte_units(A, False).vocabulary.bytes, piece_units(B).vocabulary.bytes
+    table_a, table_b = byte_units(A).vocabulary.bytes, piece_units(B).vocabulary.bytes
     ids_a, ids_b = own.encode(" " + text, add_special_tokens=False).ids, pieces.encode(text)
     whole = (" " + text).encode()
     if b"".join(table_a[i] for i in ids_a) != whole or b"".join(table_b[i] for i in ids_b) != whole:
