@@ -107,6 +107,24 @@ ORACLES: dict[str, str] = {
     "scd2_history": _HISTORY,
     "scd2_merge": _HISTORY,
     "scd2_daily": _HISTORY,
+    "scd2_replay": _HISTORY,
+    "scd2_stream": _HISTORY,
+    "latest_document": """
+SELECT doc_id, text, lang, source, n_chars FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, n_chars ORDER BY doc_id DESC) AS nth FROM documents)
+WHERE nth = 1
+""",
+    "snapshot_changes": """
+WITH later AS (
+  SELECT doc_id, CASE WHEN source = 'src3' THEN substring(text, 1, 100) ELSE text END AS text, n_chars
+  FROM documents WHERE n_chars >= 50
+  UNION ALL SELECT -1 - item_id, text, length(text) FROM benchmark)
+SELECT coalesce(o.doc_id, n.doc_id) AS doc_id,
+       CASE WHEN o.doc_id IS NULL THEN 'inserted' WHEN n.doc_id IS NULL THEN 'deleted' ELSE 'changed' END AS outcome,
+       md5(o.text) AS old_md5, md5(n.text) AS new_md5, n.n_chars AS new_chars
+FROM documents o FULL JOIN later n USING (doc_id)
+WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.text IS DISTINCT FROM n.text
+""",
     "scd2_as_of": f"{_HISTORY} WHERE start_dt <= '20240115' AND end_dt > '20240115'",
     "scd2_current": f"{_HISTORY} WHERE end_dt = '30001231'",
     "scd2_init": """

@@ -15,6 +15,7 @@ from odsflow.operators import (
     chain,
     chain_table,
     diff,
+    digests,
     latest,
     layouts,
     loads,
@@ -25,7 +26,7 @@ from odsflow.operators import (
 from odsflow.plans import daily, mounts, repurchase, sql_jobs
 from odsflow.settings import fresh_dir
 from odsflow.sources import delimited, files, partitions, paths, rdbms
-from odsflow.streaming import intake
+from odsflow.streaming import chain_stream, intake
 
 DETAIL_RANGE = ("1995-01-01", "2002-01-01")
 KEYS = ["user_id"]
@@ -141,6 +142,37 @@ def scd2_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(stored)
 
 
+def scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored chain without two days that come late; all days from the first of them on are replayed at once."""
+    events = table(spark, sf_dir, "events")
+    database, folder = scratch(spark, "scd2_replay")
+    cfg = configured(STATES, hive_db=database)
+    stored, staging = layouts.create_chain_tables(spark, cfg, folder)
+    loads.load_increments(day_states(events), staging)
+    days = last_days(events, 6)
+    on_time = ~F.col("etl_dt").isin(days[0], days[3])
+    chain_table.load_chain(spark, stored, chain.chain_build(spark.table(staging).where(on_time), KEYS, "etl_dt"))
+    chain_table.load_chain_range(spark, stored, spark.table(staging), KEYS, days[0])
+    return spark.table(stored)
+
+
+def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain kept by a stream of all events, stopped half way; the second half begins with a day that is late."""
+    events = table(spark, sf_dir, "events")
+    database, folder = scratch(spark, "scd2_stream")
+    stored, _ = layouts.create_chain_tables(spark, configured(STATES, hive_db=database), folder)
+    staged = events.select("user_id", "event_type", "ts", "event_id", scalars.day_text(F.col("ts")).alias("etl_dt"))
+    half = last_days(events, 15)[0]
+    late = last_days(events, 18)[0]
+    first = (F.col("etl_dt") < half) & (F.col("etl_dt") != late)
+    for n, part in enumerate((first, ~first)):
+        staged.where(part).write.parquet(f"{folder}/staged/{n}")
+        chain_stream.merge_stream(
+            spark, f"{folder}/staged", staged.schema, stored, KEYS, ["ts", "event_id"], f"{folder}/checkpoint"
+        )
+    return spark.table(stored)
+
+
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.chain_as_of(scd2_history(spark, sf_dir), "20240115")
 
@@ -196,6 +228,12 @@ def latest_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.latest_per_key(table(spark, sf_dir, "events"), ["user_id"], ["event_id"])
 
 
+def latest_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest document of each language, source and length; texts are fetched for the winners only."""
+    keys = ["lang", "source", "n_chars"]
+    return latest.latest_stored(table(spark, sf_dir, "documents"), keys, ["doc_id"])
+
+
 def _next_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Customers, and a later state: insolvent ones gone, one segment renamed, suppliers new."""
     old = table(spark, sf_dir, "customer")
@@ -223,6 +261,27 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against a later state, compared by stored digests: some gone, some cut, some new."""
+    folder = fresh_dir(spark, "snapshots")
+    old = table(spark, sf_dir, "documents")
+    cut = F.when(F.col("source") == "src3", F.substring("text", 1, 100)).otherwise(F.col("text"))
+    kept = old.where(F.col("n_chars") >= 50).withColumn("text", cut)
+    added = table(spark, sf_dir, "benchmark").select(
+        (-1 - F.col("item_id")).alias("doc_id"), "text", F.lit(None).cast("string").alias("lang"),
+        F.lit("benchmark").alias("source"), F.length("text").cast(old.schema["n_chars"].dataType).alias("n_chars"),
+    )
+    kept.unionByName(added).write.parquet(f"{folder}/new")
+    digests.row_digests(old, ["doc_id"]).write.parquet(f"{folder}/digests")
+    changes = digests.snapshot_changes(
+        old, spark.read.parquet(f"{folder}/new"), ["doc_id"], old_digests=spark.read.parquet(f"{folder}/digests")
+    )
+    return changes.select(
+        "doc_id", "outcome", F.md5("old.text").alias("old_md5"), F.md5("new.text").alias("new_md5"),
+        F.col("new.n_chars").alias("new_chars"),
+    )
+
+
 def all_columns_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = _next_customers(spark, sf_dir)
     return diff.all_columns_diff(old, new)
@@ -826,9 +885,9 @@ REPURCHASE = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        scd2_history, scd2_merge, scd2_daily, scd2_as_of, scd2_current, scd2_init,
-        scd2_init_old_layout, scd2_init_stored, scd2_bucketed, cdc_latest, latest_event, snapshot_diff,
-        all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
+        scd2_history, scd2_merge, scd2_daily, scd2_replay, scd2_stream, scd2_as_of, scd2_current, scd2_init,
+        scd2_init_old_layout, scd2_init_stored, scd2_bucketed, cdc_latest, latest_event,
+        latest_document, snapshot_diff, snapshot_changes, all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
         reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, daily_chain, convert_mysql,

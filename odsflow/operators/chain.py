@@ -51,14 +51,22 @@ def _version(layout: ChainLayout, data: Sequence[str], values: Sequence[Column],
     return F.struct(*[by_name[c].alias(c) for c in layout.ordered(data)])
 
 
-def chain_init(df: DataFrame, day: str, layout: ChainLayout = CHAIN) -> DataFrame:
-    """Every source row as an open version, valid from the first day on."""
+def chain_init(
+    df: DataFrame, day: str, layout: ChainLayout = CHAIN, keys: Sequence[str] | None = None
+) -> DataFrame:
+    """Every source row as an open version, valid from the first day on.
+
+    With ``keys``, a repeated or null key fails the job, as it does in a merge.
+    """
     data = layout.data_columns(df)
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in data]).alias("_new"))
+    if keys:
+        rows = _one_per_key(df, keys, data)
     row = _version(
-        layout, data, [F.col(f"`{c}`") for c in data],
+        layout, data, [F.col(f"_new.`{c}`") for c in data],
         F.lit(day), F.lit(layout.first), F.lit(layout.open_end),
     )
-    return df.select(row.alias("_v")).select("_v.*")
+    return rows.select(row.alias("_v")).select("_v.*")
 
 
 def chain_as_of(history: DataFrame, day: str, layout: ChainLayout = CHAIN) -> DataFrame:
@@ -146,7 +154,8 @@ def chain_day(
         return emit(old.join(new, keys, "full_outer"))
     after = emit(old.join(F.broadcast(new), keys, "left"))
     known = live.select(*keys).join(F.broadcast(delta.select(*keys)), keys, "left_semi")
-    unseen = delta.join(known, keys, "left_anti").select(F.struct(*data).alias("_new"))
+    # Out of the checked rows: here, and only here, null keys and keys without a version come out.
+    unseen = new.join(known, keys, "left_anti").select("_new")
     return after.unionByName(unseen.select(opened.alias("_v")).select("_v.*"))
 
 
@@ -170,6 +179,77 @@ def chain_merge(
     return closed.unionByName(chain_day(live, delta, keys, day, layout, small_delta))
 
 
+def chain_replay(
+    history: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    day_col: str,
+    first: str,
+    layout: ChainLayout = CHAIN,
+    small_changes: bool = False,
+) -> DataFrame:
+    """The whole chain after ``changes`` have replaced everything from day ``first`` on.
+
+    ``changes`` holds every change of ``first`` and later days, one row per key and
+    day. The result is that of merging these days one after the other into the
+    chain as it stood before ``first``; versions closed before it pass by.
+    """
+    data = layout.data_columns(history)
+    closed = history.where(F.col(layout.end) < first).select(*layout.ordered(data))
+    live = live_before(history, first, layout)
+    return closed.unionByName(replay_days(live, changes, keys, day_col, first, layout, small_changes))
+
+
+def replay_days(
+    live: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    day_col: str,
+    first: str,
+    layout: ChainLayout = CHAIN,
+    small_changes: bool = False,
+) -> DataFrame:
+    """Versions after all days of ``changes``: live ones kept or closed, new ones opened.
+
+    The live version of a key lies under the key's changes, and one window over
+    them finds what differs from the row before and when it ends: one shuffle for
+    all days instead of a merge for each. A key's group is its changed days and one
+    row more. A change before ``first``, a key and day given twice, or a null key
+    fails the job.
+
+    ``small_changes`` says the changes have been measured to fit a broadcast; then
+    only the live rows of changed keys are shuffled.
+    """
+    keys, data = list(keys), layout.data_columns(live)
+    etl = F.col(layout.etl) if layout.etl else F.lit(None).cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in data]).alias("_row")
+    below = live.select(*keys, row, F.lit("").alias("_day"), etl.alias("_etl"), F.col(layout.start).alias("_start"))
+    day = F.col(day_col).cast("string")
+    above = changes.select(*keys, row, day.alias("_day"), day.alias("_etl"), day.alias("_start"))
+    kept = None
+    if small_changes:
+        changed = F.broadcast(changes.select(*keys).distinct())
+        kept = below.join(changed, keys, "left_anti").withColumn("_end", F.lit(layout.open_end))
+        below = below.join(changed, keys, "left_semi")
+    in_order = Window.partitionBy(*keys).orderBy("_day")
+    before = F.lag(F.struct("_day", "_row")).over(in_order)
+    early = F.coalesce((F.col("_day") < first) & (F.col("_day") != ""), F.lit(True))
+    wrong = F.raise_error(
+        F.concat(F.lit("key and day repeated, key null, or day too early: "), F.to_json(F.struct(*keys, F.col("_day"))))
+    ).cast("boolean")
+    same = F.when(early | ~_known(keys) | F.coalesce(F.col("_day") == before["_day"], F.lit(False)), wrong).otherwise(
+        before.isNotNull() & F.col("_row").eqNullSafe(before["_row"])
+    )
+    stacked = below.unionByName(above).withColumn("_same", same).where(~F.col("_same"))
+    ended = stacked.withColumn("_end", F.lead("_day", 1, layout.open_end).over(in_order)).drop("_same", "_day")
+    if kept is not None:
+        ended = ended.unionByName(kept.drop("_day"))
+    version = _version(
+        layout, data, [F.col(f"_row.`{c}`") for c in data], F.col("_etl"), F.col("_start"), F.col("_end")
+    )
+    return ended.select(version.alias("_v")).select("_v.*")
+
+
 def chain_build(
     changes: DataFrame, keys: Sequence[str], day_col: str, layout: ChainLayout = CHAIN
 ) -> DataFrame:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from odsflow.sizing import broadcast_if_small, settle
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` values per key.
@@ -26,3 +28,31 @@ def newest(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFra
     """Greatest ``order`` tuple per group, without the other columns."""
     top = df.groupBy(*group).agg(F.max(F.struct(*order)).alias("_top"))
     return top.select(*group, *[F.col(f"_top.`{c}`").alias(c) for c in order])
+
+
+_ADDRESS = ("_file", "_place")
+
+
+def newest_addresses(stored: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """(_file, _place): where each key's row with the greatest ``order`` values lies.
+
+    ``stored`` reads files. Only keys, order and addresses are read and shuffled,
+    one row a key after the step within each task.
+    """
+    address = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place")]
+    narrow = stored.select(*keys, *[F.col(c) for c in order if c not in keys], *address)
+    picked = F.max(F.struct(*order, *_ADDRESS)).alias("_row")
+    return narrow.groupBy(*keys).agg(picked).select(*[F.col(f"_row.{c}").alias(c) for c in _ADDRESS])
+
+
+def latest_stored(stored: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """What ``latest_per_key`` returns, for wide rows that lie in files.
+
+    The winners' addresses are found first; their rows are then fetched by a
+    join on the address, in which the winners are broadcast where they measure
+    small, so that no wide row is sorted or shuffled, and no row but the winners is
+    sent on. Of rows with equal ``order`` values the last one of the last file counts.
+    """
+    winners = settle(newest_addresses(stored, keys, order), "newest_addresses")
+    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    return placed.join(broadcast_if_small(winners), list(_ADDRESS), "left_semi").select(*stored.columns)

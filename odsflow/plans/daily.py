@@ -92,7 +92,9 @@ def run_chain_init(spark: SparkSession, cfg: TableConfig, day: str, run_time: st
     return _logged(
         spark, cfg, day,
         source=lambda: read_table(spark, cfg),
-        load=lambda: chain_table.load_chain_init(conform(drop_delims(read_table(spark, cfg)), cfg), table, day),
+        load=lambda: chain_table.load_chain_init(
+            conform(drop_delims(read_table(spark, cfg)), cfg), table, day, keys=cfg.key_names
+        ),
         target=lambda: chain_as_of(spark.table(table), day),
         run_time=run_time,
     )

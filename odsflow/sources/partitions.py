@@ -103,11 +103,17 @@ def new_run(location: str, name: str) -> str:
     return f"{location.rstrip('/').split('_runs/')[0]}_runs/{name}-{uuid.uuid4().hex}"
 
 
-def as_stored(df: DataFrame, table: str, without: Collection[str] = ()) -> DataFrame:
-    """``df`` in the table's column order and types; a missing column is an error."""
+def as_stored(
+    df: DataFrame, table: str, without: Collection[str] = (), given: Collection[str] = ()
+) -> DataFrame:
+    """``df`` in the table's column order and types; a missing column is an error.
+
+    Columns in ``given`` stay beside them as ``_given_<name>``, whatever the table has.
+    """
     fields = df.sparkSession.table(table).schema.fields
     return df.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields if f.name not in without]
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields if f.name not in without],
+        *[F.col(f"`{c}`").alias(f"_given_{c}") for c in given],
     )
 
 

@@ -43,6 +43,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark."""
+    fs, target = _handle(spark, path)
+    fs.create(target, True).close()
+
+
 def rename(spark: SparkSession, path: str, target: str) -> None:
     """Move a file or folder on one store, making the folder above ``target``."""
     fs, source = _handle(spark, path)

@@ -233,7 +233,9 @@ def test_merge_reads_only_open_rows_and_shuffles_once(spark, database, tmp_path)
     assert "PartitionFilters: [isnotnull(end_dt" in wide
     small = plan_of(chain.chain_day(live, delta, KEYS, "20240105", small_delta=True))
     assert "SortMergeJoin" not in small
-    assert small.count("Exchange hashpartitioning") == 1  # of the delta, to see that its keys are unique
+    # Only the delta is moved, to see that its keys are unique: for the old keys and for the new ones.
+    assert small.count("Exchange hashpartitioning") == 2
+    assert "Exchange" not in small[small.index("FileScan parquet") :].split("Window")[0]
 
 
 def test_bucketed_chain_does_not_shuffle_its_open_rows(spark, database, tmp_path):
