@@ -1,5 +1,6 @@
 """Cross-tokenizer alignment and tier packing against plain versions, and their defined cases."""
 
+import functools
 import hashlib
 import random
 import zlib
@@ -56,6 +57,7 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+@functools.cache
 def byte_tokenizer(special):
     from tokenizers import Tokenizer
 
@@ -64,13 +66,14 @@ def byte_tokenizer(special):
     return own
 
 
+@functools.cache
 def piece_model():
     import sentencepiece
 
     return sentencepiece.SentencePieceProcessor(model_file=B)
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=250, deadline=None)
 @given(st.lists(st.one_of(st.text(alphabet=ODD, min_size=1, max_size=40), st.text(min_size=1, max_size=20), st.just("a<|endoftext|>\n b")), min_size=1, max_size=4))
 def test_units_tokenize_as_whole_texts(texts):
     texts = [" " + t for t in texts]
