@@ -44,7 +44,10 @@ CELL = 4096
 CELL_MOST = 4 * CELL
 SAMPLE = 65_536
 LEAF = 16
-QUERIES_AT_ONCE = 1024
+#: A task's arrays hold so many queries, pairs of words, and words, at a time.
+QUERIES_AT_ONCE = 512
+PAIRS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 13
 COMPARED_BYTES = 1 << 24
 
 # Bits of a vector: letters a to z up to three of each, U+00C0 to U+00FF once, U+00E0 to U+00FF twice.
@@ -135,6 +138,11 @@ def count_words(docs: DataFrame, shortest: int = SHORTEST, one_in: int = DROP_ON
 
 def letter_bits(texts: pa.Array) -> np.ndarray:
     """Each word's vector, three numbers of 64 bits."""
+    parts = [_some_bits(texts.slice(low, WORDS_AT_ONCE)) for low in range(0, len(texts), WORDS_AT_ONCE)]
+    return np.concatenate([*parts, np.zeros((0, BITS // 64), np.uint64)])
+
+
+def _some_bits(texts: pa.Array) -> np.ndarray:
     data, bounds = text_bytes(texts)
     letter = np.where(data < 0x80, data.astype(np.int64) - 97, data.astype(np.int64) - 0x80 + LETTERS)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -255,14 +263,17 @@ def near_pairs(members: pa.Array, length: int, queries: pa.Array, query_length:
         own = asked[low : low + QUERIES_AT_ONCE]
         query, leaf = tree.reach(own, 1, most_less)
         size = tree.size[leaf]
-        member, query = tree.order[ragged(tree.first[leaf], size)], np.repeat(query, size)
-        close = _missing(bits[member], own[query]) <= 1
-        close &= _missing(own[query], bits[member]) <= most_less
-        member, query = member[close], query[close] + low
-        for at in range(0, len(query), step):
-            q, m = query[at : at + step], member[at : at + step]
-            good = verify(asked_texts[q], texts[m])
-            found.append((q[good], m[good]))
+        edges = np.flatnonzero(np.diff(np.cumsum(size) // PAIRS_AT_ONCE, prepend=-1))
+        for begin, end in zip(edges, np.append(edges[1:], len(leaf))):
+            member = tree.order[ragged(tree.first[leaf[begin:end]], size[begin:end])]
+            asker = np.repeat(query[begin:end], size[begin:end])
+            close = _missing(bits[member], own[asker]) <= 1
+            close &= _missing(own[asker], bits[member]) <= most_less
+            member, asker = member[close], asker[close] + low
+            for at in range(0, len(asker), step):
+                q, m = asker[at : at + step], member[at : at + step]
+                good = verify(asked_texts[q], texts[m])
+                found.append((q[good], m[good]))
     none = np.zeros(0, np.int64)
     return tuple(np.concatenate(c) for c in zip(*found)) if found else (none, none)
 
