@@ -253,6 +253,22 @@ FROM full_days f LEFT JOIN rerun r ON f.data_date = r.data_date
 LEFT JOIN loaded l ON f.data_date = l.data_date LEFT JOIN again a ON f.data_date = a.data_date""",
     "batch_log": """
 SELECT event_type AS sys, user_id AS step, strftime(ts, '%Y%m%d') AS data_dt, max(ts) AS complete_time
+FROM events GROUP BY 1, 2, 3""",
+    "stored_load_log": f"""
+WITH full_days AS ({_PER_DAY.format(where="")}),
+kept AS ({_PER_DAY.format(where="WHERE o_orderstatus <> 'P'")}),
+rerun AS ({_PER_DAY.format(where="WHERE o_orderstatus = 'P'")}),
+loaded AS ({_PER_DAY.format(where="WHERE o_orderpriority = '1-URGENT'")}),
+again AS ({_PER_DAY.format(where="WHERE o_totalprice > 400000")})
+SELECT 'shop' AS db_name, 'orders' AS table_name, f.data_date,
+       TIMESTAMP '2024-01-01 06:00:00' AS run_time,
+       coalesce(r.n, f.n) AS source_count_1,
+       CASE WHEN a.n IS NOT NULL THEN a.n WHEN r.n IS NULL THEN f.n END AS source_count_2,
+       CASE WHEN l.n IS NOT NULL THEN l.n WHEN r.n IS NULL THEN k.n END AS target_count
+FROM full_days f LEFT JOIN kept k ON f.data_date = k.data_date LEFT JOIN rerun r ON f.data_date = r.data_date
+LEFT JOIN loaded l ON f.data_date = l.data_date LEFT JOIN again a ON f.data_date = a.data_date""",
+    "stored_batch_log": """
+SELECT event_type AS sys, CAST(user_id AS VARCHAR) AS step, strftime(ts, '%Y%m%d') AS data_dt, max(ts) AS complete_time
 FROM events GROUP BY 1, 2, 3""",
     "audited_load": """
 SELECT 'shop' AS db_name, 'orders' AS table_name, DATE '2024-01-01' AS data_date,

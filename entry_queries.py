@@ -19,6 +19,7 @@ from odsflow.operators import (
     latest,
     layouts,
     loads,
+    log_store,
     runs,
     schema,
     skew,
@@ -602,6 +603,39 @@ def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.batch_complete(log, reports.where(~morning))
 
 
+def stored_load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load log of all days' orders, written in rounds, some again, and compacted on the way."""
+    root = fresh_dir(spark, "load_log")
+    orders = table(spark, sf_dir, "orders")
+    pending, urgent = F.col("o_orderstatus") == "P", F.col("o_orderpriority") == "1-URGENT"
+    for n, (round_name, where) in enumerate(
+        (
+            ("source_before", F.lit(True)), ("target", ~pending), ("source_after", F.lit(True)), ("source_before", pending),
+            ("target", urgent), ("source_after", F.col("o_totalprice") > 400000),
+        )
+    ):
+        log_store.write_round(_log_rows(_per_day(orders.where(where))), root, round_name)
+        if n in (1, 4):
+            log_store.compact(spark, root, log_store.LOADS)
+    return log_store.read_loads(spark, root)
+
+
+def stored_batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as completion reports, each user's last one of a half day per write, read back after a compaction."""
+    root = fresh_dir(spark, "batch_log")
+    reports = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("sys"),
+        F.col("user_id").cast("string").alias("step"),
+        scalars.day_text(F.col("ts")).alias("data_dt"),
+        F.col("ts").alias("complete_time"),
+    )
+    late = F.hour("complete_time") >= 12
+    for part in (~late, late):
+        log_store.append(audit.batch_complete(reports.where(F.lit(False)), reports.where(part)), root, log_store.BATCHES)
+        log_store.compact(spark, root, log_store.BATCHES)
+    return log_store.read_batches(spark, root)
+
+
 def audited_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     database, folder = scratch(spark, "audited_load")
     name = layouts.create_table(spark, configured(ORDERS, hive_db=database), "slice", f"{folder}/t")
@@ -890,7 +924,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         latest_document, snapshot_diff, snapshot_changes, all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
-        reconcile_counts, etl_log_upsert, batch_log, audited_load, daily_runs, daily_chain, convert_mysql,
+        reconcile_counts, etl_log_upsert, batch_log,
+        stored_load_log, stored_batch_log, audited_load, daily_runs, daily_chain, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
         row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,
         export_manifest, sql_steps, sql_file, clean_detail,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from odsflow.functions.scalars import parse_day, parse_run_time
 from odsflow.operators.chain import CHAIN, ChainLayout
 
+# The columns of the load log and of the completion log.
 LOG_KEYS = ("db_name", "table_name", "data_date", "run_time")
 LOG_COUNTS = ("source_count_1", "source_count_2", "target_count")
 BATCH_KEYS = ("sys", "step", "data_dt")
@@ -69,14 +70,16 @@ def upsert(
 
     A known key takes the new ``update`` values, nulls in ``reset`` and keeps
     the rest; an unknown key is added. Of several rows with one key the last
-    by ``order`` counts. A single aggregate, reduced before its shuffle.
+    by ``order`` counts; unlike rows of equal rank fail the job. A single
+    aggregate, reduced before its shuffle.
     """
     def ranked(side: int, values: Sequence[Column]) -> list[Column]:
         mark = F.lit(side)
         return [mark.alias("_side"), (F.struct(mark.alias("_side"), *values) if order else mark).alias("_rank")]
 
     unset = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
-    old = log.select(*log.columns, *ranked(0, unset))
+    told = [p for c in update for p in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    old = log.select(*log.columns, *ranked(0, unset), F.lit(0).cast("long").alias("_print"))
     new = rows.select(
         *[
             F.col(f.name).cast(f.dataType).alias(f.name)
@@ -85,7 +88,12 @@ def upsert(
             for f in log.schema.fields
         ],
         *ranked(1, [F.col(c) for c in order]),
+        F.xxhash64(F.lit(0), *told).alias("_print"),
     )
+    # The last rows by rank agree when the greatest and the least of their prints do.
+    most, least = F.max(F.struct("_rank", "_print")), F.max(F.struct("_rank", F.bitwise_not("_print").alias("_print")))
+    tied = F.raise_error(F.concat(F.lit("rows of equal rank differ: "), F.to_json(F.struct(*keys)))).cast("boolean")
+    agreed = F.when(most["_print"] != F.bitwise_not(least["_print"]), tied).otherwise(F.lit(True)).alias("_agreed")
     is_new = F.max("_side") == 1
     values = []
     for c in log.columns:
@@ -99,7 +107,8 @@ def upsert(
         else:
             value = kept
         values.append(value.alias(c))
-    return old.unionByName(new).groupBy(*keys).agg(*values).select(*log.columns)
+    merged = old.unionByName(new).groupBy(*keys).agg(*values, agreed)
+    return merged.where("_agreed").select(*log.columns)
 
 
 def write_log(log: DataFrame, rows: DataFrame, round_name: str) -> DataFrame:
@@ -139,18 +148,26 @@ def audited(
     load: Callable[[], object],
     target: Callable[[], DataFrame],
     run_time: str | None = None,
+    write: Callable[[str, DataFrame], object] | None = None,
 ) -> DataFrame:
     """Count the source, load, count the target and the source again.
 
     Both sides are given already filtered alike, and every round carries the
-    same run time, so the three counts meet in one log row.
+    same run time, so the three counts meet in one log row. ``write`` gets each
+    round's name and row (the log's keys and ``n_rows``) as soon as it is counted.
     """
     moment = run_time or dt.datetime.now().strftime("%Y%m%d %H:%M:%S")
-    first = source().count()
+    counts: dict[str, int | None] = {}
+
+    def count(round_name: str, rows: Callable[[], DataFrame]) -> None:
+        column = ROUNDS[round_name][0]
+        counts[column] = rows().count()
+        if write:
+            row = log_row(spark, db, table, day, moment, counts)
+            write(round_name, row.select(*LOG_KEYS, F.col(column).alias("n_rows")))
+
+    count("source_before", source)
     load()
-    counts = {
-        "source_count_1": first,
-        "target_count": target().count(),
-        "source_count_2": source().count(),
-    }
+    count("target", target)
+    count("source_after", source)
     return log_row(spark, db, table, day, moment, counts)

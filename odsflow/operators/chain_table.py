@@ -39,7 +39,7 @@ def _store(spark: SparkSession, table: str) -> _Store:
     buckets = max(0, int(known.get("Num Buckets") or 0))
     names = known.get("Bucket Columns", "").strip("[]")
     return _Store(
-        known["Location"], buckets, [n.strip().strip("`") for n in names.split(",")] if buckets else []
+        partitions.table_home(spark, table), buckets, [n.strip().strip("`") for n in names.split(",")] if buckets else []
     )
 
 

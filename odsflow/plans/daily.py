@@ -1,7 +1,8 @@
 """A table's daily run, end to end: read, convert, clean, load, count.
 
-Each run returns its load-log row. Where the configuration names a source
-root, the cleaned rows are first kept under ``<root>/<input>/.../<day>`` and
+Each run returns its load-log row, and leaves it in the stored logs under ``log``
+where that is given. Where the configuration names a source
+root, the cleaned rows are first kept under ``<root>/<input>/.../<day>/<layout>`` and
 loaded from there, so the source is read once and a day can be rebuilt later.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from odsflow.config import TableConfig
 from odsflow.functions.cleaning import drop_delims
-from odsflow.operators import audit, chain_table, loads
+from odsflow.operators import audit, chain_table, loads, log_store
 from odsflow.operators.chain import chain_as_of
 from odsflow.operators.layouts import LAYOUTS, table_name
 from odsflow.operators.schema import conform
@@ -24,13 +25,13 @@ def _prepared(source: DataFrame, cfg: TableConfig, layout: str, day: str) -> Dat
     rows = conform(drop_delims(source), cfg, LAYOUTS[layout].binary_blob)
     if not cfg.source_root:
         return rows
-    path = archive_path(cfg, day)
-    loads.archive(rows, path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    kept = loads.archive(rows, archive_path(cfg, day, layout))
+    return rows.sparkSession.read.schema(rows.schema).parquet(kept)
 
 
-def archive_path(cfg: TableConfig, day: str) -> str:
-    return cfg.run_path(cfg.category_input, day)
+def archive_path(cfg: TableConfig, day: str, layout: str) -> str:
+    """Where the day's raw loads of a layout are kept, one folder each."""
+    return cfg.run_path(cfg.category_input, day, layout)
 
 
 def _logged(
@@ -41,12 +42,20 @@ def _logged(
     load: Callable[[], object],
     target: Callable[[], DataFrame],
     run_time: str | None,
+    log: str | None,
+    step: str,
 ) -> DataFrame:
+    """The run's load-log row; with ``log``, every count goes into the stored load
+    log there as it is taken, and the finished run into its completion log."""
     database = cfg.url.rstrip("/").split("/")[-1]
-    return audit.audited(spark, database, cfg.table, day, source, load, target, run_time)
+    write = (lambda name, row: log_store.write_round(row, log, name)) if log else None
+    row = audit.audited(spark, database, cfg.table, day, source, load, target, run_time, write)
+    if log:
+        log_store.complete(spark, log, database, [f"{step}:{cfg.table}"], day)
+    return row
 
 
-def run_slice(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None) -> DataFrame:
+def run_slice(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None, log: str | None = None) -> DataFrame:
     """The whole source as the day's slice."""
     table = table_name(cfg, "slice")
     return _logged(
@@ -54,12 +63,12 @@ def run_slice(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | N
         source=lambda: read_table(spark, cfg),
         load=lambda: loads.load_slice(_prepared(read_table(spark, cfg), cfg, "slice", day), table, day),
         target=lambda: spark.table(table).where(audit.slice_condition(day)),
-        run_time=run_time,
+        run_time=run_time, log=log, step="slice",
     )
 
 
 def run_increment(
-    spark: SparkSession, cfg: TableConfig, predicate: str, day: str, run_time: str | None = None
+    spark: SparkSession, cfg: TableConfig, predicate: str, day: str, run_time: str | None = None, log: str | None = None
 ) -> DataFrame:
     """The rows matching the day's predicate as the day's partition; both sides count these only."""
     table = table_name(cfg, "append")
@@ -70,11 +79,11 @@ def run_increment(
             _prepared(read_increment(spark, cfg, predicate, day), cfg, "append", day), table, day
         ),
         target=lambda: spark.table(table).where(audit.slice_condition(day, "etl_dt")),
-        run_time=run_time,
+        run_time=run_time, log=log, step="append",
     )
 
 
-def run_replace(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None) -> DataFrame:
+def run_replace(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None, log: str | None = None) -> DataFrame:
     """The whole source instead of the table's content."""
     table = table_name(cfg, "replace")
     return _logged(
@@ -82,11 +91,11 @@ def run_replace(spark: SparkSession, cfg: TableConfig, day: str, run_time: str |
         source=lambda: read_table(spark, cfg),
         load=lambda: loads.load_replace(_prepared(read_table(spark, cfg), cfg, "replace", day), table),
         target=lambda: spark.table(table),
-        run_time=run_time,
+        run_time=run_time, log=log, step="replace",
     )
 
 
-def run_chain_init(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None) -> DataFrame:
+def run_chain_init(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | None = None, log: str | None = None) -> DataFrame:
     """The whole source as the chain's first open versions."""
     table = table_name(cfg, "chain")
     return _logged(
@@ -96,12 +105,12 @@ def run_chain_init(spark: SparkSession, cfg: TableConfig, day: str, run_time: st
             conform(drop_delims(read_table(spark, cfg)), cfg), table, day, keys=cfg.key_names
         ),
         target=lambda: chain_as_of(spark.table(table), day),
-        run_time=run_time,
+        run_time=run_time, log=log, step="chain_init",
     )
 
 
 def run_chain(
-    spark: SparkSession, cfg: TableConfig, predicate: str, day: str, run_time: str | None = None
+    spark: SparkSession, cfg: TableConfig, predicate: str, day: str, run_time: str | None = None, log: str | None = None
 ) -> DataFrame:
     """The day's changed rows into staging, then merged into the chain.
 
@@ -120,11 +129,11 @@ def run_chain(
         source=lambda: read_table(spark, cfg),
         load=load,
         target=lambda: chain_as_of(spark.table(chain), day),
-        run_time=run_time,
+        run_time=run_time, log=log, step="chain",
     )
 
 
 def reload_slice(spark: SparkSession, cfg: TableConfig, day: str) -> None:
     """Rebuild a day's slice from its kept copy, without the source."""
-    rows = spark.read.parquet(archive_path(cfg, day))
+    rows = spark.read.parquet(loads.newest_archive(spark, archive_path(cfg, day, "slice")))
     loads.load_slice(rows, table_name(cfg, "slice"), day)

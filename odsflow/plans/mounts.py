@@ -45,7 +45,12 @@ def refresh_all_data(
 ) -> tuple[str, str]:
     """Take in staged runs; the newest of each day in ``day`` becomes that day's
     partition of the history, and that of the last day the current table. Other
-    days stay. Several days are written in one job."""
+    days stay.
+
+    The intake writes each row once; both tables are pointed at the folders of
+    the taken runs. Only a folder that also holds files of a failed attempt is
+    copied, all such days in one job.
+    """
     days = [day] if isinstance(day, str) else sorted(set(day))
     current, history = mount_tables(spark, cfg, "_all", location)
     ods = cfg.run_path(cfg.category_output)
@@ -55,12 +60,20 @@ def refresh_all_data(
     if not days or not paths.exists(spark, ods):
         raise FileNotFoundError(f"no run of {days} has been taken")
     taken = read_taken(spark, ods, shape).where(F.col("date").isin(days) & parse_run(F.col("run")).isNotNull())
-    missing = set(days) - {r["date"] for r in taken.select("date").distinct().collect()}
-    if missing:
+    # The sink's log, not the folders, says which files belong to a run; no column is read.
+    files = taken.groupBy("date", "run").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    newest = {r["date"]: r for r in latest_per_key(files, ["date"], ["run"]).collect()}
+    if missing := set(days) - set(newest):
         raise FileNotFoundError(f"no run of {sorted(missing)} has been taken")
-    newest = runs.latest_run_per_date(taken, "date", ["run"]).drop("run")
-    loads.load_increments(newest.withColumnRenamed("date", DATE_COLUMN), history, DATE_COLUMN)
-    loads.load_replace(spark.table(history).where(F.col(DATE_COLUMN) == days[-1]).drop(DATE_COLUMN), current)
+    folders = {d: f"{ods}/date={d}/run={r['run']}" for d, r in newest.items()}
+    mixed = [d for d, r in newest.items() if len(paths.child_files(spark, folders[d])) != r["n"]]
+    whole = {((DATE_COLUMN, d),): p for d, p in folders.items() if d not in mixed}
+    partitions.attach_partitions(spark, history, whole)
+    if mixed:
+        rows = taken.where(F.concat_ws("/", "date", "run").isin([f"{d}/{newest[d]['run']}" for d in mixed]))
+        loads.load_increments(rows.drop("run").withColumnRenamed("date", DATE_COLUMN), history, DATE_COLUMN)
+    last = partitions.table_details(spark, history, ((DATE_COLUMN, days[-1]),))["Location"]
+    partitions.point_table(spark, current, last)
     return current, history
 
 

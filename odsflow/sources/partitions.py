@@ -3,6 +3,10 @@
 A load writes its rows into a fresh run folder and then points the partition
 at that folder. Readers see the old rows or the new ones, a failed load leaves
 the table as it was, and nothing is copied a second time.
+
+Several tables may read one run. Beside the runs lies a list of who does,
+``<home>_runs/_readers/<run>/<table>``: a table's name is put there before the
+table is pointed at the run, and a run is deleted only when its list is empty.
 """
 
 from __future__ import annotations
@@ -58,8 +62,61 @@ def table_location(spark: SparkSession, table: str) -> str:
     return table_details(spark, table)["Location"].rstrip("/")
 
 
+_RUNS = "_runs/"
+# Properties of a table that reads another one's runs: its own home, and where it has read.
+_HOME, _ABROAD = "odsflow.home", "odsflow.abroad"
+
+
+def run_of(path: str) -> tuple[str, str] | None:
+    """(home, run) of a folder inside a run; None for a folder that is no load's."""
+    home, found, rest = path.rstrip("/").partition(_RUNS)
+    return (home, rest.split("/")[0]) if found else None
+
+
+def _full_name(spark: SparkSession, table: str) -> str:
+    known = spark.catalog.getTable(table)
+    return ".".join([*known.namespace, known.name]).lower()
+
+
+def run_readers(spark: SparkSession, home: str, run: str) -> list[str]:
+    """Names of the tables that the run's list holds."""
+    return paths.child_files(spark, f"{home}{_RUNS}_readers/{run}")
+
+
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def table_home(spark: SparkSession, table: str) -> str:
+    """Where the table's own runs lie, also while it reads those of another table."""
+    return _properties(spark, table).get(_HOME) or table_location(spark, table).split(_RUNS)[0]
+
+
+def _homes(spark: SparkSession, table: str) -> list[str]:
+    """The table's own home, and those of other tables where it has read."""
+    abroad = _properties(spark, table).get(_ABROAD, "")
+    return [table_home(spark, table), *filter(None, abroad.split("\n"))]
+
+
+def _note_reader(spark: SparkSession, table: str, places: Collection[str]) -> None:
+    """Put the table on the lists of the runs it is about to read."""
+    found = {run_of(p) for p in places} - {None}
+    if not found:
+        return
+    name, homes = _full_name(spark, table), _homes(spark, table)
+    if new := sorted({home for home, _ in found} - set(homes)):
+        kept = {_HOME: homes[0], _ABROAD: "\n".join([*homes[1:], *new])}
+        pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in kept.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+    for home, run in found:
+        mark = f"{home}{_RUNS}_readers/{run}/{name}"
+        if not paths.exists(spark, mark):
+            paths.touch(spark, mark)
+
+
 def attach_partitions(spark: SparkSession, table: str, mapping: Mapping[Spec, str]) -> None:
     """Point each partition at its folder, adding those the table lacks."""
+    _note_reader(spark, table, mapping.values())
     present = set(partition_specs(spark, table))
     added = [(s, p) for s, p in mapping.items() if s not in present]
     for spec, path in mapping.items():
@@ -96,11 +153,11 @@ def truncate_table(spark: SparkSession, table: str) -> None:
 
 def run_folder(spark: SparkSession, table: str, name: str) -> str:
     """A new folder beside the table for the rows of one run."""
-    return new_run(table_location(spark, table), name)
+    return new_run(table_home(spark, table), name)
 
 
 def new_run(location: str, name: str) -> str:
-    return f"{location.rstrip('/').split('_runs/')[0]}_runs/{name}-{uuid.uuid4().hex}"
+    return f"{location.rstrip('/').split(_RUNS)[0]}{_RUNS}{name}-{uuid.uuid4().hex}"
 
 
 def as_stored(
@@ -118,7 +175,8 @@ def as_stored(
 
 
 def point_table(spark: SparkSession, table: str, path: str) -> None:
-    """Let an unpartitioned table read the folder ``path``."""
+    """Let an unpartitioned table read the folder ``path``, its own run or another table's."""
+    _note_reader(spark, table, [path])
     spark.sql(f"ALTER TABLE {table} SET LOCATION {_literal(path)}")
 
 
@@ -156,18 +214,37 @@ def swap_partitions(spark: SparkSession, table: str, df: DataFrame, column: str)
     return names
 
 
+def read_runs(spark: SparkSession, table: str) -> set[tuple[str, str]]:
+    """(home, run) of all runs that the table or one of its partitions reads."""
+    places = [table_location(spark, table)]
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        places += [table_details(spark, table, spec)["Location"] for spec in partition_specs(spark, table)]
+    return {run_of(p) for p in places} - {None}
+
+
 def discard_runs(spark: SparkSession, table: str) -> list[str]:
-    """Delete run folders that neither the table nor a partition reads any more.
+    """Delete the table's run folders that no table reads any more.
 
-    Replaced folders are kept until then, for readers that still use them; call
-    this while no load of the table is under way.
+    The table's name goes from the lists of runs it has left, at home and where
+    it has read; a run with another table on its list stays. Replaced folders are
+    kept until then, for readers that still use them; call this while no load of
+    the table is under way.
     """
-    home = table_location(spark, table).split("_runs/")[0]
-    locations = [table_location(spark, table)]
-    for spec in partition_specs(spark, table):
-        locations.append(table_details(spark, table, spec)["Location"])
-    used = {part.split("/")[0] for loc in locations for part in loc.split("_runs/")[1:]}
-    unused = [n for n in paths.child_dirs(spark, f"{home}_runs") if n not in used]
-    for name in unused:
-        paths.delete(spark, f"{home}_runs/{name}")
-    return unused
+    used, name, homes = read_runs(spark, table), _full_name(spark, table), _homes(spark, table)
+    gone = []
+    for place in homes:
+        for run in paths.child_dirs(spark, f"{place}{_RUNS.rstrip('/')}"):
+            if (place, run) in used:
+                continue
+            lists = f"{place}{_RUNS}_readers/{run}"
+            listed = run_readers(spark, place, run)
+            others = [r for r in listed if r != name and spark.catalog.tableExists(r)]
+            # Elsewhere, a run that this table has never read may be a load under way.
+            if others or (place != homes[0] and name not in listed):
+                if name in listed:
+                    paths.delete(spark, f"{lists}/{name}")
+                continue
+            paths.delete(spark, f"{place}{_RUNS}{run}")
+            paths.delete(spark, lists)
+            gone.append(run)
+    return gone

@@ -93,6 +93,63 @@ def test_archive_and_reload(spark, database, tmp_path):
         loads.reload_partition(spark, f"{tmp_path}/stg/none", table, "20240101", "etl_dt")
 
 
+def test_archives_are_never_overwritten(spark, database, tmp_path):
+    path, table = f"{tmp_path}/stg/20240101", layouts.create_table(spark, config(database), "append")
+    first = loads.archive(data(spark, (1, "a")), path)
+    broken = data(spark, (1, "a")).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        loads.archive(broken, path)
+    # A folder without its mark is a load that did not end, whatever files it holds.
+    data(spark, (9, "half")).write.parquet(f"{path}/00000007-half")
+    assert loads.newest_archive(spark, path) == first
+    second = loads.archive(data(spark, (2, "b")), path)
+    assert rows(spark.read.parquet(first)) == [(1, "a")]
+    loads.reload_partition(spark, path, table, "20240101", "etl_dt")
+    assert rows(spark.table(table)) == [(2, "b", "20240101")]
+    assert len(loads.discard_archives(spark, path)) >= 2
+    assert loads.newest_archive(spark, path) == second and rows(spark.read.parquet(second)) == [(2, "b")]
+
+
+def test_a_run_that_another_table_reads_is_kept(spark, database):
+    days = layouts.create_table(spark, config(database), "append")
+    spark.sql(f"CREATE TABLE {database}.curr (k BIGINT, v STRING) USING parquet")
+    curr = f"{database}.curr"
+    loads.load_replace(data(spark, (0, "own")), curr)
+    loads.load_increment(data(spark, (1, "a")), days, "20240101")
+    spec = (("etl_dt", "20240101"),)
+    shared = partitions.table_details(spark, days, spec)["Location"]
+    partitions.point_table(spark, curr, shared)
+    home, run = partitions.run_of(shared)
+    assert partitions.run_readers(spark, home, run) == [curr, days]
+    loads.load_increment(data(spark, (2, "b")), days, "20240101")
+    loads.load_increment(data(spark, (3, "c")), days, "20240102")
+    assert partitions.discard_runs(spark, days) == []
+    assert rows(spark.table(curr)) == [(1, "a")]
+    # The current table drops its own earlier run, and none of the other table's.
+    assert [n[:3] for n in partitions.discard_runs(spark, curr)] == ["all"]
+    assert rows(spark.table(days)) == [(2, "b", "20240101"), (3, "c", "20240102")]
+    # Its own loads go to its own home again; then nobody reads the shared run.
+    loads.load_replace(data(spark, (4, "d")), curr)
+    assert "curr_runs/" in partitions.table_location(spark, curr)
+    assert partitions.run_readers(spark, home, run) == [curr]
+    assert partitions.discard_runs(spark, days) == []
+    assert partitions.discard_runs(spark, curr) == [run]
+    assert rows(spark.table(days)) == [(2, "b", "20240101"), (3, "c", "20240102")]
+    assert rows(spark.table(curr)) == [(4, "d")]
+
+
+def test_a_dropped_table_keeps_no_run(spark, database):
+    days = layouts.create_table(spark, config(database), "append")
+    spark.sql(f"CREATE TABLE {database}.gone (k BIGINT, v STRING) USING parquet LOCATION '/tmp/none-{database}'")
+    loads.load_increment(data(spark, (1, "a")), days, "20240101")
+    shared = partitions.table_details(spark, days, (("etl_dt", "20240101"),))["Location"]
+    partitions.point_table(spark, f"{database}.gone", shared)
+    loads.load_increment(data(spark, (2, "b")), days, "20240101")
+    assert partitions.discard_runs(spark, days) == []
+    spark.sql(f"DROP TABLE {database}.gone")
+    assert partitions.discard_runs(spark, days) == [partitions.run_of(shared)[1]]
+
+
 def test_drop_truncate_and_copy(spark, database):
     table = layouts.create_table(spark, config(database), "append")
     other = layouts.create_table(spark, config(database), "append", table=f"{database}.other")
@@ -176,7 +233,8 @@ def test_daily_runs_keep_a_copy_and_rebuild_from_it(spark, database, tmp_path):
     assert (log.db_name, log.source_count_1, log.target_count) == ("src", 2, 2)
     loaded = [("20240101", 1, "ab", "20240101"), ("20240101", 2, None, "20240101")]
     assert rows(spark.table(table)) == loaded
-    assert spark.read.parquet(f"{tmp_path}/ods/stg/shop/thing/1/20240101").count() == 2
+    kept = daily.archive_path(cfg, "20240101", "slice")
+    assert spark.read.parquet(loads.newest_archive(spark, kept)).count() == 2
     partitions.drop_partitions(spark, table)
     daily.reload_slice(spark, cfg, "20240101")
     assert rows(spark.table(table)) == loaded

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from odsflow.config import Column, TableConfig
 from odsflow.plans import mounts
+from odsflow.sources import partitions
 
 COLUMNS = '{"columns":[{"name":"k","type":"long"},{"name":"v","type":"%s"},{"name":"more","type":"int"}]}'
 
@@ -67,3 +68,33 @@ def test_all_data_keeps_other_days(spark, cfg, tmp_path):
     with pytest.raises(FileNotFoundError):
         mounts.refresh_all_data(spark, cfg, "20240109", marks)
     assert spark.table(history).where(F.col("biz_end_date") == "20240109").isEmpty()
+
+
+def test_a_refresh_writes_no_row_twice(spark, cfg, tmp_path):
+    staged, marks, ods = cfg.run_path("stg"), f"{tmp_path}/marks", cfg.run_path("out")
+    for day in ("20240101", "20240102"):
+        for hour, value in (("0600", "early"), ("1200", "late")):
+            put(spark, f"{staged}/{day}/{day}{hour}", (1, f"{value} {day}"))
+    current, history = mounts.refresh_all_data(spark, cfg, ["20240101", "20240102"], marks, str(tmp_path / "t"))
+    assert rows(spark.table(history)) == [(1, "late 20240101", "20240101"), (1, "late 20240102", "20240102")]
+    place = f"{ods}/date=20240102/run=202401021200"
+    assert partitions.table_location(spark, current).endswith(place)
+    assert partitions.table_details(spark, history, ((mounts.DATE_COLUMN, "20240102"),))["Location"].endswith(place)
+    assert not list((tmp_path / "t").rglob("*.parquet"))
+
+
+def test_files_of_a_failed_attempt_are_left_out(spark, cfg, tmp_path):
+    staged, marks, ods = cfg.run_path("stg"), f"{tmp_path}/marks", cfg.run_path("out")
+    for day in ("20240101", "20240102"):
+        put(spark, f"{staged}/{day}/{day}0600", (1, day))
+    mounts.refresh_all_data(spark, cfg, ["20240101", "20240102"], marks, str(tmp_path / "t"))
+    spark.createDataFrame([(9, "lost")], "k long, v string").coalesce(1).write.parquet(f"{tmp_path}/lost")
+    (lost,) = (tmp_path / "lost").glob("*.parquet")
+    lost.rename(f"{ods}/date=20240101/run=202401010600/part-lost.parquet")
+    current, history = mounts.refresh_all_data(spark, cfg, ["20240101", "20240102"], marks, str(tmp_path / "t"))
+    assert rows(spark.table(history)) == [(1, "20240101", "20240101"), (1, "20240102", "20240102")]
+    _, history = mounts.refresh_all_data(spark, cfg, "20240101", marks, str(tmp_path / "t"))
+    assert rows(spark.table(current)) == [(1, "20240101")]
+    assert partitions.discard_runs(spark, current) == []
+    assert len(partitions.discard_runs(spark, history)) == 1
+    assert rows(spark.table(current)) == [(1, "20240101")]
