@@ -107,6 +107,12 @@ ORACLES: dict[str, str] = {
     "scd2_history": _HISTORY,
     "scd2_merge": _HISTORY,
     "scd2_daily": _HISTORY,
+    "scd2_as_of_epochs": f"""
+WITH {_STATES}
+SELECT etl_dt, start_dt, user_id, event_type FROM versions WHERE start_dt <= '20240115' AND end_dt > '20240115'""",
+    "stored_counts": """
+SELECT strftime(o_orderdate, '%Y') AS year, count(*) AS n_rows FROM orders GROUP BY 1
+UNION ALL SELECT 'all', count(*) FROM orders""",
     "scd2_replay": _HISTORY,
     "scd2_stream": _HISTORY,
     "latest_document": """

@@ -13,6 +13,7 @@ from odsflow.operators import (
     audit,
     cdc,
     chain,
+    chain_epochs,
     chain_table,
     diff,
     digests,
@@ -26,7 +27,7 @@ from odsflow.operators import (
 )
 from odsflow.plans import daily, mounts, repurchase, sql_jobs
 from odsflow.settings import fresh_dir
-from odsflow.sources import delimited, files, partitions, paths, rdbms
+from odsflow.sources import counts, delimited, files, partitions, paths, rdbms
 from odsflow.streaming import chain_stream, intake
 
 DETAIL_RANGE = ("1995-01-01", "2002-01-01")
@@ -178,6 +179,24 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.chain_as_of(scd2_history(spark, sf_dir), "20240115")
 
 
+def scd2_as_of_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same out of epochs of ten days, which were refreshed after a replay of the last days."""
+    events = table(spark, sf_dir, "events")
+    database, folder = scratch(spark, "epochs")
+    stored, staging = layouts.create_chain_tables(spark, configured(STATES, hive_db=database), folder)
+    loads.load_increments(day_states(events), staging)
+    days = last_days(events, 400)
+    late = days[len(days) // 3 + 1]
+    changes = spark.table(staging)
+    chain_table.load_chain(spark, stored, chain.chain_build(changes.where(F.col("etl_dt") < late), KEYS, "etl_dt"))
+    starts = days[::10]
+    chain_epochs.create_epoch_table(spark, stored, f"{database}.epochs", f"{folder}/epochs")
+    chain_epochs.refresh_epochs(spark, stored, f"{database}.epochs", starts)
+    chain_table.load_chain_range(spark, stored, changes, KEYS, late)
+    chain_epochs.refresh_epochs(spark, stored, f"{database}.epochs", starts, late)
+    return chain_epochs.epoch_as_of(spark.table(f"{database}.epochs"), starts, "20240115")
+
+
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.chain_current(scd2_history(spark, sf_dir))
 
@@ -562,6 +581,18 @@ def _log_rows(counts: DataFrame) -> DataFrame:
     )
 
 
+def stored_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders counted by month from the footers of their partitions."""
+    database, folder = scratch(spark, "counts")
+    name = layouts.create_table(spark, configured(ORDERS, hive_db=database), "append", f"{folder}/t")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    loads.load_increments(table(spark, sf_dir, "orders").withColumn("etl_dt", month), name)
+    years = sorted({v[:4] for v in partitions.partition_values(spark, name)})
+    found = [(y, counts.stored_count(spark, name, lambda s, y=y: s["etl_dt"].startswith(y))) for y in years]
+    found.append(("all", counts.source_count(spark, configured(ORDERS, url=f"parquet:{sf_dir}"))))
+    return spark.createDataFrame(found, "year string, n_rows long")
+
+
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return audit.row_count(events, "event_type = 'click'")
@@ -817,7 +848,7 @@ def export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     data, sums = files.export_query(
         spark,
         "SELECT * FROM export_orders WHERE o_orderdate < to_timestamp_ntz(:date, 'yyyyMMdd')",
-        folder, "20020101", "shop", "orders", rows_per_file=50_000,
+        folder, "20020101", "shop", "orders", part_bytes=2**20,
     )
     if not files.verify_export(spark, data, sums).where(~F.col("intact")).isEmpty():
         raise ValueError("a part lost its checksum")
@@ -919,11 +950,11 @@ REPURCHASE = {
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        scd2_history, scd2_merge, scd2_daily, scd2_replay, scd2_stream, scd2_as_of, scd2_current, scd2_init,
+        scd2_history, scd2_merge, scd2_daily, scd2_replay, scd2_stream, scd2_as_of, scd2_as_of_epochs, scd2_current, scd2_init,
         scd2_init_old_layout, scd2_init_stored, scd2_bucketed, cdc_latest, latest_event,
         latest_document, snapshot_diff, snapshot_changes, all_columns_diff, slice_load, increment_load, full_replace, archive_reload,
         layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
-        resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts,
+        resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts, stored_counts,
         reconcile_counts, etl_log_upsert, batch_log,
         stored_load_log, stored_batch_log, audited_load, daily_runs, daily_chain, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,

@@ -144,24 +144,26 @@ def audited(
     db: str,
     table: str,
     day: str,
-    source: Callable[[], DataFrame],
+    source: Callable[[], DataFrame | int],
     load: Callable[[], object],
-    target: Callable[[], DataFrame],
+    target: Callable[[], DataFrame | int],
     run_time: str | None = None,
     write: Callable[[str, DataFrame], object] | None = None,
 ) -> DataFrame:
     """Count the source, load, count the target and the source again.
 
-    Both sides are given already filtered alike, and every round carries the
+    Both sides are given already filtered alike, as rows or as a count that was
+    taken without reading any, and every round carries the
     same run time, so the three counts meet in one log row. ``write`` gets each
     round's name and row (the log's keys and ``n_rows``) as soon as it is counted.
     """
     moment = run_time or dt.datetime.now().strftime("%Y%m%d %H:%M:%S")
     counts: dict[str, int | None] = {}
 
-    def count(round_name: str, rows: Callable[[], DataFrame]) -> None:
+    def count(round_name: str, side: Callable[[], DataFrame | int]) -> None:
         column = ROUNDS[round_name][0]
-        counts[column] = rows().count()
+        found = side()
+        counts[column] = found if isinstance(found, int) else found.count()
         if write:
             row = log_row(spark, db, table, day, moment, counts)
             write(round_name, row.select(*LOG_KEYS, F.col(column).alias("n_rows")))

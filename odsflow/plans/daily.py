@@ -18,7 +18,8 @@ from odsflow.operators import audit, chain_table, loads, log_store
 from odsflow.operators.chain import chain_as_of
 from odsflow.operators.layouts import LAYOUTS, table_name
 from odsflow.operators.schema import conform
-from odsflow.sources.rdbms import read_increment, read_table
+from odsflow.sources.counts import source_count, stored_count
+from odsflow.sources.rdbms import day_predicate, read_increment, read_table
 
 
 def _prepared(source: DataFrame, cfg: TableConfig, layout: str, day: str) -> DataFrame:
@@ -38,9 +39,9 @@ def _logged(
     spark: SparkSession,
     cfg: TableConfig,
     day: str,
-    source: Callable[[], DataFrame],
+    source: Callable[[], DataFrame | int],
     load: Callable[[], object],
-    target: Callable[[], DataFrame],
+    target: Callable[[], DataFrame | int],
     run_time: str | None,
     log: str | None,
     step: str,
@@ -60,9 +61,9 @@ def run_slice(spark: SparkSession, cfg: TableConfig, day: str, run_time: str | N
     table = table_name(cfg, "slice")
     return _logged(
         spark, cfg, day,
-        source=lambda: read_table(spark, cfg),
+        source=lambda: source_count(spark, cfg),
         load=lambda: loads.load_slice(_prepared(read_table(spark, cfg), cfg, "slice", day), table, day),
-        target=lambda: spark.table(table).where(audit.slice_condition(day)),
+        target=lambda: stored_count(spark, table, lambda s: s["data_dt"] == day),
         run_time=run_time, log=log, step="slice",
     )
 
@@ -74,11 +75,11 @@ def run_increment(
     table = table_name(cfg, "append")
     return _logged(
         spark, cfg, day,
-        source=lambda: read_increment(spark, cfg, predicate, day),
+        source=lambda: source_count(spark, cfg, day_predicate(predicate, day)),
         load=lambda: loads.load_increment(
             _prepared(read_increment(spark, cfg, predicate, day), cfg, "append", day), table, day
         ),
-        target=lambda: spark.table(table).where(audit.slice_condition(day, "etl_dt")),
+        target=lambda: stored_count(spark, table, lambda s: s["etl_dt"] == day),
         run_time=run_time, log=log, step="append",
     )
 
@@ -88,9 +89,9 @@ def run_replace(spark: SparkSession, cfg: TableConfig, day: str, run_time: str |
     table = table_name(cfg, "replace")
     return _logged(
         spark, cfg, day,
-        source=lambda: read_table(spark, cfg),
+        source=lambda: source_count(spark, cfg),
         load=lambda: loads.load_replace(_prepared(read_table(spark, cfg), cfg, "replace", day), table),
-        target=lambda: spark.table(table),
+        target=lambda: stored_count(spark, table),
         run_time=run_time, log=log, step="replace",
     )
 
@@ -100,7 +101,7 @@ def run_chain_init(spark: SparkSession, cfg: TableConfig, day: str, run_time: st
     table = table_name(cfg, "chain")
     return _logged(
         spark, cfg, day,
-        source=lambda: read_table(spark, cfg),
+        source=lambda: source_count(spark, cfg),
         load=lambda: chain_table.load_chain_init(
             conform(drop_delims(read_table(spark, cfg)), cfg), table, day, keys=cfg.key_names
         ),
@@ -126,7 +127,7 @@ def run_chain(
 
     return _logged(
         spark, cfg, day,
-        source=lambda: read_table(spark, cfg),
+        source=lambda: source_count(spark, cfg),
         load=load,
         target=lambda: chain_as_of(spark.table(chain), day),
         run_time=run_time, log=log, step="chain",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import uuid
 
-from odsflow.sources import delimited, partitions
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-ROWS_PER_FILE = 1_000_000
+from odsflow.sizing import broadcast_if_small, settle
+from odsflow.sources import delimited, partitions, paths
+
+#: Bytes of an export's part, at most; a part is hashed in one piece.
 PART_BYTES = 2**30
+HASHED_BYTES = 2**31 - 2**20
 
 
 def read_run(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
@@ -19,8 +23,20 @@ def export_folder(path: str, date: str, system: str, table: str, suffix: str) ->
     return f"{path.rstrip('/')}/{date}/{system}/{table}_{date}.{suffix}"
 
 
+def part_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n_bytes) of the part files under ``path``; no content is read."""
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    return parts.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("n_bytes"))
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """(file, n_bytes, md5) of the part files under ``path``, hashed where they lie."""
+    """(file, n_bytes, md5) of the part files under ``path``, hashed where they lie.
+
+    Lengths are looked at first: a part that no task could hold is refused.
+    """
+    longest = part_lengths(spark, path).orderBy(F.desc("n_bytes")).first()
+    if longest and longest["n_bytes"] > HASHED_BYTES:
+        raise ValueError(f"{longest['file']} has {longest['n_bytes']} bytes; at most {HASHED_BYTES} can be hashed")
     parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     return parts.select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
@@ -29,10 +45,58 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def safe_rows_per_file(df: DataFrame) -> int:
-    """Rows that stay below ``PART_BYTES`` even if all were as wide as the widest."""
-    widest = delimited.to_lines(df).agg(F.max(F.octet_length("value") + 1)).first()[0] or 1
-    return max(1, min(ROWS_PER_FILE, PART_BYTES // widest))
+def _numbered_parts(lines: DataFrame, part_bytes: int) -> DataFrame:
+    """(value, part) of stored ``lines`` (value, _bytes, _task, _nth): parts of even size, none above ``part_bytes``.
+
+    A line's place is what all lines before it take up, by running sums within
+    each task and over the tasks; a part begins at every half of the bound. A line
+    wider than that is a part by itself (its number is negative) and takes no place.
+    Only the lengths go through the sums. Each task's lines then learn their part
+    from the places where its parts begin.
+    """
+    half = max(1, part_bytes // 2)
+    narrow = lines.select("_task", "_nth", F.when(F.col("_bytes") <= half, F.col("_bytes")).otherwise(0).alias("_size"))
+    in_task = Window.partitionBy("_task").orderBy("_nth")
+    before = in_task.rowsBetween(Window.unboundedPreceding, -1)
+    # One row a task goes through this window.
+    over_tasks = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    totals = narrow.groupBy("_task").agg(F.sum("_size").alias("_total"))
+    offsets = settle(totals.select("_task", F.coalesce(F.sum("_total").over(over_tasks), F.lit(0)).alias("_offset")), "part_offsets")
+    place = F.col("_offset") + F.coalesce(F.sum("_size").over(before), F.lit(0))
+    part = F.when(F.col("_size") == 0, -1 - F.col("_nth")).otherwise(F.floor(place / half))
+    numbered = narrow.join(broadcast_if_small(offsets), "_task").withColumn("_part", part)
+    begins = numbered.withColumn("_last", F.lag("_part").over(in_task)).where(~F.col("_part").eqNullSafe(F.col("_last")))
+    cuts = settle(begins.groupBy("_task").agg(F.sort_array(F.collect_list(F.struct("_nth", "_part"))).alias("_cuts")), "part_cuts")
+    own = F.element_at(F.filter("_cuts", lambda c: c["_nth"] <= F.col("_nth")), -1)["_part"]
+    return lines.join(broadcast_if_small(cuts), "_task").select("value", own.alias("part"))
+
+
+def write_parts(df: DataFrame, path: str, part_bytes: int = PART_BYTES) -> list[str]:
+    """Rows as delimited text in files ``part-00000`` on, of even size and at most ``part_bytes``.
+
+    A row that is wider by itself is a longer file. The query runs once: its lines
+    are settled with their lengths, from which the parts are chosen.
+    """
+    spark = df.sparkSession
+    lines = delimited.to_lines(df).select(
+        "value",
+        (F.octet_length("value") + 1).cast("long").alias("_bytes"),
+        F.spark_partition_id().alias("_task"),
+        F.monotonically_increasing_id().alias("_nth"),
+    )
+    stored = settle(lines, "export_lines")
+    # Beside the export, not in it, until every part is whole.
+    staged = f"{path}_staged-{uuid.uuid4().hex}"
+    parts = _numbered_parts(stored, part_bytes).repartition("part")
+    parts.write.partitionBy("part").option("lineSep", "\n").text(staged)
+    numbers = sorted(int(n.split("=", 1)[1]) for n in paths.child_dirs(spark, staged))
+    found = [f"{staged}/part={n}/{f}" for n in numbers for f in paths.child_files(spark, f"{staged}/part={n}")]
+    names = [f"part-{i:05d}.dat" for i in range(len(found))]
+    for source, name in zip(found, names):
+        paths.rename(spark, source, f"{path}/{name}")
+    paths.touch(spark, f"{path}/_SUCCESS")
+    paths.delete(spark, staged)
+    return names
 
 
 def export_file(
@@ -42,18 +106,20 @@ def export_file(
     system: str,
     table: str,
     rows_per_file: int | None = None,
+    part_bytes: int = PART_BYTES,
 ) -> tuple[str, str]:
     """Rows as delimited text under a dated name, with an MD5 list beside them.
 
-    ``<table>_<date>.dat`` is a folder of parts of bounded size, each hashed by
-    itself into ``<table>_<date>.md5``. Without ``rows_per_file`` the widest row
-    is looked up first, so that no part is too large to hash.
+    ``<table>_<date>.dat`` is a folder of parts, each hashed by itself into
+    ``<table>_<date>.md5``. Parts are cut by bytes; with ``rows_per_file`` by rows.
     """
-    rows_per_file = rows_per_file or safe_rows_per_file(df)
     spark = df.sparkSession
     data = export_folder(path, date, system, table, "dat")
     sums = export_folder(path, date, system, table, "md5")
-    delimited.write_delimited(df, data, rows_per_file=rows_per_file)
+    if rows_per_file:
+        delimited.write_delimited(df, data, rows_per_file=rows_per_file)
+    else:
+        write_parts(df, data, part_bytes)
     manifest(spark, data).select(F.concat_ws("  ", "md5", "file").alias("value")).write.text(sums)
     return data, sums
 

@@ -1,104 +1,144 @@
-"""Source tables in a database, read in parallel ranges, and export back."""
+"""Source tables in a database, read in even shares at once, and export back."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable, Sequence
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from odsflow.config import TableConfig
 from odsflow.operators.schema import convert_columns
 
-# Parallel connections per source system and for export.
-READERS = {"mysql": 1}
+# Parallel connections for reading and for export.
 DEFAULT_READERS = 4
 EXPORT_WRITERS = 5
 FETCH_ROWS = 10_000
 
-
-def reader_count(cfg: TableConfig) -> int:
-    return READERS.get(cfg.dialect, DEFAULT_READERS)
+#: How each system hashes a column to 0 .. n - 1; the empty name is Spark itself.
+BUCKET_OF = {
+    "mysql": "mod(crc32(coalesce({column}, '')), {n})",
+    "oracle": "ora_hash({column}, {last})",
+    "postgresql": "mod(abs(hashtext(coalesce({column}::text, ''))::bigint), {n})",
+    "": "mod(crc32(cast(coalesce(cast({column} as string), '') as binary)), {n})",
+}
 
 
 def source_name(cfg: TableConfig) -> str:
     return f"{cfg.database}.{cfg.table}"
 
 
+def login(cfg: TableConfig) -> dict[str, str]:
+    return _login(cfg.url, cfg.user, cfg.password)
+
+
+def source_folder(cfg: TableConfig) -> str:
+    """Where a source lies that is no database."""
+    return f"{cfg.url.removeprefix('parquet:').rstrip('/')}/{cfg.table}.parquet"
+
+
 def _login(url: str, user: str, password: str) -> dict[str, str]:
     pairs = {"url": url, "user": user, "password": password}
     return {k: v for k, v in pairs.items() if v}
 
 
-def bounds_query(cfg: TableConfig, predicate: str | None = None) -> str:
+def quantile_query(cfg: TableConfig, readers: int, predicate: str | None = None) -> str:
+    """The greatest split value of each of ``readers`` groups of equal numbers of rows."""
     where = f" where {predicate}" if predicate else ""
-    return f"select min({cfg.split_by}) lo, max({cfg.split_by}) hi from {source_name(cfg)}{where}"
-
-
-def jdbc_options(
-    cfg: TableConfig,
-    predicate: str | None = None,
-    bounds: tuple[object, object] | None = None,
-    readers: int | None = None,
-) -> dict[str, str]:
-    """Options of a JDBC read; ranges over the split column when there are bounds."""
-    name = source_name(cfg)
-    options = _login(cfg.url, cfg.user, cfg.password)
-    options["dbtable"] = f"(select * from {name} where {predicate}) t" if predicate else name
-    options["fetchsize"] = str(FETCH_ROWS)
-    count = readers or reader_count(cfg)
-    if bounds and cfg.split_by and count > 1 and None not in bounds:
-        options["partitionColumn"] = cfg.split_by
-        options["lowerBound"], options["upperBound"] = (str(b) for b in bounds)
-        options["numPartitions"] = str(count)
-    return options
-
-
-def _bounds(spark: SparkSession, cfg: TableConfig, predicate: str | None) -> tuple[object, object] | None:
-    if not cfg.split_by:
-        return None
-    login = _login(cfg.url, cfg.user, cfg.password)
-    row = spark.read.format("jdbc").options(**login).option("query", bounds_query(cfg, predicate)).load().first()
-    return row[0], row[1]
+    dealt = f"select {cfg.split_by} v, ntile({readers}) over (order by {cfg.split_by}) g from {source_name(cfg)}{where}"
+    return f"select max(v) b from ({dealt}) t group by g order by b"
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"timestamp '{value:%Y-%m-%d %H:%M:%S.%f}'"
+    if isinstance(value, dt.date):
+        return f"date '{value:%Y-%m-%d}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def range_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that part a column's values after each bound; every row meets one, nulls the first."""
+    cuts = list(dict.fromkeys(b for b in bounds if b is not None))
+    if not cuts:
+        return ["1 = 1"]
+    found = [f"{column} <= {_literal(cuts[0])} or {column} is null"]
+    found += [f"{column} > {_literal(low)} and {column} <= {_literal(high)}" for low, high in zip(cuts, cuts[1:])]
+    return [*found, f"{column} > {_literal(cuts[-1])}"]
+
+
+def hash_predicates(column: str, readers: int, dialect: str = "") -> list[str]:
+    """Conditions that deal a column's values to ``readers`` by their hash; nulls are one value."""
+    if dialect not in BUCKET_OF:
+        raise ValueError(f"no hash is known for {dialect!r}; name a split column")
+    bucket = BUCKET_OF[dialect].format(column=column, n=readers, last=readers - 1)
+    return [f"{bucket} = {i}" for i in range(readers)]
+
+
+def read_predicates(
+    cfg: TableConfig, readers: int, quantiles: Callable[[str], Sequence[object]], predicate: str | None = None
+) -> list[str]:
+    """One condition per reader, which together cover every row once.
+
+    A split column is parted at its quantiles, which ``quantiles`` gets by a query,
+    so readers have even shares however its values lie. Without one the first key
+    is dealt by its hash. Only ``readers=1``, or a table without either, reads in one task.
+    """
+    if readers < 2 or not (cfg.split_by or cfg.key_names):
+        parts = ["1 = 1"]
+    elif cfg.split_by:
+        # The last group's greatest value bounds nothing.
+        parts = range_predicates(cfg.split_by, list(quantiles(quantile_query(cfg, readers, predicate)))[:-1])
+    else:
+        parts = hash_predicates(cfg.key_names[0], readers, cfg.dialect)
+    return [f"({p}) and ({predicate})" for p in parts] if predicate else parts
+
+
+def jdbc_options(cfg: TableConfig) -> dict[str, str]:
+    return {**login(cfg), "dbtable": source_name(cfg), "fetchsize": str(FETCH_ROWS)}
 
 
 def read_source(
-    spark: SparkSession,
-    cfg: TableConfig,
-    predicate: str | None = None,
-    bounds: tuple[object, object] | None = None,
-    readers: int | None = None,
+    spark: SparkSession, cfg: TableConfig, predicate: str | None = None, readers: int | None = None
 ) -> DataFrame:
     """Unconverted source rows.
 
-    ``jdbc:`` addresses go to the database, which applies the predicate; any
-    other address is a folder of parquet tables, where Spark pushes it down.
+    ``jdbc:`` addresses go to the database, in even shares, one for each of
+    ``readers``; any other address is a folder of parquet tables, where Spark
+    pushes the predicate down.
     """
     if cfg.url.startswith("jdbc:"):
-        wide = (readers or reader_count(cfg)) > 1
-        found = bounds or (_bounds(spark, cfg, predicate) if wide else None)
-        return spark.read.format("jdbc").options(**jdbc_options(cfg, predicate, found, readers)).load()
-    rows = spark.read.parquet(f"{cfg.url.removeprefix('parquet:').rstrip('/')}/{cfg.table}.parquet")
+        options = jdbc_options(cfg)
+
+        def quantiles(query: str) -> list[object]:
+            found = spark.read.format("jdbc").options(**login(cfg)).option("query", query).load()
+            return [r[0] for r in found.collect()]
+
+        parts = read_predicates(cfg, readers or DEFAULT_READERS, quantiles, predicate)
+        more = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(options["url"], options["dbtable"], predicates=parts, properties=more)
+    rows = spark.read.parquet(source_folder(cfg))
     return rows.where(F.expr(predicate)) if predicate else rows
 
 
-def read_table(
-    spark: SparkSession,
-    cfg: TableConfig,
-    bounds: tuple[object, object] | None = None,
-    readers: int | None = None,
-) -> DataFrame:
+def day_predicate(predicate: str, day: str) -> str:
+    """``predicate`` with the day for its ``%s``; other signs stay as they are."""
+    return predicate.replace("%s", day)
+
+
+def read_table(spark: SparkSession, cfg: TableConfig, readers: int | None = None) -> DataFrame:
     """The whole table, columns converted; only declared columns are fetched."""
-    return convert_columns(read_source(spark, cfg, None, bounds, readers), cfg)
+    return convert_columns(read_source(spark, cfg, None, readers), cfg)
 
 
 def read_increment(
-    spark: SparkSession,
-    cfg: TableConfig,
-    predicate: str,
-    day: str,
-    bounds: tuple[object, object] | None = None,
-    readers: int | None = None,
+    spark: SparkSession, cfg: TableConfig, predicate: str, day: str, readers: int | None = None
 ) -> DataFrame:
     """Rows matching ``predicate``, whose ``%s`` stands for the day."""
-    return convert_columns(read_source(spark, cfg, predicate % (day,), bounds, readers), cfg)
+    return convert_columns(read_source(spark, cfg, day_predicate(predicate, day), readers), cfg)
 
 
 def export_options(url: str, table: str, user: str = "", password: str = "") -> dict[str, str]:

@@ -2,14 +2,14 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from odsflow.config import TableConfig, parse_overrides
+from odsflow.config import Column, TableConfig, parse_overrides
 from odsflow.functions import cleaning, scalars
-from odsflow.operators import schema
+from odsflow.operators import layouts, loads, schema
 from odsflow.settings import broadcast_limit
 from odsflow.sizing import broadcast_if_small, is_small, measured_bytes
-from odsflow.sources import delimited, files, rdbms
+from odsflow.sources import counts, delimited, files, partitions, rdbms
 from odsflow.streaming import intake
 
 CONFIG_TEXT = """
@@ -43,18 +43,95 @@ def test_config_from_json():
 
 def test_jdbc_options():
     cfg = TableConfig.from_json(CONFIG_TEXT)
-    options = rdbms.jdbc_options(cfg, "d = '20240101'", (1, 900))
-    assert options["dbtable"] == "(select * from SHOP.ITEM where d = '20240101') t"
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"]) == ("id", "1", "900")
-    assert options["numPartitions"] == "4"
-    mysql = TableConfig(**{**cfg.__dict__, "url": "jdbc:mysql://h:1/d"})
-    assert "numPartitions" not in rdbms.jdbc_options(mysql, None, (1, 900))
-    assert rdbms.jdbc_options(mysql, None, (1, 900), readers=8)["numPartitions"] == "8"
-    assert "numPartitions" not in rdbms.jdbc_options(cfg, None, (None, None))
-    assert rdbms.bounds_query(cfg, "x > 1") == "select min(id) lo, max(id) hi from SHOP.ITEM where x > 1"
+    options = rdbms.jdbc_options(cfg)
+    assert options["dbtable"] == "SHOP.ITEM" and options["url"] == cfg.url and options["fetchsize"] == "10000"
+    assert rdbms.quantile_query(cfg, 4, "x > 1") == (
+        "select max(v) b from (select id v, ntile(4) over (order by id) g from SHOP.ITEM where x > 1) t group by g order by b"
+    )
+    assert rdbms.day_predicate("d = '%s' and n like '5%'", "20240101") == "d = '20240101' and n like '5%'"
     assert rdbms.export_options("jdbc:x:y", "t", "u")["user"] == "u"
 
 
+def changed(cfg, **values):
+    return TableConfig(**{**cfg.__dict__, **values})
+
+
+def test_readers_get_conditions_by_quantile_or_hash():
+    cfg = TableConfig.from_json(CONFIG_TEXT)
+    asked = []
+
+    def quantiles(query):
+        asked.append(query)
+        return [10, 20, 20, 99]
+
+    found = rdbms.read_predicates(cfg, 4, quantiles, "d = 1")
+    assert found == [f"({p}) and (d = 1)" for p in ("id <= 10 or id is null", "id > 10 and id <= 20", "id > 20")]
+    assert "ntile(4)" in asked[0] and "where d = 1" in asked[0]
+    assert rdbms.read_predicates(cfg, 1, quantiles) == ["1 = 1"]
+    keyed = changed(cfg, split_by="")
+    assert rdbms.read_predicates(keyed, 2, quantiles) == ["ora_hash(id, 1) = 0", "ora_hash(id, 1) = 1"]
+    mysql = changed(keyed, url="jdbc:mysql://h:1/d")
+    assert rdbms.read_predicates(mysql, 2, quantiles, "d = 1")[1] == "(mod(crc32(coalesce(id, '')), 2) = 1) and (d = 1)"
+    assert len(asked) == 1
+    with pytest.raises(ValueError, match="no hash"):
+        rdbms.read_predicates(changed(keyed, url="jdbc:other:x"), 2, quantiles)
+    assert rdbms.range_predicates("t", [dt.date(2024, 1, 2), None, "o'clock"])[1:] == [
+        "t > date '2024-01-02' and t <= 'o''clock'", "t > 'o''clock'",
+    ]
+    assert rdbms.range_predicates("t", []) == ["1 = 1"]
+
+
+@pytest.mark.parametrize("column", ["n", "s", "t", "m"])
+@pytest.mark.parametrize("readers", [1, 2, 5])
+def test_conditions_cover_every_row_once_and_evenly(spark, tmp_path, column, readers):
+    skewed = F.when(F.col("id") % 3 == 0, None).otherwise(F.pow(F.col("id") % 50, 3).cast("long"))
+    spark.range(3000).select(
+        "id", skewed.alias("n"), F.concat(F.lit("it's "), skewed.cast("string")).alias("s"),
+        F.timestamp_seconds(skewed).cast("timestamp_ntz").alias("t"), (skewed / 7).cast("decimal(12,3)").alias("m"),
+    ).write.parquet(f"{tmp_path}/thing.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/thing.parquet")
+    cuts = rows.select(column, F.ntile(readers).over(Window.orderBy(column)).alias("g")).groupBy("g").agg(F.max(column).alias("b"))
+    bounds = [r["b"] for r in cuts.orderBy("b").collect()][:-1]
+    ranges = rdbms.range_predicates(column, bounds)
+    for parts in (ranges, rdbms.hash_predicates(column, readers)):
+        hit = rows.select("id", *[F.coalesce(F.expr(p), F.lit(False)).cast("int").alias(f"p{i}") for i, p in enumerate(parts)])
+        total = sum((F.col(f"p{i}") for i in range(len(parts))), F.lit(0))
+        assert hit.where(total != 1).isEmpty()
+    sizes = [rows.where(p).count() for p in ranges]
+    assert sum(sizes) == 3000 and max(sizes) <= 1000 + 3000 / readers + 50
+
+
+def test_counts_come_from_footers(spark, database, tmp_path):
+    cfg = TableConfig(columns=(Column(1, "k", "long", True), Column(2, "v", "string")), hive_db=database, hive_table="t_h")
+    table = layouts.create_table(spark, cfg, "append")
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    for day, n in (("20240101", 100), ("20240102", 7), ("20240103", 0)):
+        loads.load_increment(rows.where(F.col("k") < n), table, day)
+    assert counts.stored_count(spark, table) == 107
+    assert counts.stored_count(spark, table, lambda s: s["etl_dt"] == "20240102") == 7
+    assert counts.stored_count(spark, table, lambda s: s["etl_dt"] == "20240103") == 0
+    assert counts.stored_count(spark, table, lambda s: False) == 0
+    place = partitions.table_details(spark, table, (("etl_dt", "20240101"),))["Location"]
+    plan = counts.footer_counts(spark, [place])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    plain = layouts.create_table(spark, cfg, "replace", table=f"{database}.plain")
+    assert counts.stored_count(spark, plain) == 0
+    loads.load_replace(rows, plain)
+    assert counts.stored_count(spark, plain) == 100
+    # The session's own readers stay as they were.
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+
+
+def test_source_counts(spark, tmp_path):
+    cfg = TableConfig.from_json(CONFIG_TEXT)
+    options = counts.count_options(cfg, "d = '20240101'")
+    assert options["query"] == "select count(*) n_rows from SHOP.ITEM where d = '20240101'"
+    assert options["url"] == cfg.url and "dbtable" not in options
+    spark.range(30).write.parquet(f"{tmp_path}/ITEM.parquet")
+    folder = changed(cfg, url=f"parquet:{tmp_path}")
+    assert (counts.source_count(spark, folder), counts.source_count(spark, folder, "id < 4")) == (30, 4)
+
+
 def test_conversions_by_dialect(spark):
     df = spark.sql(
         "select cast(1 as tinyint) id, 's' SUB, 1.5D price, 'long' note, 'AAB' rid"
@@ -149,8 +226,57 @@ def test_export_in_parts(spark, tmp_path):
     assert spark.read.text(data).count() == 1000
     spark.range(1).select(F.lit("extra")).write.mode("append").text(data)
     assert sum(not r.intact for r in files.verify_export(spark, data, sums).collect()) == 1
-    wide = df.withColumn("v", F.repeat(F.lit("w"), 2**20))
-    assert files.safe_rows_per_file(wide) == 1023 and files.safe_rows_per_file(df) == files.ROWS_PER_FILE
+
+
+def exported(spark, folder, part_bytes, df):
+    names = files.write_parts(df, folder, part_bytes)
+    assert [n for n in names if not n.startswith("part-")] == []
+    sizes = {r["file"]: r["n_bytes"] for r in files.part_lengths(spark, folder).collect()}
+    assert sorted(sizes) == names
+    back = delimited.read_delimited(spark, folder, df.schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    return [sizes[n] for n in names]
+
+
+def test_parts_are_even_beside_a_wide_row(spark, tmp_path):
+    row = F.when(F.col("id") == 777, F.repeat(F.lit("w"), 900)).otherwise(F.repeat(F.lit("v"), (F.col("id") % 7).cast("int")))
+    for tasks in (1, 5):
+        df = spark.range(3000).repartition(tasks).select("id", row.alias("v"))
+        sizes = exported(spark, f"{tmp_path}/{tasks}", 1000, df)
+        assert max(sizes) <= 1000
+        # All but the last part, and the wide row's, are half the bound, give or take a line.
+        normal = [n for n in sizes if n < 900]
+        assert sum(n < 480 for n in normal) <= 1 and max(normal) < 520
+        assert len(sizes) - len(normal) == 1
+
+
+def test_parts_of_rows_above_the_bound_and_of_nothing(spark, tmp_path):
+    wide = spark.range(6).select(F.repeat(F.col("id").cast("string"), 50).alias("v"))
+    assert exported(spark, f"{tmp_path}/wide", 20, wide) == [51] * 6
+    assert exported(spark, f"{tmp_path}/none", 20, wide.where("false")) == []
+    assert spark.read.text(f"{tmp_path}/none").isEmpty()
+
+
+def test_an_export_runs_its_query_once(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(500).mapInArrow(counted, "id long")
+    data, sums = files.export_file(df, str(tmp_path), "20240101", "shop", "t", part_bytes=600)
+    assert runs.value == 500
+    assert files.verify_export(spark, data, sums).where(~F.col("intact")).isEmpty()
+    assert spark.read.text(data).count() == 500
+
+
+def test_a_part_too_long_to_hash_is_refused(spark, tmp_path, monkeypatch):
+    spark.range(100).select(F.lit("long line")).write.text(f"{tmp_path}/x")
+    monkeypatch.setattr(files, "HASHED_BYTES", 50)
+    with pytest.raises(ValueError, match="at most 50"):
+        files.manifest(spark, f"{tmp_path}/x")
 
 
 def test_long_binary_values_stay_in_their_row(spark, tmp_path):
