@@ -24,6 +24,11 @@ def footer_counts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     return own.read.parquet(*folders).agg(F.count("*").alias("n_rows"))
 
 
+def _total(spark: SparkSession, folders: Sequence[str]) -> int:
+    # Of files without rows nothing comes out of the footers, and so no sum.
+    return (footer_counts(spark, folders).first()["n_rows"] if folders else 0) or 0
+
+
 def _has_files(spark: SparkSession, folder: str) -> bool:
     return paths.exists(spark, folder) and bool(paths.child_files(spark, folder) or paths.child_dirs(spark, folder))
 
@@ -43,7 +48,7 @@ def stored_count(
     else:
         folders = [partitions.table_location(spark, table)]
     folders = [f for f in folders if _has_files(spark, f)]
-    return footer_counts(spark, folders).first()["n_rows"] if folders else 0
+    return _total(spark, folders)
 
 
 def count_query(cfg: TableConfig, predicate: str | None = None) -> str:
@@ -66,4 +71,4 @@ def source_count(spark: SparkSession, cfg: TableConfig, predicate: str | None =
         return int(spark.read.format("jdbc").options(**count_options(cfg, predicate)).load().first()[0])
     if predicate:
         return rdbms.read_source(spark, cfg, predicate).count()
-    return footer_counts(spark, [rdbms.source_folder(cfg)]).first()["n_rows"]
+    return _total(spark, [rdbms.source_folder(cfg)])
