@@ -714,6 +714,45 @@ def daily_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).drop("etl_dt")
 
 
+def staged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of runs that load what an import kept before, and of an append table's first full load."""
+    database, folder = scratch(spark, "staged_runs")
+    cfg = configured(ORDERS, hive_db=database, url=f"parquet:{sf_dir}", source_root=folder, category_input="stg")
+    result = None
+    for layout, imported, run in (
+        ("append", _RECENT, lambda c: daily.run_increment(spark, c, _RECENT, "19980101", _MOMENT, staged=True)),
+        ("staging", _RECENT, lambda c: daily.run_staging(spark, c, _RECENT, "19980101", _MOMENT, staged=True)),
+        ("replace", None, lambda c: daily.run_replace(spark, c, "19980101", _MOMENT, staged=True)),
+        ("base", None, lambda c: daily.run_slice(spark, c, "19980101", _MOMENT, staged=True, layout="base")),
+        ("append_init", None, lambda c: daily.run_increment_init(spark, c, "19980101", _MOMENT)),
+    ):
+        own = configured(cfg, hive_table=f"{layout}_h", path_table=layout)
+        kind = layout.removesuffix("_init")
+        name = layouts.create_table(spark, own, kind, f"{folder}/{layout}")
+        if layout != "append_init":
+            daily.import_day(spark, own, kind, "19980101", imported)
+        log = run(own).select(F.lit(layout).alias("layout"), *audit.LOG_COUNTS)
+        total = spark.table(name).agg(F.sum("o_orderkey").alias("keys"))
+        log = log.withColumn("keys", total.scalar())
+        result = log if result is None else result.unionByName(log)
+    return result
+
+
+def daily_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's run over a change log of customers: events as changes, and customers who have money as the base."""
+    database, folder = scratch(spark, "daily_cdc")
+    table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).write.parquet(f"{folder}/src/customer.parquet")
+    table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("user_id").alias("key_c_custkey"), F.col("event_type").alias("cdc_type"),
+        F.col("ts").alias("cdc_ts"),
+    ).write.parquet(f"{folder}/src/customer_cdc.parquet")
+    cfg = configured(CUSTOMER, hive_db=database, url=f"parquet:{folder}/src", use_chain=False)
+    name = layouts.create_table(spark, cfg, "append", f"{folder}/t")
+    log = daily.run_cdc(spark, cfg, "20240110", _MOMENT).first()
+    counted = [F.lit(log[c]).cast("long").alias(c) for c in audit.LOG_COUNTS]
+    return spark.table(name).select("*", *counted)
+
+
 def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load-log rows of each strategy's run over all orders, end to end."""
     database, folder = scratch(spark, "daily_runs")
@@ -818,6 +857,22 @@ def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conform_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text under a wrong declaration: which columns would lose how many values?"""
+    text = table(spark, sf_dir, "orders").select(*[F.col(c.name).cast("string").alias(c.name) for c in ORDERS.columns])
+    return schema.conform_losses(text, _converted(o_orderpriority="int", o_orderkey="int", o_orderstatus="date"))
+
+
+def lost_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as delimited lines whose texts still hold line breaks: fields that are missing or do not parse."""
+    folder = fresh_dir(spark, "lost_fields")
+    docs = table(spark, sf_dir, "documents")
+    delimited.to_lines(docs.select("doc_id", "lang", "n_chars", F.translate("text", "\r\u0001", "").alias("text"), "source")).write.text(folder)
+    lines = spark.read.option("lineSep", "\n").text(folder)
+    shape = docs.select("doc_id", "lang", "n_chars", "text", "source").schema
+    return delimited.lost_fields(lines, shape)
+
+
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly runs record the event types they saw; which declared ones lack or differ?"""
     seen = _runs(spark, sf_dir).groupBy("run").agg(F.sort_array(F.collect_set("event_type")).alias("kinds"))
@@ -912,10 +967,14 @@ def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("order_status"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_creation_date"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("send_date"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("data_date"),
+        F.col("o_orderdate").alias("data_date"),
     )
 
 
+def _products_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"))
+
+
 def _product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
@@ -929,18 +988,30 @@ def _product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repurchase.clean_detail(_detail(spark, sf_dir), _product(spark, sf_dir), *DETAIL_RANGE)
+    products = _products_of_lines(spark, sf_dir)
+    return repurchase.clean_detail(_detail(spark, sf_dir), _product(spark, sf_dir), *DETAIL_RANGE, sampled=products)
 
 
 def _repurchase(start: str, end: str, bds) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return repurchase.repurchase(
-            _detail(spark, sf_dir), _product(spark, sf_dir), DETAIL_RANGE, (start, end), bds
+            _detail(spark, sf_dir), _product(spark, sf_dir), DETAIL_RANGE, (start, end), bds, _products_of_lines(spark, sf_dir)
         )
 
     return run
 
 
+def repurchase_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both windows as stored steps out of one clean detail."""
+    windows = {name: REPURCHASE[name][:2] for name in ("repurchase_60", "repurchase_90")}
+    steps = repurchase.repurchase_job(
+        _detail(spark, sf_dir), _product(spark, sf_dir), DETAIL_RANGE, windows, REPURCHASE["repurchase_60"][2],
+        fresh_dir(spark, "repurchase"), _products_of_lines(spark, sf_dir),
+    )
+    first, second = (steps[n].withColumn("window", F.lit(n)) for n in windows)
+    return first.unionByName(second)
+
+
 REPURCHASE = {
     "repurchase_60": ("2001-05-01", "2001-07-01", (1, 16, 4, 9)),
     "repurchase_90": ("2001-04-01", "2001-07-01", (1, 16, 4, 9)),
@@ -956,10 +1027,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         layout_tables, drop_partitions, read_run, copy_partition, latest_run, latest_run_per_date, newest_run_names,
         resolve_chain_runs, mount_runs, mount_newest, chain_mount, intake_stream, all_data_refresh, readiness, row_counts, stored_counts,
         reconcile_counts, etl_log_upsert, batch_log,
-        stored_load_log, stored_batch_log, audited_load, daily_runs, daily_chain, convert_mysql,
+        stored_load_log, stored_batch_log, audited_load, daily_runs, daily_chain,
+        staged_runs, daily_cdc, convert_mysql,
         convert_oracle, conform_schema, read_table, read_increment, drop_delims,
-        row_fingerprint, base64_text, scalar_functions, schema_drift, delimited_roundtrip,
-        export_manifest, sql_steps, sql_file, clean_detail,
+        row_fingerprint, base64_text, scalar_functions, schema_drift, conform_losses, lost_fields, delimited_roundtrip,
+        export_manifest, sql_steps, sql_file, clean_detail, repurchase_job,
     )
 }
 QUERIES.update({name: _repurchase(*args) for name, args in REPURCHASE.items()})

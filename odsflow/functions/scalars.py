@@ -116,6 +116,13 @@ def day_bounds(df: DataFrame, column: str, first: str, last: str | None = None)
     return (F.col(column) >= low) & (F.col(column) < high)
 
 
-def day_range(column: Column, start: str, end: str) -> Column:
+def day_range(column: Column, start: str | Column, end: str | Column) -> Column:
     """Half-open range, ``start <= column < end``."""
     return (column >= start) & (column < end)
+
+
+def typed_range(df: DataFrame, column: str, start: str, end: str) -> Column:
+    """``start <= column < end`` for ``yyyy-MM-dd`` days, in the column's own type, so that it reaches the scan."""
+    kind = df.schema[column].dataType
+    low, high = (F.lit(d) if isinstance(kind, T.StringType) else F.lit(d).cast(kind) for d in (start, end))
+    return day_range(F.col(column), low, high)

@@ -62,6 +62,25 @@ def conform(df: DataFrame, cfg: TableConfig, binary_blob: bool = False) -> DataF
     )
 
 
+def conform_losses(df: DataFrame, cfg: TableConfig, binary_blob: bool = False) -> DataFrame:
+    """(column, n_lost, example) of the columns in which ``conform`` turns values into nulls.
+
+    One pass and one row of sums; an empty result means that nothing is lost.
+    """
+    pairs = []
+    for name, kind in stored_columns(cfg, binary_blob):
+        source = f"`{name}`" if name in df.columns or f"g_{name}" not in df.columns else f"`g_{name}`"
+        lost = F.col(source).isNotNull() & F.col(source).try_cast(kind).isNull()
+        pairs.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.count_if(lost).alias("n_lost"),
+                F.min(F.when(lost, F.col(source).cast("string"))).alias("example"),
+            )
+        )
+    return df.agg(F.array(*pairs).alias("_all")).select(F.inline("_all")).where("n_lost > 0")
+
+
 def schema_drift(
     status: DataFrame,
     expected: Sequence[tuple[str, str]],

@@ -27,18 +27,25 @@ def hot_keys(df: DataFrame, key: str, rows: int | None = None, fraction: float |
 
 
 def split_join(
-    left: DataFrame, right: DataFrame, key: str, rows: int | None = None, fraction: float | None = None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    rows: int | None = None,
+    fraction: float | None = None,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join on ``key``, kept even when some keys are hot on the left.
 
     A right side that measures small is broadcast. Otherwise a hot key's rows on
     the left are dealt to slices by a hash of the whole row, and its rows on the
-    right are given to every slice; both sides are read once and joined once. An
-    aggregate above cannot reuse that placement, so it does not gather a hot key.
+    right are given to every slice; both sides are joined once. An aggregate above
+    cannot reuse that placement, so it does not gather a hot key. The hot keys are
+    sampled from ``sampled``, a stored table with the key, or else by running the
+    left side once more.
     """
     if is_small(right):
         return left.join(F.broadcast(right), key)
-    hot = settle(hot_keys(left, key, rows, fraction), "hot_keys")
+    hot = settle(hot_keys(left if sampled is None else sampled, key, rows, fraction), "hot_keys")
     if hot.isEmpty():
         return left.join(right, key)
     hot = broadcast_if_small(hot.withColumnRenamed("_key", key), HOT_BROADCAST)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from odsflow.functions.scalars import day_range, platform_class, shop_flag, zero_if_null
+from odsflow.functions.scalars import day_range, platform_class, shop_flag, typed_range, zero_if_null
 from odsflow.operators.skew import split_join
 
 # Labels of rows that cover every department or shop kind.
@@ -14,30 +15,40 @@ ALL_DEPARTMENTS = "rbz"
 ALL_SHOPS = "zy+pt"
 
 
-def clean_detail(detail: DataFrame, product: DataFrame, start: str, end: str) -> DataFrame:
+# The columns of the clean detail, in order.
+LINE_COLUMNS = (
+    "parent_id", "order_id", "cust_id", "cust_type", "order_type", "allot_quantity", "bargin_price",
+    "receiver_country_id", "receiver_province_id", "receiver_city_id", "shop_id", "order_source", "from_platform",
+    "product_id",
+)
+PRODUCT_COLUMNS = ("category_path", "category_path2", "path2_name", "category_path3", "path3_name")
+LAST_COLUMNS = ("order_status", "order_creation_date", "send_date", "bd_id")
+
+
+def clean_detail(
+    detail: DataFrame, product: DataFrame, start: str, end: str, sampled: DataFrame | None = None
+) -> DataFrame:
     """Distinct order lines of the range with their product's categories.
 
-    Lines whose product has no department are left out, so only products with
-    one are joined; a product with very many lines does not end in one task.
+    Lines and products are each made distinct before they meet, so no product
+    text goes through the lines' shuffle and no pair comes twice. Lines whose product
+    has no department are left out, so only products with one are joined; a
+    product with very many lines does not end in one task. ``sampled`` holds
+    ``product_id`` as the lines' base table has it, to find such products
+    without running the query behind ``detail``.
     """
-    lines = detail.where(day_range(F.col("data_date"), start, end))
-    placed = product.where(F.col("bd_id").isNotNull())
-    return (
-        split_join(lines, placed, "product_id")
-        .select(
-            "parent_id", "order_id", "cust_id", "cust_type", "order_type",
-            zero_if_null(F.col("allot_quantity")).alias("allot_quantity"),
-            zero_if_null(F.col("bargin_price")).alias("bargin_price"),
-            "receiver_country_id", "receiver_province_id", "receiver_city_id",
-            shop_flag(F.col("shop_id")).alias("shop_id"),
-            "order_source",
-            platform_class(F.col("from_platform")).alias("from_platform"),
-            "product_id", "category_path", "category_path2", "path2_name",
-            "category_path3", "path3_name", "order_status",
-            "order_creation_date", "send_date", "bd_id",
-        )
-        .distinct()
-    )
+    mapped = {
+        "allot_quantity": zero_if_null(F.col("allot_quantity")),
+        "bargin_price": zero_if_null(F.col("bargin_price")),
+        "shop_id": shop_flag(F.col("shop_id")),
+        "from_platform": platform_class(F.col("from_platform")),
+    }
+    kept = [c for c in (*LINE_COLUMNS, *LAST_COLUMNS) if c != "bd_id"]
+    in_range = detail.where(typed_range(detail, "data_date", start, end))
+    lines = in_range.select(*[mapped.get(c, F.col(c)).alias(c) for c in kept]).distinct()
+    placed = product.where(F.col("bd_id").isNotNull()).select("product_id", *PRODUCT_COLUMNS, "bd_id").distinct()
+    joined = split_join(lines, placed, "product_id", sampled=sampled)
+    return joined.select(*LINE_COLUMNS, *PRODUCT_COLUMNS, *LAST_COLUMNS)
 
 
 def order_info(clean: DataFrame, start: str, end: str, bds: Sequence[int]) -> DataFrame:
@@ -91,6 +102,37 @@ def repurchase(
     detail_range: tuple[str, str],
     window: tuple[str, str],
     bds: Sequence[int],
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
-    clean = clean_detail(detail, product, *detail_range)
+    clean = clean_detail(detail, product, *detail_range, sampled=sampled)
     return distribution(order_info(clean, *window, bds))
+
+
+def repurchase_job(
+    detail: DataFrame,
+    product: DataFrame,
+    detail_range: tuple[str, str],
+    windows: Mapping[str, tuple[str, str]],
+    bds: Sequence[int],
+    root: str,
+    sampled: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """The whole analysis as stored steps: the clean detail once, then each window's counts and distribution.
+
+    Every step is written to a new folder under ``root`` and read by those that
+    follow; the first that fails ends the job. Returns the steps by name:
+    ``clean``, and ``<window>_info`` and ``<window>`` for each window.
+    """
+    spark, steps = detail.sparkSession, {}
+
+    def store(name: str, rows: DataFrame) -> DataFrame:
+        folder = f"{root}/{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        steps[name] = spark.read.schema(rows.schema).parquet(folder)
+        return steps[name]
+
+    clean = store("clean", clean_detail(detail, product, *detail_range, sampled=sampled))
+    for name, window in windows.items():
+        info = store(f"{name}_info", order_info(clean, *window, bds))
+        store(name, distribution(info))
+    return steps

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from odsflow.sources import partitions
+
 
 @contextmanager
 def _variables(spark: SparkSession, values: Mapping[str, object]):
@@ -24,22 +27,39 @@ def _variables(spark: SparkSession, values: Mapping[str, object]):
                 spark.conf.set(key, value)
 
 
-# Comments, quoted text, a statement's end, and whatever lies between.
+# Comments (a hint is none), quoted text, a statement's end, words, and whatever lies between.
 _TOKENS = re.compile(
-    r"""(?P<comment>--[^\n]*|/\*.*?\*/)|(?P<quoted>'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`)|(?P<end>;)|(?P<other>.)""",
+    r"""(?P<comment>--[^\n]*|/\*(?!\+).*?\*/)|(?P<quoted>'(?:\\.|[^'\\])*'|"(?:\\.|[^"\\])*"|`[^`]*`)"""
+    r"""|(?P<end>;)|(?P<word>\w+)|(?P<other>.)""",
     re.DOTALL,
 )
+_BLOCKS = {"IF", "WHILE", "LOOP", "REPEAT", "FOR"}
 
 
 def statements(text: str) -> list[str]:
-    """The statements of a script, without comments; ``;`` in quotes ends none."""
+    """The statements of a script, without comments; ``;`` in quotes ends none.
+
+    A compound statement, ``BEGIN`` to its ``END``, is one. Hints stay.
+    """
     found, own = [], []
+    depth, words = 0, []
     for token in _TOKENS.finditer(text):
-        if token.lastgroup == "end":
+        kind, part = token.lastgroup, token.group()
+        if kind == "word":
+            word = part.upper()
+            # END IF and the like close what was not counted; a CASE ends with END, or END CASE.
+            if word == "BEGIN" and (depth or not words) or word == "CASE" and depth and words[-1:] != ["END"]:
+                depth += 1
+            elif word == "END" and depth:
+                depth -= 1
+            elif word in _BLOCKS and words[-1:] == ["END"]:
+                depth += 1
+            words.append(word)
+        if kind == "end" and not depth:
             found.append("".join(own))
-            own = []
+            own, words = [], []
         else:
-            own.append(" " if token.lastgroup == "comment" else token.group())
+            own.append(" " if kind == "comment" else part)
     return [s.strip() for s in [*found, "".join(own)] if s.strip()]
 
 
@@ -68,6 +88,16 @@ def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] |
     return run_sql(spark, texts[0][0], params)
 
 
+def _switch_table(spark: SparkSession, database: str, name: str, rows: DataFrame) -> None:
+    """Let ``<database>.<name>`` be ``rows``: written whole beside it first, then exchanged in the catalog."""
+    table = f"{database}.{name}"
+    home = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()[1].rstrip("/")
+    folder = partitions.new_run(f"{home}/{name}", "step")
+    rows.write.parquet(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=folder, source="parquet", schema=spark.read.parquet(folder).schema)
+
+
 def run_steps(
     spark: SparkSession,
     steps: Sequence[tuple[str, str]],
@@ -77,10 +107,12 @@ def run_steps(
 ) -> dict[str, DataFrame]:
     """Named queries in order, each visible to the later ones under its name.
 
-    With ``root`` every step is written to ``<root>/<name>`` once and read back,
+    With ``root`` every step is written below ``<root>/<name>`` once and read back,
     with ``database`` it replaces the table ``<database>.<name>``; both keep
-    lineages short and are what several readers of a step want. Without either
-    a step is a view. The first failing step ends the job.
+    lineages short and are what several readers of a step want. A step's rows
+    are written to a new folder before anything of the last run goes, so a step that
+    fails leaves that whole. Without either a step is a view. The first failing
+    step ends the job.
     """
     given = dict(params or {})
     results = {}
@@ -88,11 +120,11 @@ def run_steps(
         with _variables(spark, given):
             rows = spark.sql(sql, args=given)
         if root:
-            rows.write.mode("overwrite").parquet(f"{root}/{name}")
-            rows = spark.read.parquet(f"{root}/{name}")
+            folder = f"{root}/{name}/{uuid.uuid4().hex}"
+            rows.write.parquet(folder)
+            rows = spark.read.parquet(folder)
         elif database:
-            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-            rows.write.saveAsTable(f"{database}.{name}")
+            _switch_table(spark, database, name, rows)
             rows = spark.table(f"{database}.{name}")
         rows.createOrReplaceTempView(name)
         results[name] = rows

@@ -124,6 +124,26 @@ def read_source(
     return rows.where(F.expr(predicate)) if predicate else rows
 
 
+def read_query(spark: SparkSession, cfg: TableConfig, query: str) -> DataFrame:
+    """What a query of the database returns, over one connection."""
+    return spark.read.format("jdbc").options(**login(cfg), query=query, fetchsize=str(FETCH_ROWS)).load()
+
+
+def cdc_query(cfg: TableConfig, day: str) -> str:
+    """The last change of each key on ``day`` in ``<table>_cdc``, with the base row it left, for a database."""
+    keys = cfg.key_names
+    columns = [f"c.key_{c.name} {c.name}" if c.name in keys else f"b.{c.name}" for c in cfg.ordered]
+    logged = ", ".join(f"key_{k}" for k in keys)
+    name = source_name(cfg)
+    met = " and ".join(f"b.{k} = c.key_{k}" for k in keys)
+    own_day = {"mysql": "date_format(cdc_ts, '%Y%m%d')"}.get(cfg.dialect, "to_char(cdc_ts, 'YYYYMMDD')")
+    last = (
+        f"select {logged}, cdc_type, row_number() over (partition by {logged} order by id desc) nth"
+        f" from {name}_cdc where {own_day} = '{day}'"
+    )
+    return f"select {', '.join(columns)}, c.cdc_type from ({last}) c left join {name} b on {met} where c.nth = 1"
+
+
 def day_predicate(predicate: str, day: str) -> str:
     """``predicate`` with the day for its ``%s``; other signs stay as they are."""
     return predicate.replace("%s", day)
