@@ -6,8 +6,9 @@ tokens; a token's share of its class is its relative count. A document's score
 is the sum of the conditional log-probabilities of all its tokens.
 
 Tokens are the frequent words of the corpus; a rarer word is one of a number of
-buckets by its hash, and has its own exact share of its bucket's count, by a
-join with the counts. Counts, classes and shares come from all rows. Training is
+buckets by its hash, and has its own exact share of its bucket's count: from a
+sorted array of the ``KNOWN_WORDS`` most frequent words' counts, or, for rarer
+ones, by a join with the counts. Counts, classes and shares come from all rows. Training is
 data parallel: in each round every task starts from the common parameters, takes
 numpy gradient steps over its own slice (each round one of ``STRIDE`` shares of
 the places of every document; the rounds together take every place) and returns
@@ -37,8 +38,11 @@ SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Every place is trained on: the rounds are a multiple of the stride.
 ROUNDS, STRIDE = 2, 2
 BATCH, RATE = 2048, 0.004
-SCORED_AT_ONCE = 1 << 15
+#: Places scored together, whose logits stay in a core's cache.
+SCORED_AT_ONCE = 1 << 11
 PARTS = 8
+#: Words whose counts every task gets; the counts of rarer ones are joined.
+KNOWN_WORDS = 1_000_000
 
 TOKENS = FREQUENT + BUCKETS
 PAD = TOKENS
@@ -106,21 +110,61 @@ def vocabulary_of(counts: DataFrame) -> Vocabulary:
     return Vocabulary(frequent, left)
 
 
-def tokens_of(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, tokens: 16-bit ids, rare: names of the words in buckets) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+#: log n(word) is summed in whole units of 2**-32, so that equal texts have equal sums in whatever order.
+UNIT = 2.0**32
+
+
+class KnownCounts:
+    """log n(word) of the most frequent words, by their names in ascending order."""
+
+    def __init__(self, names: np.ndarray = np.zeros(0, np.int64), n: np.ndarray = np.zeros(0, np.int64)):
+        by = np.argsort(names)
+        self.names, self.units = names[by], np.rint(np.log(n[by]) * UNIT).astype(np.int64)
+
+    def units_of(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units of each name, and whether it is known."""
+        if not len(self.names):
+            return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        known = self.names[at] == names
+        return self.units[at] * known, known
+
+
+def known_counts(counts: DataFrame) -> KnownCounts:
+    """The words from that count on which at most ``KNOWN_WORDS`` words have."""
+    by_count = sorted(((r["n"], r["count"]) for r in counts.groupBy("n").count().collect()), reverse=True)
+    least, total = None, 0
+    for n, words_of_it in by_count:
+        total += words_of_it
+        if total > KNOWN_WORDS:
+            break
+        least = n
+    frequent = counts.where(F.col("n") >= least if least is not None else F.lit(False)).select("name", "n").toArrow()
+    return KnownCounts(frequent.column("name").to_numpy(), frequent.column("n").to_numpy())
+
+
+def tokens_of(docs: DataFrame, vocabulary: Vocabulary, known: KnownCounts | None = None) -> DataFrame:
+    """(doc_id, tokens: 16-bit ids, rare: names of the words in buckets that are not ``known``, of_known: what the
+    others' counts add up to) of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, known or KnownCounts()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, known = shared.value
         for part in slices(batches):
             names, first = _names(part.column("text"))
-            ids = shared.value.look_up(names).astype("<u2")
+            ids = vocabulary.look_up(names).astype("<u2")
             rare = ids >= FREQUENT
+            units, counted = known.units_of(names[rare].view(np.int64))
             before = np.concatenate([[0], np.cumsum(rare)])[first]
+            left = np.concatenate([[0], np.cumsum(~counted)])[before]
+            sums = np.concatenate([[0], np.cumsum(units)])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), _blobs(ids, first), _blobs(names[rare], before)], names=["doc_id", "tokens", "rare"]
+                [part.column("doc_id"), _blobs(ids, first), _blobs(names[rare][~counted], left), pa.array(np.diff(sums[before]))],
+                names=["doc_id", "tokens", "rare", "of_known"],
             )
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, tokens binary, rare binary")
+    schema = "doc_id long, tokens binary, rare binary, of_known long"
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, schema)
 
 
 def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -129,7 +173,7 @@ def _blobs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def rare_logs(tokens: DataFrame, counts: DataFrame) -> DataFrame:
-    """(row, logs): the sum of log n(word) over the words in buckets, of each row of ``tokens`` that has some."""
+    """(row, units): the sum of log n(word) over the names in ``rare``, of each row of ``tokens`` that has some."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "rare"):
@@ -146,23 +190,26 @@ def rare_logs(tokens: DataFrame, counts: DataFrame) -> DataFrame:
             )
 
     found = tokens.select("row", "rare").mapInArrow(run, "row long, name long, times long").join(counts, "name")
-    # In whole units of 2**-32, so that equal texts have equal sums in whatever order.
-    units = F.sum(F.col("times") * F.round(F.log("n") * 2.0**32).cast("long"))
-    return found.groupBy("row").agg((units / 2.0**32).alias("logs"))
+    units = F.sum(F.col("times") * F.round(F.log("n") * UNIT).cast("long"))
+    return found.groupBy("row").agg(units.alias("units"))
 
 
-def _windows(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, contexts, row) of all places of a slice."""
+def _places(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, row) of all places of a slice."""
     data, bounds = text_bytes(part.column("tokens").cast(pa.binary()))
-    tokens = np.frombuffer(data.tobytes(), "<u2").astype(np.int64)
-    bounds = bounds // 2
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    context = np.full((len(tokens), 2 * SIDE), PAD)
-    for k in range(1, SIDE + 1):
-        same = row[k:] == row[:-k]
-        context[k:, SIDE - k][same] = tokens[:-k][same]
-        context[:-k, SIDE + k - 1][same] = tokens[k:][same]
-    return tokens, context, row
+    return np.frombuffer(data.tobytes(), "<u2"), np.repeat(np.arange(len(bounds) - 1), np.diff(bounds // 2))
+
+
+def _contexts(tokens: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The tokens on either side of the places ``at``, within their rows."""
+    padded = np.concatenate([tokens, [PAD]]).astype(np.uint16)
+    context = np.empty((len(at), 2 * SIDE), np.uint16)
+    for column, k in enumerate((*range(-SIDE, 0), *range(1, SIDE + 1))):
+        near = at + k
+        inside = (near >= 0) & (near < len(tokens))
+        inside[inside] = row[near[inside]] == row[at[inside]]
+        context[:, column] = padded[np.where(inside, near, len(tokens))]
+    return context
 
 
 Parameters = dict[str, np.ndarray]
@@ -175,16 +222,25 @@ def initial(seed: int = 0) -> Parameters:
     return {k: (random.standard_normal(s) * scale.get(k, 0)).astype(np.float32) for k, s in shapes.items()}
 
 
+#: Logits below this need no shift before the exponential.
+SAFE_LOGIT = 60
+
+
 def _forward(p: Parameters, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     x = p["embed"][context].reshape(len(context), -1)
-    h = np.tanh(x @ p["hidden"] + p["hidden_bias"])
-    logits = h @ p["out"] + p["out_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
+    h = x @ p["hidden"]
+    h += p["hidden_bias"]
+    np.tanh(h, out=h)
+    logits = h @ p["out"]
+    logits += p["out_bias"]
+    # The hidden layer is between -1 and 1, so this bounds every logit.
+    if (np.abs(p["out"]).sum(axis=0) + np.abs(p["out_bias"])).max() > SAFE_LOGIT:
+        logits -= logits.max(axis=1, keepdims=True)
     return x, h, logits
 
 
 class Trainer:
-    """Adam over mini-batches."""
+    """Adam over mini-batches; of the embeddings, only those in a batch are moved."""
 
     def __init__(self, parameters: Parameters):
         self.p = {k: v.copy() for k, v in parameters.items()}
@@ -195,21 +251,31 @@ class Trainer:
     def step(self, context: np.ndarray, classes: np.ndarray) -> None:
         p, n = self.p, len(context)
         x, h, logits = _forward(p, context)
-        d = np.exp(logits)
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(n), classes] -= 1
-        d /= n
-        dh = (d @ p["out"].T) * (1 - h * h)
+        d = np.exp(logits, out=logits)
+        d *= 1 / (n * d.sum(axis=1, keepdims=True))
+        d[np.arange(n), classes] -= 1 / n
+        dh = d @ p["out"].T
+        dh *= 1 - h * h
         dx = (dh @ p["hidden"].T).reshape(n * 2 * SIDE, WIDTH)
         flat = context.ravel()
-        embed = np.stack([np.bincount(flat, dx[:, i], TOKENS + 1) for i in range(WIDTH)], axis=1).astype(np.float32)
-        grads = {"embed": embed, "hidden": x.T @ dh, "hidden_bias": dh.sum(axis=0), "out": h.T @ d, "out_bias": d.sum(axis=0)}
+        by = np.argsort(flat, kind="stable")
+        new = np.ones(len(by), bool)
+        new[1:] = flat[by[1:]] != flat[by[:-1]]
+        starts = np.flatnonzero(new)
+        grads = {"hidden": x.T @ dh, "hidden_bias": dh.sum(axis=0), "out": h.T @ d, "out_bias": d.sum(axis=0)}
         self.steps += 1
-        fix1, fix2 = 1 - 0.9**self.steps, 1 - 0.999**self.steps
+        touched = flat[by[starts]]
+        self._move("embed", touched, np.add.reduceat(dx[by], starts, axis=0))
         for k, g in grads.items():
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.001 * (g * g - self.v[k])
-            p[k] -= RATE * (self.m[k] / fix1) / (np.sqrt(self.v[k] / fix2) + 1e-8)
+            self._move(k, slice(None), g)
+
+    def _move(self, name: str, rows, g: np.ndarray) -> None:
+        fix1, fix2 = 1 - 0.9**self.steps, 1 - 0.999**self.steps
+        m, v = self.m[name][rows], self.v[name][rows]
+        m += 0.1 * (g - m)
+        v += 0.001 * (g * g - v)
+        self.m[name][rows], self.v[name][rows] = m, v
+        self.p[name][rows] -= RATE * (m / fix1) / (np.sqrt(v / fix2) + 1e-8)
 
 
 def _flat(p: Parameters) -> np.ndarray:
@@ -236,11 +302,11 @@ def train(tokens: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, strid
         def run(batches: Iterator[pa.RecordBatch], number: int = number, start=start) -> Iterator[pa.RecordBatch]:
             trainer, places, waiting = Trainer(start.value), 0, []
             for part in slices(batches, "tokens"):
-                own, context, row = _windows(part)
+                own, row = _places(part)
                 ids = part.column("doc_id").fill_null(0).to_numpy()
                 mine = np.flatnonzero((np.arange(len(own)) + ids[row]) % stride == number % stride)
                 np.random.default_rng(number).shuffle(mine)
-                waiting.append((context[mine], classes.value[own[mine]]))
+                waiting.append((_contexts(own, row, mine), classes.value[own[mine]]))
                 places += len(mine)
                 context, wanted = (np.concatenate(x) for x in zip(*waiting))
                 full = len(wanted) // BATCH * BATCH
@@ -288,22 +354,24 @@ def score(docs: DataFrame) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     counts = settle(count_words(docs), "words")
     vocabulary = vocabulary_of(counts)
-    tokens = settle(tokens_of(docs, vocabulary).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    found = tokens_of(docs, vocabulary, known_counts(counts))
+    tokens = settle(found.withColumn("row", F.monotonically_increasing_id()), "tokens")
     shared = sc.broadcast((train(tokens, vocabulary), vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parameters, words_known = shared.value
         for part in slices(batches, "tokens", 1 << 20):
-            own, context, row = _windows(part)
-            logs = log_probabilities(parameters, words_known, own, context) - words_known.log_bucket[own]
+            own, row = _places(part)
+            logs = log_probabilities(parameters, words_known, own, _contexts(own, row, np.arange(len(own)))) - words_known.log_bucket[own]
             total = np.bincount(row, logs, part.num_rows)
             n = np.bincount(row, minlength=part.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("doc_id"), pa.array(n), pa.array(total)], names=["row", "doc_id", "n_tokens", "_of_tokens"]
-            )
+            kept = [part.column(c) for c in ("row", "doc_id", "of_known")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(n), pa.array(total)], names=["row", "doc_id", "of_known", "n_tokens", "_of_tokens"])
 
-    scored = tokens.select("row", "doc_id", "tokens").mapInArrow(run, "row long, doc_id long, n_tokens long, _of_tokens double")
+    scored = tokens.select("row", "doc_id", "tokens", "of_known").mapInArrow(
+        run, "row long, doc_id long, of_known long, n_tokens long, _of_tokens double"
+    )
     scored = scored.join(rare_logs(tokens, counts), "row", "left")
-    score = F.col("_of_tokens") + F.coalesce("logs", F.lit(0.0))
+    score = F.col("_of_tokens") + (F.col("of_known") + F.coalesce("units", F.lit(0))) / UNIT
     mean = F.when(F.col("n_tokens") > 0, F.col("score") / F.col("n_tokens"))
     return scored.select("doc_id", "n_tokens", score.alias("score")).withColumn("mean_score", mean)
