@@ -95,5 +95,7 @@ def found_items(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Data
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """``docs`` less the documents that hold an item."""
-    ids = settle(found_items(docs, items, least).select(F.col("doc_id").alias("_held")).distinct(), "held")
-    return docs.join(broadcast_if_small(ids, ITEMS_BROADCAST), F.col("doc_id") == F.col("_held"), "left_anti")
+    ids = settle(found_items(docs, items, least).select("doc_id").distinct(), "held")
+    ids = broadcast_if_small(ids, ITEMS_BROADCAST).alias("held")
+    # Qualified names, as the documents may have columns of any name.
+    return docs.alias("docs").join(ids, F.col("docs.doc_id") == F.col("held.doc_id"), "left_anti")

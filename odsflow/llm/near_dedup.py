@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from odsflow.llm.links import components
-from odsflow.llm.store import settle
+from odsflow.llm.store import carried, restored, settle
 from odsflow.llm.text import mix, ragged, shingles, slices, span_hash, text_bytes, words
 from odsflow.sizing import broadcast_if_small
 
@@ -416,11 +416,25 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, that of the least doc_id."""
-    classes = settle(near_classes(docs), "classes")
-    gone = classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(broadcast_if_small(settle(gone, "gone"), IDS_BROADCAST), F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = classes.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count()
-    if again:  # a document given twice is a copy of itself
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
-    return kept
+    """``docs`` with one document of each class, that of the least doc_id.
+
+    A row given twice, alike in doc_id and text, is a copy of itself. Unlike texts
+    under one doc_id are documents of their own: each has a new id while classes
+    are sought. Rows without a doc_id stay.
+    """
+    key = F.coalesce(F.md5("text"), F.lit("")).alias("_key")
+    own = carried(docs).select("*", F.col("doc_id").cast("long").alias("_id"), key)
+    pairs = settle(own.where("_id is not null").groupBy("_id", "_key").count(), "pairs")
+    repeated = not pairs.where("count > 1").isEmpty()
+    unlike = pairs.groupBy("_id").count().where("count > 1").select("_id")
+    if not unlike.isEmpty():
+        top = pairs.agg(F.max("_id")).first()[0]
+        named = pairs.join(unlike, "_id", "left_semi").withColumn("_own", F.monotonically_increasing_id() + F.lit(top + 1))
+        named = broadcast_if_small(settle(named.select("_id", "_key", "_own"), "own_ids"), IDS_BROADCAST)
+        own = own.join(named, ["_id", "_key"], "left").withColumn("_id", F.coalesce("_own", "_id"))
+    classes = settle(near_classes(own.select(F.col("_id").alias("doc_id"), "text")), "classes")
+    gone = settle(classes.where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
+    kept = own.join(broadcast_if_small(gone, IDS_BROADCAST), "_id", "left_anti")
+    if repeated:
+        kept = kept.where("_id is not null").dropDuplicates(["_id"]).unionByName(kept.where("_id is null"))
+    return restored(kept, docs.columns)

@@ -73,7 +73,7 @@ def documents(spark):
 
 
 def clashing(df):
-    names = ["n_lines", "n_dropped", "kept", "key", "h1", "node", "_rest", "_words", "label", "bands", "starts", "_key", "piece"]
+    names = ["_gone", "_held", "_id", "_own", "held", "bucket", "sketch", "n_lines", "n_dropped", "kept", "key", "h1", "node", "_rest", "_words", "label", "bands", "starts", "_key", "piece"]
     return df.withColumns({n: F.lit("own") for n in names})
 
 
@@ -276,6 +276,21 @@ def test_near_classes_defined_cases(odd, empty):
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 3, 4, 5, 6, 7, 9]
 
 
+def test_keeping_one_loses_no_unlike_text(spark):
+    a, b, c = sentence(21, 80), sentence(22, 80), sentence(23, 80)
+    near_b = b.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "x"), (2, near_b, "y"), (3, c, "z"), (3, None, "z"), (3, a, "z"), (None, a, "n"), (4, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string")
+    kept = near_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    left = [tuple(r) for r in kept.collect()]
+    texts = Counter(t for i, t, _ in left if i is not None)
+    assert texts[a] == 1 and texts[c] == 1 and texts[None] == 2
+    assert texts[b] + texts[near_b] == 1
+    assert (None, a, "n") in left and len(left) == 6
+    assert set(left) <= set(rows)
+
+
 def test_signatures_estimate_the_weighted_similarity():
     a, b = "x y z u v " * 30 + sentence(5, 200), "x y z u v " * 10 + sentence(5, 200)
     x, y = shingle_bag(a), shingle_bag(b)
@@ -413,7 +428,8 @@ def test_scores_prefer_the_corpus_order(spark):
     vocabulary = scoring.learn_vocabulary(docs)
     tokens = scoring.tokens_of(docs, vocabulary).cache()
     parameters = scoring.train(tokens, vocabulary, rounds=2, stride=2)
-    own, context, _ = scoring._windows(pa.RecordBatch.from_pandas(tokens.limit(200).toPandas()))
+    own, row = scoring._places(pa.RecordBatch.from_pandas(tokens.limit(200).toPandas()))
+    context = scoring._contexts(own, row, np.arange(len(own)))
     trained = scoring.log_probabilities(parameters, vocabulary, own, context).mean()
     untrained = scoring.log_probabilities(scoring.initial(), vocabulary, own, context).mean()
     shuffled = scoring.log_probabilities(parameters, vocabulary, own, np.random.default_rng(0).permutation(context)).mean()
@@ -447,6 +463,67 @@ def test_scores_give_rare_words_their_own_share(spark):
     assert by[1] == by[2] and abs(by[1] - by[3] - np.log(2)) < 1e-4
 
 
+def test_a_training_step_equals_plain_adam():
+    rng = np.random.default_rng(3)
+    start = {k: v.astype(float) for k, v in scoring.initial(1).items()}
+    plain = {k: v.copy() for k, v in start.items()}
+    m, v = ({k: np.zeros_like(x) for k, x in start.items()} for _ in range(2))
+    trainer = scoring.Trainer(start)
+    for step in range(1, 4):
+        context = rng.integers(0, 40, (64, 2 * scoring.SIDE)).astype(np.uint16)
+        context[rng.random(context.shape) < 0.2] = scoring.PAD
+        classes = rng.integers(0, scoring.CLASSES, 64)
+        trainer.step(context, classes)
+        grads = {k: np.zeros_like(x) for k, x in plain.items()}
+        for window, wanted in zip(context.astype(int), classes):
+            x = np.concatenate([plain["embed"][t] for t in window])
+            h = np.tanh(x @ plain["hidden"] + plain["hidden_bias"])
+            logits = h @ plain["out"] + plain["out_bias"]
+            d = np.exp(logits - logits.max())
+            d /= d.sum()
+            d[wanted] -= 1
+            d /= len(classes)
+            back = (plain["out"] @ d) * (1 - h * h)
+            grads["out"] += np.outer(h, d)
+            grads["out_bias"] += d
+            grads["hidden"] += np.outer(x, back)
+            grads["hidden_bias"] += back
+            for t, g in zip(window, (plain["hidden"] @ back).reshape(len(window), -1)):
+                grads["embed"][t] += g
+        for k, g in grads.items():
+            rows = np.unique(context) if k == "embed" else slice(None)
+            m[k][rows] = 0.9 * m[k][rows] + 0.1 * g[rows]
+            v[k][rows] = 0.999 * v[k][rows] + 0.001 * g[rows] ** 2
+            plain[k][rows] -= scoring.RATE * (m[k][rows] / (1 - 0.9**step)) / (np.sqrt(v[k][rows] / (1 - 0.999**step)) + 1e-8)
+    for k in plain:
+        assert np.allclose(trainer.p[k], plain[k], atol=1e-6)
+
+
+@pytest.mark.parametrize("known", [0, 3, 10**6])
+def test_scores_equal_a_plain_sum(spark, monkeypatch, known):
+    monkeypatch.setattr(scoring, "KNOWN_WORDS", known)
+    frequent = " ".join([f"f{i}" for i in range(scoring.FREQUENT)] * 6)
+    texts = [frequent, "f1 r1 f2 r2 r2", "r1 r3 r4 f7", None, "r5 " * 5 + "r4 r1"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    counts = Counter(w for t in texts for w in (t or "").split())
+    vocabulary = scoring.learn_vocabulary(docs)
+    p = scoring.train(scoring.tokens_of(docs, vocabulary), vocabulary)
+    scores = {r["doc_id"]: r["score"] for r in scoring.score(docs).collect()}
+    for doc_id, text in list(enumerate(texts))[1:]:
+        found = (text or "").split()
+        ids = vocabulary.look_up(scoring._names(pa.array([text], pa.string()))[0]).tolist()
+        total = 0.0
+        for i, (word, own) in enumerate(zip(found, ids)):
+            window = [ids[j] if 0 <= j < len(ids) else scoring.PAD for j in (i - 2, i - 1, i + 1, i + 2)]
+            h = np.tanh(np.concatenate([p["embed"][t] for t in window]) @ p["hidden"] + p["hidden_bias"])
+            logits = h @ p["out"] + p["out_bias"]
+            logits[vocabulary.unused] = -np.inf
+            total += logits[vocabulary.classes[own]] - np.log(np.exp(logits).sum()) + vocabulary.log_share[own]
+            if own >= scoring.FREQUENT:
+                total += np.log(counts[word]) - vocabulary.log_bucket[own]
+        assert abs(scores[doc_id] - total) < 1e-3 * max(1, abs(total))
+
+
 def test_scores_defined_cases(odd, empty):
     rows = scoring.score(clashing(odd)).collect()
     by = {r["doc_id"]: r for r in rows}
@@ -471,7 +548,87 @@ def test_pipeline(spark, documents):
     assert len(digest) == 64
 
 
+def near_by_force(rows):
+    """The least doc_id of each class, all pairs compared."""
+    bags = {i: shingle_bag(t or "") for i, t in rows}
+    root = {i: i for i in bags}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(bags)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            both, either = sum((bags[i] & bags[j]).values()), sum((bags[i] | bags[j]).values())
+            if both and 5 * both >= 4 * either:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def lines_by_force(rows):
+    space = " \t\n\x0b\x0c\r"
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    keys = {i: [line.strip(space).translate(lower) for line in (t or "").split("\n")] for i, t in rows}
+    first = {}
+    for i in sorted(keys):
+        for key in keys[i]:
+            first.setdefault(key, i)
+    return {
+        i: "\n".join(line for line, key in zip((t or "").split("\n"), keys[i]) if len(key) < 10 or first[key] == i)
+        for i, t in rows
+    }
+
+
+def held_by_force(rows, items):
+    def shingled(text):
+        found = [w for w in re.split(r"[^\w]+|_", (text or "").lower()) if w]
+        return {tuple(found[k : k + 5]) for k in range(len(found) - 4)}
+
+    wanted = [s for s in map(shingled, items) if s]
+    return {i for i, t in rows for s in [shingled(t)] if any(5 * len(s & w) >= 4 * len(w) for w in wanted)}
+
+
+def test_pipeline_stages_equal_plain_versions(spark, documents):
+    stages = dict(corpus_pipeline.STAGES)
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    docs = corpus_pipeline.settle(stages["quality"](spark, documents, SF), "test-stage")
+    judged = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    base = {r["doc_id"] for r in quality.with_quality(documents).where("not base_failed").collect()}
+    assert not {i for i in base - judged if labels.get(i) == 1}
+    assert not {i for i in judged & base if labels.get(i) == 0}
+
+    def pairs(df):
+        return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+    before = pairs(docs)
+    docs = corpus_pipeline.settle(stages["lines"](spark, docs, SF), "test-stage")
+    assert dict(pairs(docs)) == lines_by_force(before)
+    before = pairs(docs)
+    docs = corpus_pipeline.settle(stages["near_duplicates"](spark, docs, SF), "test-stage")
+    equal = {}
+    for i, t in sorted(before):
+        equal.setdefault(t, i)
+    classes = near_by_force([(i, t) for t, i in equal.items()])
+    assert {i for i, _ in pairs(docs)} == {c for c in classes.values()}
+    before = pairs(docs)
+    docs = corpus_pipeline.settle(stages["decontamination"](spark, docs, SF), "test-stage")
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert {i for i, _ in pairs(docs)} == {i for i, _ in before} - held_by_force(before, items)
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(queries.vocabulary())
+    packed = Counter()
+    for r in stages["packing"](spark, docs, SF).collect():
+        packed[r["doc_id"]] += r["length"]
+    assert packed == {i: len(own.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in pairs(docs)}
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd, empty):
-    for df in (odd, empty):
+    for df in (odd, empty, clashing(odd)):
         for name, stage in corpus_pipeline.STAGES:
-            assert stage(spark, df, SF).count() >= 0
+            found = stage(spark, df, SF)
+            assert found.count() >= 0
+            assert name == "packing" or found.columns == df.columns
