@@ -415,7 +415,7 @@ def read_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copy_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All partitions of one table copied into another, one after the other."""
+    """All partitions of one table copied into another: the first by itself, the others in one job."""
     database, folder = scratch(spark, "copy_partition")
     cfg = configured(EVENTS, hive_db=database)
     source, target = (
@@ -424,8 +424,9 @@ def copy_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     events = table(spark, sf_dir, "events")
     loads.load_increments(events.withColumn("etl_dt", scalars.day_text(F.col("ts"))), source)
-    for value in partitions.partition_values(spark, source):
-        files.copy_partition(spark, source, target, "etl_dt", value)
+    first, *others = partitions.partition_values(spark, source)
+    files.copy_partition(spark, source, target, "etl_dt", first)
+    files.copy_partitions(spark, source, target, "etl_dt", others)
     return spark.table(target)
 
 

@@ -56,5 +56,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir()
 
 
+def scratch_home(spark: SparkSession) -> str:
+    """Where this application keeps its scratch folders."""
+    return f"{shared_dir(spark)}/odsflow/{spark.sparkContext.applicationId}"
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/odsflow/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def discard_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch of this application; call it when no result is read any more.
+
+    A result that was settled on the way is read from its folder, so folders
+    cannot go by themselves before their last reader does.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from odsflow.settings import broadcast_limit, fresh_dir
+from odsflow.sources import paths
 
 _ROW_OVERHEAD = 32
 _FIXED_WIDTH = 16
@@ -45,6 +48,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def settled(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``settle`` for work that ends within a block; the folder goes with it."""
+    spark = df.sparkSession
+    folder = fresh_dir(spark, name)
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        paths.delete(spark, folder)
+
+
 def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Hint a broadcast after measuring ``df``; beyond the bound Spark shuffles."""
     return F.broadcast(df) if is_small(df, limit) else df

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from odsflow.sizing import broadcast_if_small, settle
+from odsflow.sizing import broadcast_if_small, settled
 from odsflow.sources import delimited, partitions, paths
 
 #: Bytes of an export's part, at most; a part is hashed in one piece.
@@ -45,7 +47,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _numbered_parts(lines: DataFrame, part_bytes: int) -> DataFrame:
+def _numbered_parts(lines: DataFrame, part_bytes: int, small: ExitStack) -> DataFrame:
     """(value, part) of stored ``lines`` (value, _bytes, _task, _nth): parts of even size, none above ``part_bytes``.
 
     A line's place is what all lines before it take up, by running sums within
@@ -61,12 +63,14 @@ def _numbered_parts(lines: DataFrame, part_bytes: int) -> DataFrame:
     # One row a task goes through this window.
     over_tasks = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     totals = narrow.groupBy("_task").agg(F.sum("_size").alias("_total"))
-    offsets = settle(totals.select("_task", F.coalesce(F.sum("_total").over(over_tasks), F.lit(0)).alias("_offset")), "part_offsets")
+    offsets = totals.select("_task", F.coalesce(F.sum("_total").over(over_tasks), F.lit(0)).alias("_offset"))
+    offsets = small.enter_context(settled(offsets, "part_offsets"))
     place = F.col("_offset") + F.coalesce(F.sum("_size").over(before), F.lit(0))
     part = F.when(F.col("_size") == 0, -1 - F.col("_nth")).otherwise(F.floor(place / half))
     numbered = narrow.join(broadcast_if_small(offsets), "_task").withColumn("_part", part)
     begins = numbered.withColumn("_last", F.lag("_part").over(in_task)).where(~F.col("_part").eqNullSafe(F.col("_last")))
-    cuts = settle(begins.groupBy("_task").agg(F.sort_array(F.collect_list(F.struct("_nth", "_part"))).alias("_cuts")), "part_cuts")
+    cuts = begins.groupBy("_task").agg(F.sort_array(F.collect_list(F.struct("_nth", "_part"))).alias("_cuts"))
+    cuts = small.enter_context(settled(cuts, "part_cuts"))
     own = F.element_at(F.filter("_cuts", lambda c: c["_nth"] <= F.col("_nth")), -1)["_part"]
     return lines.join(broadcast_if_small(cuts), "_task").select("value", own.alias("part"))
 
@@ -84,11 +88,12 @@ def write_parts(df: DataFrame, path: str, part_bytes: int = PART_BYTES) -> list[
         F.spark_partition_id().alias("_task"),
         F.monotonically_increasing_id().alias("_nth"),
     )
-    stored = settle(lines, "export_lines")
     # Beside the export, not in it, until every part is whole.
     staged = f"{path}_staged-{uuid.uuid4().hex}"
-    parts = _numbered_parts(stored, part_bytes).repartition("part")
-    parts.write.partitionBy("part").option("lineSep", "\n").text(staged)
+    with ExitStack() as scratch:
+        stored = scratch.enter_context(settled(lines, "export_lines"))
+        parts = _numbered_parts(stored, part_bytes, scratch).repartition("part")
+        parts.write.partitionBy("part").option("lineSep", "\n").text(staged)
     numbers = sorted(int(n.split("=", 1)[1]) for n in paths.child_dirs(spark, staged))
     found = [f"{staged}/part={n}/{f}" for n in numbers for f in paths.child_files(spark, f"{staged}/part={n}")]
     names = [f"part-{i:05d}.dat" for i in range(len(found))]
@@ -142,6 +147,16 @@ def verify_export(spark: SparkSession, data: str, sums: str) -> DataFrame:
     )
 
 
+def copy_partitions(spark: SparkSession, source: str, target: str, column: str, values: Collection[str]) -> list[str]:
+    """Copy several partitions of one table into another in one job; one without rows becomes empty there."""
+    kept = set(partitions.partition_values(spark, source)) & set(values)
+    rows = spark.table(source).where(F.col(column).isin(sorted(kept)))
+    written = {n.split("=", 1)[1] for n in partitions.swap_partitions(spark, target, rows, column)}
+    for value in sorted(kept - written):
+        copy_partition(spark, source, target, column, value)
+    return sorted(kept)
+
+
 def copy_partition(spark: SparkSession, source: str, target: str, column: str, value: str) -> str:
     """Copy partition ``column = value`` of one table into another."""
     rows = spark.table(source).where(F.col(column) == value)

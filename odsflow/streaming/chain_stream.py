@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from odsflow.operators.chain import CHAIN, ChainLayout
 from odsflow.operators.chain_table import ChainRun, load_chain_range
 from odsflow.operators.latest import latest_per_key
-from odsflow.sizing import settle
+from odsflow.sizing import settled
 from odsflow.sources import partitions, paths
 
 _STREAM, _BATCH = "_stream", "_batch"
@@ -75,8 +75,9 @@ def merge_batch(
     run = None
     if days:
         first = min(days)
-        newest = settle(kept_changes(spark, table, changes.schema, keys, order, first, day_col), "stream_changes")
-        run = load_chain_range(spark, table, newest, keys, first, day_col, layout)
+        kept = kept_changes(spark, table, changes.schema, keys, order, first, day_col)
+        with settled(kept, "stream_changes") as newest:
+            run = load_chain_range(spark, table, newest, keys, first, day_col, layout)
     paths.touch(spark, mark)
     return run
 

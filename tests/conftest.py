@@ -11,10 +11,11 @@ from odsflow.settings import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[4]").appName("tests")
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.sql.shuffle.partitions", "4")
+    builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session = configure(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
