@@ -123,10 +123,10 @@ def load_chain_day(
         closed = f"{folder}/{layout.end}={day}"
         if not store.buckets:
             closed = _repacked(spark, closed, f"{folder}/closed")
-        partitions.attach_partitions(spark, table, {day_spec: closed})
+        partitions.attach_partitions(spark, table, {day_spec: closed}, own=True)
     if layout.open_end in written:
         path = f"{folder}/{layout.end}={layout.open_end}"
-        partitions.attach_partitions(spark, table, {open_spec: path})
+        partitions.attach_partitions(spark, table, {open_spec: path}, own=True)
     stale = {dict(s)[layout.end] for s in later} - ({day} & written)
     if layout.open_end not in written:
         stale.add(layout.open_end)
@@ -188,9 +188,9 @@ def load_chain_range(
     closed = {d: p for d, p in written.items() if d != layout.open_end}
     if closed and not store.buckets:
         closed = _repacked_days(spark, closed, f"{folder}/closed", layout.end)
-    partitions.attach_partitions(spark, table, {((layout.end, d),): p for d, p in sorted(closed.items())})
+    partitions.attach_partitions(spark, table, {((layout.end, d),): p for d, p in sorted(closed.items())}, own=True)
     if layout.open_end in written:
-        partitions.attach_partitions(spark, table, {((layout.end, layout.open_end),): written[layout.open_end]})
+        partitions.attach_partitions(spark, table, {((layout.end, layout.open_end),): written[layout.open_end]}, own=True)
     stale = {dict(s)[layout.end] for s in specs} - set(written)
     dropped = partitions.drop_partitions(spark, table, lambda s: s[layout.end] in stale)
     return ChainRun(first, small, [dict(s)[layout.end] for s in dropped], [p for p in replaced if p])

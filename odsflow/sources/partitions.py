@@ -4,9 +4,10 @@ A load writes its rows into a fresh run folder and then points the partition
 at that folder. Readers see the old rows or the new ones, a failed load leaves
 the table as it was, and nothing is copied a second time.
 
-Several tables may read one run. Beside the runs lies a list of who does,
-``<home>_runs/_readers/<run>/<table>``: a table's name is put there before the
-table is pointed at the run, and a run is deleted only when its list is empty.
+A run belongs to the table that it lies beside, and other tables may read it too.
+Beside the runs is a list of those, ``<home>_runs/_readers/<run>/<table>``: a
+table's name is put there before the table is pointed at another one's run, and a
+run is deleted only when its own table has left it and its list is empty.
 """
 
 from __future__ import annotations
@@ -79,44 +80,39 @@ def _full_name(spark: SparkSession, table: str) -> str:
 
 
 def run_readers(spark: SparkSession, home: str, run: str) -> list[str]:
-    """Names of the tables that the run's list holds."""
+    """Names of the other tables that the run's list holds."""
     return paths.child_files(spark, f"{home}{_RUNS}_readers/{run}")
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+def _homes(spark: SparkSession, table: str) -> list[str]:
+    """The table's own home, and those of other tables where it has read."""
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    own = kept.get(_HOME) or table_location(spark, table).split(_RUNS)[0]
+    return [own, *filter(None, kept.get(_ABROAD, "").split("\n"))]
 
 
 def table_home(spark: SparkSession, table: str) -> str:
     """Where the table's own runs lie, also while it reads those of another table."""
-    return _properties(spark, table).get(_HOME) or table_location(spark, table).split(_RUNS)[0]
-
-
-def _homes(spark: SparkSession, table: str) -> list[str]:
-    """The table's own home, and those of other tables where it has read."""
-    abroad = _properties(spark, table).get(_ABROAD, "")
-    return [table_home(spark, table), *filter(None, abroad.split("\n"))]
+    return _homes(spark, table)[0]
 
 
 def _note_reader(spark: SparkSession, table: str, places: Collection[str]) -> None:
-    """Put the table on the lists of the runs it is about to read."""
+    """Put the table on the lists of other tables' runs that it is about to read."""
     found = {run_of(p) for p in places} - {None}
-    if not found:
-        return
-    name, homes = _full_name(spark, table), _homes(spark, table)
-    if new := sorted({home for home, _ in found} - set(homes)):
+    homes = _homes(spark, table) if found else []
+    abroad = {(home, run) for home, run in found if home != homes[0]}
+    if new := sorted({home for home, _ in abroad} - set(homes)):
         kept = {_HOME: homes[0], _ABROAD: "\n".join([*homes[1:], *new])}
         pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in kept.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
-    for home, run in found:
-        mark = f"{home}{_RUNS}_readers/{run}/{name}"
-        if not paths.exists(spark, mark):
-            paths.touch(spark, mark)
+    for home, run in abroad:
+        paths.touch(spark, f"{home}{_RUNS}_readers/{run}/{_full_name(spark, table)}")
 
 
-def attach_partitions(spark: SparkSession, table: str, mapping: Mapping[Spec, str]) -> None:
-    """Point each partition at its folder, adding those the table lacks."""
-    _note_reader(spark, table, mapping.values())
+def attach_partitions(spark: SparkSession, table: str, mapping: Mapping[Spec, str], own: bool = False) -> None:
+    """Point each partition at its folder, adding those the table lacks; ``own`` says all are the table's own runs."""
+    if not own:
+        _note_reader(spark, table, mapping.values())
     present = set(partition_specs(spark, table))
     added = [(s, p) for s, p in mapping.items() if s not in present]
     for spec, path in mapping.items():
@@ -192,7 +188,7 @@ def swap_partition(spark: SparkSession, table: str, df: DataFrame, spec: Spec) -
     """Replace one partition; an empty ``df`` leaves it present and empty."""
     folder = run_folder(spark, table, "-".join(v for _, v in spec))
     as_stored(df, table, dict(spec)).write.parquet(folder)
-    attach_partitions(spark, table, {spec: folder})
+    attach_partitions(spark, table, {spec: folder}, own=True)
     return folder
 
 
@@ -210,6 +206,7 @@ def swap_partitions(spark: SparkSession, table: str, df: DataFrame, column: str)
         spark,
         table,
         {((column, unquote(n.split("=", 1)[1])),): f"{folder}/{n}" for n in names},
+        own=True,
     )
     return names
 
@@ -225,26 +222,25 @@ def read_runs(spark: SparkSession, table: str) -> set[tuple[str, str]]:
 def discard_runs(spark: SparkSession, table: str) -> list[str]:
     """Delete the table's run folders that no table reads any more.
 
-    The table's name goes from the lists of runs it has left, at home and where
-    it has read; a run with another table on its list stays. Replaced folders are
-    kept until then, for readers that still use them; call this while no load of
-    the table is under way.
+    A run with another table on its list stays; a name that stands for no table
+    counts for nothing. The table's own name goes from the lists of other tables' runs
+    that it has left, which their own tables may then delete. Replaced folders
+    are kept until then, for readers that still use them; call this while no load
+    of the table is under way.
     """
-    used, name, homes = read_runs(spark, table), _full_name(spark, table), _homes(spark, table)
+    used, (home, *abroad) = read_runs(spark, table), _homes(spark, table)
+    name = _full_name(spark, table) if abroad else ""
+    for place in abroad:
+        for run in paths.child_dirs(spark, f"{place}{_RUNS}_readers"):
+            if (place, run) not in used and name in run_readers(spark, place, run):
+                paths.delete(spark, f"{place}{_RUNS}_readers/{run}/{name}")
     gone = []
-    for place in homes:
-        for run in paths.child_dirs(spark, f"{place}{_RUNS.rstrip('/')}"):
-            if (place, run) in used:
-                continue
-            lists = f"{place}{_RUNS}_readers/{run}"
-            listed = run_readers(spark, place, run)
-            others = [r for r in listed if r != name and spark.catalog.tableExists(r)]
-            # Elsewhere, a run that this table has never read may be a load under way.
-            if others or (place != homes[0] and name not in listed):
-                if name in listed:
-                    paths.delete(spark, f"{lists}/{name}")
-                continue
-            paths.delete(spark, f"{place}{_RUNS}{run}")
-            paths.delete(spark, lists)
-            gone.append(run)
+    for run in paths.child_dirs(spark, f"{home}{_RUNS}".rstrip("/")):
+        others = [] if (home, run) in used else run_readers(spark, home, run)
+        if (home, run) in used or any(spark.catalog.tableExists(r) for r in others):
+            continue
+        paths.delete(spark, f"{home}{_RUNS}{run}")
+        if others:
+            paths.delete(spark, f"{home}{_RUNS}_readers/{run}")
+        gone.append(run)
     return gone

@@ -40,15 +40,21 @@ def intake(
     checkpoint: str,
     max_files: int | None = None,
     archive: str | None = None,
+    files_per_run: int | None = None,
 ) -> StreamingQuery:
     """Copy every staged run not yet taken into ``target``; returns the finished query.
 
     The checkpoint remembers what was taken, so a second call takes only new
     runs, and a call that was cut off is completed by the next one. Read
     ``target`` as a whole: its sink log leaves out files of failed attempts.
-    ``max_files`` bounds a batch where the backlog is large.
+    ``max_files`` bounds a batch where the backlog is large. Without
+    ``files_per_run`` each task writes a file for each run that it holds rows of;
+    with it, rows are dealt so that a batch writes at most so many files a run.
     """
     rows = staged_runs(spark, staged, schema, max_files, archive)
+    if files_per_run:
+        dealt = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields]), F.lit(files_per_run))
+        rows = rows.repartition("date", "run", dealt)
     query = (
         rows.writeStream.format("parquet")
         .partitionBy("date", "run")

@@ -206,10 +206,10 @@ def test_driver_lost_between_the_two_switches(spark, database, tmp_path, monkeyp
     delta = spark.createDataFrame([(1, "a", "n"), (3, "a", None), (8, "a", "new")], DELTA)
     attach = partitions.attach_partitions
 
-    def stop_at_open(session, name, mapping):
+    def stop_at_open(session, name, mapping, **more):
         if ((("end_dt", OPEN),)) in mapping:
             raise RuntimeError("lost")
-        attach(session, name, mapping)
+        attach(session, name, mapping, **more)
 
     monkeypatch.setattr(partitions, "attach_partitions", stop_at_open)
     with pytest.raises(RuntimeError):

@@ -303,6 +303,18 @@ def test_staged_runs_are_taken_once(spark, tmp_path):
     }
 
 
+def test_an_intake_of_few_files(spark, tmp_path):
+    staged, ods, marks = (f"{tmp_path}/{n}" for n in ("stg", "ods", "marks"))
+    for run in ("202401010600", "202401011200"):
+        spark.range(400).repartition(9).write.parquet(f"{staged}/20240101/{run}")
+    shape = spark.range(1).schema
+    intake.intake(spark, staged, ods, shape, marks, files_per_run=2)
+    taken = intake.read_taken(spark, ods, shape)
+    assert taken.count() == 800
+    files_of = taken.groupBy("run").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()
+    assert all(r["n"] <= 2 for r in files_of)
+
+
 def test_only_measured_sides_are_broadcast(spark):
     df = spark.range(1000).select("id", F.lit("0123456789").alias("s"))
     assert 30_000 < measured_bytes(df) < 100_000
