@@ -64,10 +64,10 @@ def _numbered_parts(lines: DataFrame, part_bytes: int, small: ExitStack) -> Data
     over_tasks = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     totals = narrow.groupBy("_task").agg(F.sum("_size").alias("_total"))
     offsets = totals.select("_task", F.coalesce(F.sum("_total").over(over_tasks), F.lit(0)).alias("_offset"))
-    offsets = small.enter_context(settled(offsets, "part_offsets"))
     place = F.col("_offset") + F.coalesce(F.sum("_size").over(before), F.lit(0))
     part = F.when(F.col("_size") == 0, -1 - F.col("_nth")).otherwise(F.floor(place / half))
-    numbered = narrow.join(broadcast_if_small(offsets), "_task").withColumn("_part", part)
+    # Two numbers a task, so a broadcast is bounded by the number of tasks.
+    numbered = narrow.join(F.broadcast(offsets), "_task").withColumn("_part", part)
     begins = numbered.withColumn("_last", F.lag("_part").over(in_task)).where(~F.col("_part").eqNullSafe(F.col("_last")))
     cuts = begins.groupBy("_task").agg(F.sort_array(F.collect_list(F.struct("_nth", "_part"))).alias("_cuts"))
     cuts = small.enter_context(settled(cuts, "part_cuts"))
