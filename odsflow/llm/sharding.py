@@ -4,13 +4,14 @@ Equal texts form one group that stays whole in one shard. The groups are dealt
 to tasks at random; each task differences its own: every group starts as a
 partial partition that holds it in one shard, and the two partial partitions of
 the largest spread are combined oppositely ordered (the fullest shard of one
-with the emptiest of the other) until one is left. The tasks' results, one load
-for each shard and task, are combined on the driver in the same way; that gives
-each task an order of its shards, and no group ever leaves its task.
+with the emptiest of the other) until one is left. What the tasks are left with, one load
+for each shard, is combined in the same way in levels, ``FAN`` partial
+partitions to a task, until one is left; that gives each task an order of its
+shards, and no group ever leaves its task.
 
 A group above a shard's fair share cannot stay whole in a balanced result. At
-most ``shards`` groups can be so large; their rows are dealt by doc_id to parts
-of at most 1/8 of a share.
+most ``shards`` groups can be so large; their rows are dealt one by one to parts
+of about 1/8 of a share.
 
 Defined cases: a null text has size 1 and belongs to the group of nulls; rows of
 one doc_id and one text may sit in the same shard but have slots of their own;
@@ -27,11 +28,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from odsflow.llm.store import settle
+from odsflow.sizing import broadcast_if_small
 
 SHARDS = 8
 GROUPS_PER_TASK = 20_000
 ROWS_PER_BUCKET = 50_000
 PARTS_OF_SHARE = 8
+#: Partial partitions that a task combines in a level.
+FAN = 1000
 
 
 def difference(parts: Iterable[tuple[int, ...]], shards: int) -> list[list[int]]:
@@ -89,10 +93,40 @@ def sized_rows(docs: DataFrame) -> DataFrame:
     )
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, groups_per_task: int = GROUPS_PER_TASK) -> DataFrame:
+def _combined(local: DataFrame, tasks: int, shards: int, fan: int) -> DataFrame:
+    """(_task, _local, shard): where each task's shards go when all partial partitions are differenced, in levels."""
+
+    def join(part: pd.DataFrame) -> pd.DataFrame:
+        loads: dict[int, list[int]] = {}
+        for node, slot, size in zip(part["_node"].tolist(), part["_slot"].tolist(), part["bytes"].tolist()):
+            loads.setdefault(node, [0] * shards)[slot] = size
+        names = sorted(loads)
+        orders = difference((tuple(loads[n]) for n in names), shards)
+        found = [(n, j, n // fan, order[j]) for n, order in zip(names, orders) for j in range(shards)]
+        return pd.DataFrame(found, columns=["_node", "_slot", "_above", "_goes"])
+
+    loads = local.select(F.col("_task").cast("long").alias("_node"), F.col("_local").alias("_slot"), "bytes")
+    goes = None
+    while True:
+        summed = loads.groupBy("_node", "_slot").agg(F.sum("bytes").alias("bytes"))
+        grouped = summed.groupBy(F.expr(f"_node div {fan}"))
+        up = settle(grouped.applyInPandas(join, "_node long, _slot int, _above long, _goes int"), "level")
+        if goes is None:
+            goes = up.select(F.col("_node").cast("int").alias("_task"), F.col("_slot").alias("_local"), F.col("_above").alias("_node"), F.col("_goes").alias("_slot"))
+        else:
+            goes = goes.join(up, ["_node", "_slot"]).select("_task", "_local", F.col("_above").alias("_node"), F.col("_goes").alias("_slot"))
+        if tasks <= fan:
+            return settle(goes.select("_task", "_local", F.col("_slot").alias("shard")), "goes")
+        tasks = -(-tasks // fan)
+        loads = settle(summed.join(up, ["_node", "_slot"]).select(F.col("_above").alias("_node"), F.col("_goes").alias("_slot"), "bytes"), "loads")
+
+
+def shard_by_bytes(
+    docs: DataFrame, shards: int = SHARDS, groups_per_task: int = GROUPS_PER_TASK, fan: int = FAN
+) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot, a row's place in its shard."""
-    spark = docs.sparkSession
-    rows = settle(sized_rows(docs), "sized")
+    # The number tells a huge group's rows apart, whatever their ids.
+    rows = settle(sized_rows(docs).withColumn("_row", F.monotonically_increasing_id()), "sized")
     total, number = rows.agg(F.sum("size"), F.count("*")).first()
     share = (total or 0) / shards
     by_key = rows.groupBy("_key").agg(F.sum("size").alias("_bytes"))
@@ -101,10 +135,10 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, groups_per_task: int =
         "_key", F.ceil(F.col("_bytes") * PARTS_OF_SHARE / share).cast("int").alias("_parts")
     ) if total else by_key.where("false").select("_key", F.lit(1).alias("_parts"))
     rows = rows.join(F.broadcast(huge), "_key", "left").withColumn(
-        "_part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")), F.lit(0)).cast("int")
-    ).drop("_parts")
+        "_part", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")), F.lit(0)).cast("int")
+    ).drop("_parts", "_row")
     groups = rows.groupBy("_key", "_part").agg(F.sum("size").alias("bytes"))
-    tasks = max(1, min((number or 0) // groups_per_task + 1, 1 << 20))
+    tasks = (number or 0) // groups_per_task + 1
     groups = groups.withColumn("_task", F.pmod(F.xxhash64("_key", "_part"), F.lit(tasks)).cast("int"))
 
     def own(part: pd.DataFrame) -> pd.DataFrame:
@@ -115,14 +149,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, groups_per_task: int =
 
     schema = "_key string, _part int, bytes long, _task int, _local int"
     local = settle(groups.groupBy("_task").applyInPandas(own, schema), "groups")
-    loads: dict[int, list[int]] = {}
-    for task, shard, size in local.groupBy("_task", "_local").agg(F.sum("bytes")).collect():
-        loads.setdefault(task, [0] * shards)[shard] = size
-    names = sorted(loads)
-    orders = difference((tuple(loads[t]) for t in names), shards)
-    goes = [(t, j, order[j]) for t, order in zip(names, orders) for j in range(shards)]
-    goes = spark.createDataFrame(goes, "_task int, _local int, shard int")
-    placed = local.join(F.broadcast(goes), ["_task", "_local"]).select("_key", "_part", "shard")
+    goes = broadcast_if_small(_combined(local, tasks, shards, fan))
+    placed = local.join(goes, ["_task", "_local"]).select("_key", "_part", "shard")
     kept = rows.join(placed, ["_key", "_part"]).select("doc_id", "size", "text_crc32", "shard")
     return with_slots(settle(kept, "sharded"), number or 0)
 

@@ -130,20 +130,39 @@ def test_best_fit_places_every_piece(counts):
 # Shards ------------------------------------------------------------------------
 
 
-def test_shards_are_even_and_keep_equal_texts_together(spark):
+# Few large documents to a task and three tasks to a level leave less to even out with.
+@pytest.mark.parametrize("per_task,fan,spread", [(400, sharding.FAN, 0.02), (50, 3, 0.1)])
+def test_shards_are_even_and_keep_equal_texts_together(spark, per_task, fan, spread):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = sharding.shard_by_bytes(documents, groups_per_task=400).collect()
+    rows = sharding.shard_by_bytes(documents, groups_per_task=per_task, fan=fan).collect()
     size, shards, slots = Counter(), defaultdict(set), defaultdict(list)
     for r in rows:
         size[r["shard"]] += r["size"]
         shards[(r["size"], r["text_crc32"])].add(r["shard"])
         slots[r["shard"]].append(r["slot"])
     assert len(rows) == documents.count()
-    assert max(size.values()) - min(size.values()) < 0.02 * max(size.values())
+    assert max(size.values()) - min(size.values()) < spread * max(size.values())
     assert all(len(s) == 1 for s in shards.values())
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+@pytest.mark.parametrize("copies", [9, 400])
+def test_a_huge_group_of_one_id_is_divided(spark, doc_id, copies):
+    rows = [(doc_id, "equal text " * 20)] * copies + [(8, "another")]
+    found = sharding.shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    size = Counter({k: 0 for k in range(8)})
+    for r in found:
+        size[r["shard"]] += r["size"]
+    assert len(found) == copies + 1
+    # No shard is more than two rows, or a part of the group, ahead of another.
+    assert max(size.values()) - min(size.values()) <= max(2, copies // 8 / 3) * 221
+    slots = defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_defined_cases(odd, empty):
     rows = sharding.shard_by_bytes(clashing(odd)).collect()
     assert len(rows) == len(odd_rows())
