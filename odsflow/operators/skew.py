@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from odsflow.sizing import broadcast_if_small, is_small, settle
+from odsflow.sizing import PART_ROWS, broadcast_if_small, is_small, place, settle, task_parts
 
 #: Rows of one key that a task may hold; a key with more is dealt to several.
 TASK_ROWS = 4_000_000
@@ -13,17 +13,26 @@ FRACTION = 0.001
 HOT_BROADCAST = 64 << 20
 
 
-def hot_keys(df: DataFrame, key: str, rows: int | None = None, fraction: float | None = None) -> DataFrame:
-    """(_key, _slices) of the values of ``key`` with more than ``rows`` rows, by a sampled count.
+def key_rows(df: DataFrame, key: str, fraction: float | None = None) -> DataFrame:
+    """(_key, _rows) of the values of ``key``, by a sampled count.
 
     The sample only steers how a join is planned, never what it returns.
     """
-    rows, fraction = rows or TASK_ROWS, fraction or FRACTION
+    fraction = fraction or FRACTION
     sampled = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
     if fraction < 1:
         sampled = sampled.sample(fraction, seed=7)
-    slices = F.ceil(F.count("*") / F.lit(fraction * rows)).cast("int")
-    return sampled.groupBy("_key").agg(slices.alias("_slices")).where("_slices > 1")
+    return sampled.groupBy("_key").agg((F.count("*") / F.lit(fraction)).alias("_rows"))
+
+
+def _hot(counts: DataFrame, rows: int | None) -> DataFrame:
+    slices = F.ceil(F.col("_rows") / F.lit(rows or TASK_ROWS)).cast("int")
+    return counts.select("_key", slices.alias("_slices")).where("_slices > 1")
+
+
+def hot_keys(df: DataFrame, key: str, rows: int | None = None, fraction: float | None = None) -> DataFrame:
+    """(_key, _slices) of the values of ``key`` with more than ``rows`` rows, by a sampled count."""
+    return _hot(key_rows(df, key, fraction), rows)
 
 
 def split_join(
@@ -41,17 +50,25 @@ def split_join(
     right are given to every slice; both sides are joined once. An aggregate above
     cannot reuse that placement, so it does not gather a hot key. The hot keys are
     sampled from ``sampled``, a stored table with the key, or else by running the
-    left side once more.
+    left side once more. The same sample tells the rows, and so the partitions that
+    both sides are dealt to, whose size does not grow with the input; a key with more
+    rows than such a partition counts as hot then.
     """
     if is_small(right):
         return left.join(F.broadcast(right), key)
-    hot = settle(hot_keys(left if sampled is None else sampled, key, rows, fraction), "hot_keys")
+    counts = settle(key_rows(left if sampled is None else sampled, key, fraction), "key_rows")
+    total = counts.agg(F.sum("_rows").cast("long")).first()[0] or 0
+    # Keys of two types are placed unlike, so the join places them itself.
+    alike = left.schema[key].dataType == right.schema[key].dataType
+    parts = task_parts(left.sparkSession, total) if alike else None
+    hot = _hot(counts, rows or (min(TASK_ROWS, PART_ROWS) if parts else TASK_ROWS))
     if hot.isEmpty():
-        return left.join(right, key)
+        return place(left, parts, key).join(place(right, parts, key), key)
     hot = broadcast_if_small(hot.withColumnRenamed("_key", key), HOT_BROADCAST)
     slices = F.coalesce("_slices", F.lit(1))
     dealt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), slices).cast("int")
     each = F.explode(F.sequence(F.lit(0), slices - 1))
     lefts = left.join(hot, key, "left").withColumn("_slice", dealt).drop("_slices")
     rights = right.join(hot, key, "left").withColumn("_slice", each).drop("_slices")
-    return lefts.join(rights, [key, "_slice"]).drop("_slice")
+    by = [key, "_slice"]
+    return place(lefts, parts, *by).join(place(rights, parts, *by), by).drop("_slice")

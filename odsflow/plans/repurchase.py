@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from odsflow.functions.scalars import day_range, platform_class, shop_flag, typed_range, zero_if_null
 from odsflow.operators.skew import split_join
+from odsflow.sizing import task_parts
 
 # Labels of rows that cover every department or shop kind.
 ALL_DEPARTMENTS = "rbz"
@@ -68,7 +69,7 @@ def order_info(clean: DataFrame, start: str, end: str, bds: Sequence[int]) -> Da
 
 
 def distribution(
-    info: DataFrame, all_bd: str = ALL_DEPARTMENTS, all_shop: str = ALL_SHOPS
+    info: DataFrame, all_bd: str = ALL_DEPARTMENTS, all_shop: str = ALL_SHOPS, parts: int | None = None
 ) -> DataFrame:
     """Customers and amount per order count, for each department and shop kind
     and for all of either.
@@ -76,7 +77,8 @@ def distribution(
     The "all" rows regroup the per-customer counts, they do not recount orders.
     A customer has one ``info`` row per department and shop kind, so placing
     them by customer is even; the four groupings then count customers without
-    moving the rows again.
+    moving the rows again. ``parts`` is the number of partitions they are placed
+    in, as ``task_parts`` gives it; without it the session's settings decide.
     """
     bd, shop = F.col("bd_id").cast("string"), F.col("shop_id").cast("string")
     groups = F.array(
@@ -87,7 +89,8 @@ def distribution(
             )
         ]
     )
-    placed = info.repartition("cust_id").select("cust_id", "ck_parent_id", "ck_amt", F.inline(groups))
+    by_customer = info.repartition(*([parts] if parts else []), "cust_id")
+    placed = by_customer.select("cust_id", "ck_parent_id", "ck_amt", F.inline(groups))
     per_customer = placed.groupBy("bd_id", "shop_id", "ck_parent_id", "cust_id").agg(
         F.sum("ck_amt").alias("amt")
     )
@@ -105,7 +108,9 @@ def repurchase(
     sampled: DataFrame | None = None,
 ) -> DataFrame:
     clean = clean_detail(detail, product, *detail_range, sampled=sampled)
-    return distribution(order_info(clean, *window, bds))
+    # There are at most as many orders as lines; a stored table counts by its footers.
+    parts = task_parts(detail.sparkSession, (detail if sampled is None else sampled).count())
+    return distribution(order_info(clean, *window, bds), parts=parts)
 
 
 def repurchase_job(
@@ -134,5 +139,5 @@ def repurchase_job(
     clean = store("clean", clean_detail(detail, product, *detail_range, sampled=sampled))
     for name, window in windows.items():
         info = store(f"{name}_info", order_info(clean, *window, bds))
-        store(name, distribution(info))
+        store(name, distribution(info, parts=task_parts(spark, info.count())))
     return steps

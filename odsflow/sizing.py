@@ -1,4 +1,4 @@
-"""Broadcast only what has been measured."""
+"""Broadcast only what has been measured; deal large inputs out by rows."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from odsflow.settings import broadcast_limit, fresh_dir
 from odsflow.sources import paths
@@ -14,6 +14,9 @@ from odsflow.sources import paths
 _ROW_OVERHEAD = 32
 _FIXED_WIDTH = 16
 
+#: Rows of a large input that one task sorts and hashes.
+PART_ROWS = 400_000
+
 
 def _width(field: T.StructField) -> Column:
     column = F.col(f"`{field.name}`")
@@ -48,6 +51,21 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def task_parts(spark: SparkSession, rows: int) -> int | None:
+    """Partitions that leave ``PART_ROWS`` rows to a task; None where a task of every core holds no more anyway.
+
+    Adaptive execution merges partitions by their compressed bytes and down to the
+    number of cores, so its tasks grow with the input; partitions of a given number stay.
+    """
+    least = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return -(-rows // PART_ROWS) if rows > PART_ROWS * least else None
+
+
+def place(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """``df`` in ``parts`` partitions by ``keys``, or as it is without a number."""
+    return df.repartition(parts, *keys) if parts else df
+
+
 @contextmanager
 def settled(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``settle`` for work that ends within a block; the folder goes with it."""

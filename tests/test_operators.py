@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from odsflow import sizing
 from odsflow.functions.scalars import day_bounds
 from odsflow.operators import audit, cdc, diff, latest, runs, skew
 from odsflow.plans import repurchase, sql_jobs
@@ -92,6 +93,50 @@ def test_hot_products_are_not_gathered_for_the_distinct(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_tasks_of_a_join_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    left = spark.range(12_000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("v"))
+    right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        expected = rows(left.join(right, "k"))
+        monkeypatch.setattr(sizing, "PART_ROWS", 500)
+        # Without hot keys, and with every key of four rows dealt to slices; then keys of two types.
+        for hot in (None, 3):
+            joined = skew.split_join(left, right, "k", rows=hot, fraction=1)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("hashpartitioning(k") == 2 and plan.count(", 24), REPARTITION_BY_NUM") == 2
+            assert rows(joined) == expected
+            tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(tasks) >= 20 and max(tasks) < 500
+        # A key with more rows than a partition is hot then.
+        monkeypatch.setattr(skew, "PART_ROWS", 500)
+        heavy = left.withColumn("k", F.when(F.col("v") % 3 == 0, 8).otherwise(F.col("k")))
+        joined = skew.split_join(heavy, right, "k", fraction=1)
+        assert max(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()) < 1500
+        assert rows(joined) == rows(heavy.join(right, "k"))
+        narrow = right.withColumn("k", F.col("k").cast("int"))
+        mixed = skew.split_join(left, narrow, "k", fraction=1)
+        assert rows(mixed) == expected and "REPARTITION_BY_NUM" not in mixed._jdf.queryExecution().executedPlan().toString()
+        assert rows(skew.split_join(left.where("false"), right, "k", fraction=1)) == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_tasks_of_the_distribution_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    info = spark.range(9000).select(
+        (F.col("id") % 3000).alias("cust_id"), (F.col("id") % 4).cast("int").alias("bd_id"),
+        (F.col("id") % 2).cast("int").alias("shop_id"), (F.col("id") % 5).alias("ck_parent_id"), F.col("id").alias("ck_amt"),
+    )
+    plain = repurchase.distribution(info)
+    monkeypatch.setattr(sizing, "PART_ROWS", 500)
+    parts = sizing.task_parts(spark, info.count())
+    dealt = repurchase.distribution(info, parts=parts)
+    assert parts == 18 and "18), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert rows(dealt) == rows(plain) != []
+    assert sizing.task_parts(spark, 2000) is None
+
+
 def test_day_bounds_reach_the_scan(spark, tmp_path):
     spark.sql("select timestamp_ntz'2024-01-01 10:00:00' ts, 1 k").write.parquet(f"{tmp_path}/x")
     df = spark.read.parquet(f"{tmp_path}/x")
